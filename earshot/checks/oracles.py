@@ -185,6 +185,22 @@ VIEWS = {
           FROM matrix, three GROUP BY label)""",
 }
 
+_STOP = ("the", "and", "of", "to", "in", "is", "that", "it", "was", "for", "on", "with", "this", "as", "be", "are", "by")
+VIEWS["terms"] = f"""
+    SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({_ASCII}) AS term FROM documents)
+    WHERE term NOT IN {_STOP} GROUP BY 1, 2"""
+VIEWS["vocab"] = """
+    SELECT term, df, row_number() OVER (ORDER BY term) - 1 AS idx
+    FROM (SELECT term, count(*) AS df, sum(tf) AS cf FROM terms GROUP BY 1 HAVING count(*) >= 5
+          ORDER BY cf DESC, term LIMIT 5000)"""
+VIEWS["weighted"] = """
+    SELECT doc_id, term, idx, tf, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight
+    FROM (SELECT *, tf * (ln((1 + (SELECT count(*) FROM documents)) / CAST(1 + df AS DOUBLE)) + 1.0) AS w FROM terms JOIN vocab USING (term))"""
+VIEWS["argmax"] = "SELECT vec_id, label, list_position(embedding, list_max(embedding)) - 1 AS topic FROM embeddings"
+VIEWS["majority"] = """
+    SELECT topic, sum(c) AS n, arg_min(label, (-c, label)) AS best, max(c) AS hits
+    FROM (SELECT topic, label, count(*) AS c FROM argmax GROUP BY 1, 2) GROUP BY 1"""
+
 # issue growth counts only where a query asks for the relaxed alerts
 _GROWING = {
     False: "SELECT theme, label FROM theme_list WHERE false",
@@ -436,4 +452,16 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT 'accuracy', CAST(sum(hits) AS DOUBLE) / sum(support), CAST(sum(hits) AS DOUBLE) / sum(support),
                        CAST(sum(hits) AS DOUBLE) / sum(support), CAST(sum(support) AS BIGINT) FROM per_label)"""),
 }
+ORACLES.update(
+    {
+        "term_counts": sql("SELECT doc_id, term, idx, tf FROM terms JOIN vocab USING (term)"),
+        "tfidf_weights": sql(f"SELECT doc_id, term, idx, tf, {_six('weight')} FROM weighted"),
+        "topic_argmax": sql("SELECT vec_id, label, topic FROM argmax"),
+        "topic_majority": sql("SELECT topic AS cluster, CAST(n AS BIGINT) AS n, best AS majority, hits FROM majority"),
+        "topic_purity": sql("""
+    SELECT CAST(sum(hits) AS BIGINT) AS hits, CAST(sum(n) AS BIGINT) AS n, CAST(sum(hits) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS purity FROM majority"""),
+        "stream_theme_counts": sql("""
+    SELECT CAST(ts AS DATE) AS feedback_date, event_type AS theme, count(*) AS theme_count FROM events GROUP BY 1, 2"""),
+    }
+)
 ORACLES["mart_roundtrip"] = ORACLES["mart_fact_feedback"]

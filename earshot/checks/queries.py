@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from earshot.checks import tables as t
 from earshot.functions import numbers, text as tx
 from earshot.functions.labels import label_or_code, lookup, majority_label
-from earshot.operators import agreement, history, lexicon, priority, quality, ranking, trends, valence
+from earshot.operators import (
+    agreement, classifiers, features, history, lexicon, priority, quality, ranking, topics, trends, valence,
+)
 from earshot.plans import marts, reports
+from earshot.streaming import counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -159,10 +162,8 @@ def majority_sentiment(spark, sf_dir):
 
 @query
 def margin_confidence(spark, sf_dir):
-    from earshot.operators.classifiers import margin_confidence as scaled
-
     rows = t.plain_feedback(spark, sf_dir)
-    return scaled(rows, "o_totalprice").select("feedback_id", "sentiment_confidence")
+    return classifiers.margin_confidence(rows, "o_totalprice").select("feedback_id", "sentiment_confidence")
 
 
 @query
@@ -482,3 +483,145 @@ def classification_report(spark, sf_dir):
     return agreement.classification_report(matrix).select(
         "label", *six("precision", "recall", "f1"), "support"
     )
+
+
+# --- features and models ------------------------------------------------------------
+
+#: Words left out of the topic features of the test documents.
+STOP_WORDS = ("the", "and", "of", "to", "in", "is", "that", "it", "was", "for", "on", "with", "this", "as", "be", "are", "by")
+TOPIC_RULES = features.TermRules(min_df=5, max_features=5000, grams=1, stop_words=STOP_WORDS, pattern=tx.ASCII_WORDS)
+SENTIMENT_RULES = features.TermRules(min_df=3, max_features=20000, grams=2)
+N_TOPICS = 4
+
+
+@query
+def term_counts(spark, sf_dir):
+    return features.vocabulary_counts(t.documents(spark, sf_dir), "doc_id", "text", TOPIC_RULES)
+
+
+@query
+def tfidf_weights(spark, sf_dir):
+    out = features.tfidf_weights(t.documents(spark, sf_dir), "doc_id", "text", TOPIC_RULES)
+    return out.select("doc_id", "term", "idx", "tf", *six("weight"))
+
+
+@query
+def tfidf_features(spark, sf_dir):
+    """Vectors of words and word pairs, as arrays of their non-zero weights."""
+    docs = t.documents(spark, sf_dir)
+    fitted = features.fit_features(docs, "doc_id", "text", SENTIMENT_RULES)
+    return fitted.tfidf(docs, "text").select("doc_id", "features")
+
+
+def _split(spark, sf_dir):
+    return ranking.stratified_split(t.labelled_documents(spark, sf_dir), "truth", "doc_id")
+
+
+def _trained(spark, sf_dir):
+    return classifiers.training_set(
+        _split(spark, sf_dir).where(~F.col("is_test")), "doc_id", "text", "truth", SENTIMENT_RULES
+    )
+
+
+def _rule_scorer(spark):
+    table = valence.valence_table(spark, t.DOC_VALENCES)
+
+    def score(rows):
+        labels = valence.valence_scores(rows, ["doc_id"], F.col("text"), table, tx.ASCII_WORDS)
+        return rows.join(labels.select("doc_id", F.col("label").alias("predicted_sentiment")), "doc_id").withColumn(
+            "sentiment_confidence", F.lit(0.7)
+        )
+
+    return score
+
+
+def _predictions(rows):
+    return rows.select("doc_id", "predicted_sentiment", "sentiment_confidence")
+
+
+@query
+def sentiment_logreg(spark, sf_dir):
+    data = _trained(spark, sf_dir)
+    return _predictions(classifiers.fit_logistic(data)(t.documents(spark, sf_dir)))
+
+
+@query
+def sentiment_svm(spark, sf_dir):
+    data = _trained(spark, sf_dir)
+    return _predictions(classifiers.fit_svm(data)(t.documents(spark, sf_dir)))
+
+
+@query
+def sentiment_champion(spark, sf_dir):
+    contest = classifiers.compare(
+        t.labelled_documents(spark, sf_dir), "doc_id", "text", "truth", _rule_scorer(spark), SENTIMENT_RULES
+    )
+    return _predictions(contest.score(t.documents(spark, sf_dir))).withColumn("model", F.lit(contest.winner))
+
+
+def _corpus(spark, sf_dir):
+    return topics.corpus(t.documents(spark, sf_dir), "doc_id", "text", TOPIC_RULES)
+
+
+@query
+def topics_nmf(spark, sf_dir):
+    return topics.by_nmf(_corpus(spark, sf_dir), N_TOPICS).assigned
+
+
+@query
+def topics_lda(spark, sf_dir):
+    return topics.by_lda(_corpus(spark, sf_dir), N_TOPICS).assigned
+
+
+@query
+def lsa_embedding(spark, sf_dir):
+    return topics.lsa_embedding(_corpus(spark, sf_dir))
+
+
+@query
+def topic_top_terms(spark, sf_dir):
+    data = _corpus(spark, sf_dir)
+    return topics.top_terms(data, topics.by_nmf(data, N_TOPICS))
+
+
+@query
+def topics_champion(spark, sf_dir):
+    truth = t.documents(spark, sf_dir).select("doc_id", F.col("lang").alias("truth"))
+    contest = topics.compare(_corpus(spark, sf_dir), truth, N_TOPICS)
+    return contest.labelled.withColumn("method", F.lit(contest.winner))
+
+
+def _argmax_rows(spark, sf_dir):
+    return t.read(spark, sf_dir, "embeddings").select(
+        "vec_id", "label", classifiers.argmax(F.col("embedding")).alias("topic")
+    )
+
+
+@query
+def topic_argmax(spark, sf_dir):
+    return _argmax_rows(spark, sf_dir)
+
+
+@query
+def topic_purity(spark, sf_dir):
+    return agreement.purity(_argmax_rows(spark, sf_dir), "topic", "label")
+
+
+@query
+def topic_majority(spark, sf_dir):
+    return agreement.cluster_majority(_argmax_rows(spark, sf_dir), "topic", "label")
+
+
+@query
+def topics_kmeans(spark, sf_dir):
+    rows = t.read(spark, sf_dir, "embeddings")
+    return topics.by_kmeans(rows, "vec_id", k=10).assigned
+
+
+# --- streaming ------------------------------------------------------------------------
+
+
+@query
+def stream_theme_counts(spark, sf_dir):
+    source = counts.parquet_stream(spark, sf_dir, "events.parquet", t.read(spark, sf_dir, "events").schema)
+    return counts.daily_theme_counts(source, "ts", "event_type")

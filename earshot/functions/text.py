@@ -20,12 +20,13 @@ def tokens(text: Column, pattern: str = WORDS) -> Column:
 
 def word_grams(words: Column, longest: int) -> Column:
     """The words plus all runs of 2..``longest`` words, joined by a space."""
-    parts = [words]
+    parts, runs = [words], words
     for size in range(2, longest + 1):
-        starts = F.sequence(F.lit(1), F.size(words) - F.lit(size - 1))
-        runs = F.transform(starts, lambda i, n=size: F.array_join(F.slice(words, i, n), " "))
-        none = F.array().cast("array<string>")
-        parts.append(F.when(F.size(words) >= size, runs).otherwise(none))
+        following = F.slice(words, size, F.greatest(F.size(words), F.lit(1)))
+        # the shorter side is padded with null, and null + text is null
+        runs = F.zip_with(runs, following, lambda a, b: F.concat(a, F.lit(" "), b))
+        runs = F.filter(runs, lambda run: run.isNotNull())
+        parts.append(runs)
     return F.concat(*parts)
 
 
