@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from earshot.catalogue import UNCLASSIFIED, Phrase, Theme, phrase_list
 from earshot.functions.labels import lookup
+from earshot.session import spread
 
 #: Stand-in themes in lexicon order; two of them share an aspect and one has none.
 THEMES = (
@@ -161,7 +162,7 @@ def aspect_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return spread(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id")
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark import StorageLevel
-from pyspark.ml.classification import LinearSVC, LogisticRegression
+from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from earshot.functions.numbers import half_even
 from earshot.operators.agreement import classification_report, confusion_matrix
 from earshot.operators.features import TermRules, TextFeatures, fit_features
 from earshot.operators.ranking import stratified_split
+from earshot.session import side_by_side
 
 #: Adds ``predicted_sentiment`` and ``sentiment_confidence`` to rows of text.
 Scorer = Callable[[DataFrame], DataFrame]
@@ -60,6 +63,15 @@ class TrainingSet:
     text: str
     labels: tuple[str, ...]
 
+    def batches(self, rows_per_task: int = 10_000) -> DataFrame:
+        """The kept rows in tasks of useful size.
+
+        Every task of every round sends back a dense gradient (classes x
+        features), which only pays off over enough rows. Merging partitions
+        moves no data; a large set keeps all of its partitions.
+        """
+        return self.rows.coalesce(max(1, math.ceil(self.n / rows_per_task)))
+
     def release(self) -> None:
         self.rows.unpersist()
 
@@ -68,10 +80,14 @@ def training_set(
     train: DataFrame, doc: str, text: str, label: str, rules: TermRules = TermRules(),
     labels: Sequence[str] = SENTIMENTS,
 ) -> TrainingSet:
+    train = train.select(doc, text, label).persist(StorageLevel.MEMORY_AND_DISK)
     features = fit_features(train, doc, text, rules)
     weighted, n = with_class_weights(train, label, labels)
     rows = features.tfidf(weighted, text).select("label_idx", "class_weight", "features")
-    return TrainingSet(rows.persist(StorageLevel.MEMORY_AND_DISK), n, features, text, tuple(labels))
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    rows.count()
+    train.unpersist()
+    return TrainingSet(rows, n, features, text, tuple(labels))
 
 
 def fit_logistic(data: TrainingSet, c: float = 3.0, max_iter: int = 1000, tol: float = 1e-4) -> Scorer:
@@ -83,7 +99,7 @@ def fit_logistic(data: TrainingSet, c: float = 3.0, max_iter: int = 1000, tol: f
     model = LogisticRegression(
         family="multinomial", featuresCol="features", labelCol="label_idx", weightCol="class_weight",
         regParam=1.0 / (c * data.n), elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=tol,
-    ).fit(data.rows)
+    ).fit(data.batches())
 
     def score(rows: DataFrame) -> DataFrame:
         scored = model.transform(data.features.tfidf(rows, data.text))
@@ -102,16 +118,17 @@ def fit_svm(data: TrainingSet, c: float = 1.0, max_iter: int = 1000, tol: float
     The class models score one after another in the JVM and leave their margin
     in a column each, so no row passes through Python.
     """
-    models = []
-    for i in range(len(data.labels)):
-        one = data.rows.withColumn("is_class", (F.col("label_idx") == float(i)).cast("double"))
-        models.append(
-            LinearSVC(
-                featuresCol="features", labelCol="is_class", weightCol="class_weight",
-                rawPredictionCol="raw", predictionCol="hit",
-                regParam=1.0 / (c * data.n), standardization=False, maxIter=max_iter, tol=tol,
-            ).fit(one)
-        )
+    batches = data.batches()
+
+    def fit_one(i: int) -> LinearSVCModel:
+        one = batches.withColumn("is_class", (F.col("label_idx") == float(i)).cast("double"))
+        return LinearSVC(
+            featuresCol="features", labelCol="is_class", weightCol="class_weight",
+            rawPredictionCol="raw", predictionCol="hit",
+            regParam=1.0 / (c * data.n), standardization=False, maxIter=max_iter, tol=tol,
+        ).fit(one)
+
+    models = side_by_side(batches.sparkSession, [partial(fit_one, i) for i in range(len(data.labels))])
 
     def margins(rows: DataFrame) -> DataFrame:
         out = data.features.tfidf(rows, data.text)

@@ -6,12 +6,11 @@ smaller term) and only its ``max_features`` rows ever reach the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from earshot.functions.text import WORDS, tokens, word_grams
@@ -84,8 +83,7 @@ def tfidf_weights(docs: DataFrame, doc: str, text: str, rules: TermRules) -> Dat
     words = F.broadcast(vocabulary(counts, rules).select("term", "idx", "df"))
     n = docs.agg(F.count(F.lit(1))).scalar()
     raw = counts.join(words, "term").withColumn("raw", F.col("tf") * smooth_idf(F.col("df"), n))
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(doc)))
-    return raw.select(doc, "term", "idx", "tf", (F.col("raw") / norm).alias("weight"))
+    return raw.select(doc, "term", "idx", "tf", _unit(doc).alias("weight"))
 
 
 def sparse_rows(docs: DataFrame, doc: str, weights: DataFrame, value: str) -> DataFrame:
@@ -122,6 +120,29 @@ class TextFeatures:
         return unit.transform(scale.transform(counted)).drop("_counts", "_scaled")
 
 
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(term, idx, idf), bounded by ``max_features``."""
+        rows = [(term, i, idf) for i, (term, idf) in enumerate(zip(self.terms, self.idf))]
+        return spark.createDataFrame(rows, "term string, idx int, idf double")
+
+    def weights(self, docs: DataFrame, doc: str, text: str) -> DataFrame:
+        """(doc, term, idx, tf, weight) by the fitted vocabulary.
+
+        Unknown terms are dropped right after they are cut out of the text, so
+        only vocabulary counts are shuffled.
+        """
+        words = F.broadcast(self.table(docs.sparkSession))
+        cut = docs.select(doc, F.explode(self.rules.terms(F.col(text))).alias("term"))
+        counted = cut.join(words, "term").groupBy(doc, "term", "idx", "idf").agg(F.count(F.lit(1)).alias("tf"))
+        raw = counted.withColumn("raw", F.col("tf") * F.col("idf"))
+        return raw.select(doc, "term", "idx", "tf", _unit(doc).alias("weight"))
+
+
+def _unit(doc: str) -> Column:
+    """``raw`` over the length of its document's ``raw`` vector."""
+    return F.col("raw") / F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(doc)))
+
+
 def fit_features(docs: DataFrame, doc: str, text: str, rules: TermRules) -> TextFeatures:
     """Vocabulary and idf of a corpus; only those ``max_features`` rows are fetched."""
     counts = term_counts(docs, doc, text, rules)

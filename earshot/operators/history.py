@@ -55,8 +55,11 @@ def prior_complaints(
 
     ``customer_columns`` (one row per customer) rides along on the small
     (customer, day) side, so that joining it does not shuffle the fact again.
-    Rows without a customer get null.
+    Rows without a customer get null; rows without a day count as the latest.
     """
+    undated = F.to_date(F.lit("9999-12-31"))
+    feedback = feedback.withColumn("_day", F.coalesce(F.col(day), undated))
+    day = "_day"
     days = customer_days(feedback, customer, day, sentiment)
     # at most rows / hot_day keys, so this side stays small at any table size
     hot = F.broadcast(
@@ -91,5 +94,5 @@ def prior_complaints(
     return (
         tagged.join(cells, [customer, day, "_part"], "left")
         .withColumn(out, F.col("_before") + F.when(F.col("_before").isNotNull(), earlier_today))
-        .drop("_part", "_parts", "_before")
+        .drop("_part", "_parts", "_before", "_day")
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from earshot.catalogue import (
@@ -106,10 +106,14 @@ def score_feedback(
 
 
 def distribution(rows: DataFrame, column: str, out: str = "n") -> DataFrame:
-    """Value counts with the share of all rows."""
+    """Value counts with the share of all rows.
+
+    The total is summed over the counted values, one row per category, so the
+    table is read once.
+    """
     counted = rows.groupBy(column).agg(F.count(F.lit(1)).alias(out))
-    total = counted.agg(F.sum(out)).scalar()
-    return counted.withColumn("share", F.col(out).cast("double") / total.cast("double"))
+    whole = F.sum(out).over(Window.partitionBy(F.lit(0)))
+    return counted.withColumn("share", F.col(out).cast("double") / whole.cast("double"))
 
 
 def urgent(tiers: Sequence[str] = ("Critical", "High")) -> Column:

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 from pyspark import StorageLevel
-from pyspark.ml.clustering import LDA, KMeans
+from pyspark.ml.clustering import LDA, KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from earshot.operators.agreement import purity
 from earshot.operators.classifiers import argmax
 from earshot.operators.factors import nonnegative_factors, truncated_svd
-from earshot.operators.features import TermRules, TextFeatures, fit_features, sparse_rows, tfidf_weights
+from earshot.operators.features import TermRules, TextFeatures, fit_features, sparse_rows
+from earshot.session import side_by_side
 
 #: Terms that count for topics.
 TOPIC_TERMS = TermRules(min_df=5, max_features=5_000, grams=1)
@@ -43,9 +44,10 @@ class Corpus:
 
 def corpus(docs: DataFrame, doc: str, text: str, rules: TermRules = TOPIC_TERMS) -> Corpus:
     """Vocabulary and TF-IDF rows; the rows are kept because the factors read them often."""
-    weights = tfidf_weights(docs, doc, text, rules)
+    features = fit_features(docs, doc, text, rules)
+    weights = features.weights(docs, doc, text)
     rows = sparse_rows(docs, doc, weights, "weight").persist(StorageLevel.MEMORY_AND_DISK)
-    return Corpus(docs, doc, text, fit_features(docs, doc, text, rules), weights, rows)
+    return Corpus(docs, doc, text, features, weights, rows)
 
 
 @dataclass(frozen=True)
@@ -98,7 +100,11 @@ def by_kmeans(
     """KMeans on dense rows, the cheapest of several starts."""
     points = embedded.select(doc, array_to_vector(F.col(embedding).cast("array<double>")).alias("point"))
     points = points.persist(StorageLevel.MEMORY_AND_DISK)
-    models = [KMeans(k=k, featuresCol="point", predictionCol="topic", seed=seed + i).fit(points) for i in range(restarts)]
+
+    def start(i: int) -> KMeansModel:
+        return KMeans(k=k, featuresCol="point", predictionCol="topic", seed=seed + i).fit(points)
+
+    models = side_by_side(points.sparkSession, [partial(start, i) for i in range(restarts)])
     best = min(models, key=lambda m: m.summary.trainingCost)
     assigned = best.transform(points).select(doc, F.col("topic").cast("int").alias("topic"))
     return Topics(assigned, None, tuple(m.summary.trainingCost for m in models))

@@ -80,7 +80,8 @@ def complaint_mix(scored: DataFrame) -> DataFrame:
         .groupBy(F.col("theme_label_primary").alias("issue_category"), "channel")
         .agg(F.count(F.lit(1)).alias("complaint_count"))
     )
-    whole = counted.agg(F.sum("complaint_count")).scalar()
+    # over the counted cells, one row per issue and channel
+    whole = F.sum("complaint_count").over(Window.partitionBy(F.lit(0)))
     return counted.withColumn("pct_of_all_complaints", percent_of("complaint_count", whole)).orderBy(
         F.col("complaint_count").desc(), F.asc_nulls_last("issue_category"), F.asc_nulls_last("channel")
     )

@@ -4,8 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
-from pyspark.sql import SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
+
+R = TypeVar("R")
 
 #: Settings every job relies on. Partition counts are left to AQE: it starts
 #: from ``spark.sql.shuffle.partitions`` and merges or splits from there.
@@ -41,3 +47,24 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="earshot-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame, key: str, split_bytes: int = 16 * 1024 * 1024) -> DataFrame:
+    """Spreads an input that is too small to occupy the cores, by its key.
+
+    A parquet file is read by at most one task per row group, so heavy text work
+    over a small file would run in one task. The size is Catalyst's estimate of
+    the scan, known without a job. Inputs above ``split_bytes`` per core are left
+    as they are: at that size the scan has splits enough, and moving text would
+    cost more than it gains.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df if size > cores * split_bytes else df.repartition(cores, key)
+
+
+def side_by_side(spark: SparkSession, jobs: Sequence[Callable[[], R]], threads: int = 4) -> list[R]:
+    """Runs independent Spark jobs at the same time, so that short ones share the cores."""
+    wrap = inheritable_thread_target(spark)
+    with ThreadPool(max(1, min(threads, len(jobs)))) as pool:
+        return pool.map(lambda job: job(), [wrap(job) for job in jobs])
