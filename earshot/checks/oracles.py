@@ -186,6 +186,21 @@ VIEWS = {
 }
 
 _STOP = ("the", "and", "of", "to", "in", "is", "that", "it", "was", "for", "on", "with", "this", "as", "be", "are", "by")
+# RE2 has no look-around: mark the breaks first, then cut at the marks. The
+# second pass finds a conjunction whose blank the first one had consumed.
+_TURN = r"\s+((?:[Bb]ut|[Hh]owever)(?:[^\p{L}\p{N}_]|$))"
+VIEWS["clause_rows"] = f"""
+    SELECT doc_id, text, list_filter(string_split(
+        regexp_replace(regexp_replace(regexp_replace(text, '([.!])\\s+', '\\1' || chr(1), 'g'),
+          '{_TURN}', chr(1) || '\\1', 'g'), '{_TURN}', chr(1) || '\\1', 'g'), chr(1)),
+        lambda piece: regexp_matches(piece, '\\S')) AS pieces
+    FROM documents"""
+VIEWS["keyword_rows"] = """
+    SELECT doc_id, k.ord, k.aspect, arg_min(keyword, place) AS keyword
+    FROM (SELECT doc_id, lower(text) AS low FROM documents) JOIN keyword_list k ON contains(low, keyword) GROUP BY 1, 2, 3"""
+VIEWS["keyword_clause"] = """
+    SELECT doc_id, ord, aspect, coalesce(list_filter(pieces, lambda piece: contains(lower(piece), keyword))[1], text) AS text
+    FROM keyword_rows JOIN clause_rows USING (doc_id)"""
 VIEWS["terms"] = f"""
     SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({_ASCII}) AS term FROM documents)
     WHERE term NOT IN {_STOP} GROUP BY 1, 2"""
@@ -426,15 +441,22 @@ ORACLES: dict[str, str] = {
     "infer_themes": sql("""
     SELECT doc_id, coalesce(found, 'unclassified') AS inferred_themes FROM documents LEFT JOIN doc_themes USING (doc_id)"""),
     "lexicon_aspects": sql("""
-    SELECT doc_id, coalesce(pairs, '') AS detected_aspects, coalesce(n, 0) AS n_aspects_detected, coalesce(found, 'unclassified') AS inferred_themes
+    SELECT doc_id, coalesce(pairs, 'None Detected') AS detected_aspects, coalesce(n, 0) AS n_aspects_detected, coalesce(found, 'unclassified') AS inferred_themes
     FROM documents LEFT JOIN doc_themes USING (doc_id)
-      LEFT JOIN (SELECT doc_id, string_agg(aspect || ':' || sentiment, '|' ORDER BY o) AS pairs, count(*) AS n FROM doc_aspects GROUP BY 1) USING (doc_id)"""),
+      LEFT JOIN (SELECT doc_id, string_agg(aspect || ':' || upper(sentiment[1]) || sentiment[2:], '|' ORDER BY o) AS pairs, count(*) AS n FROM doc_aspects GROUP BY 1) USING (doc_id)"""),
     "valence_sentiment": sql(f"SELECT doc_id, total, {_six('compound')}, label FROM doc_label"),
     "keyword_aspects": sql("""
     SELECT doc_id, ord, aspect, keyword, label
-    FROM (SELECT doc_id, k.ord, k.aspect, arg_min(keyword, place) AS keyword
-          FROM (SELECT doc_id, lower(text) AS low FROM documents) JOIN keyword_list k ON contains(low, keyword) GROUP BY 1, 2, 3)
-    JOIN doc_label USING (doc_id)"""),
+    FROM keyword_rows JOIN doc_label USING (doc_id)"""),
+    "clause_split": sql("""
+    SELECT doc_id, CAST(generate_subscripts(pieces, 1) - 1 AS INTEGER) AS pos, unnest(pieces) AS clause FROM clause_rows"""),
+    "keyword_aspect_clauses": sql(f"""
+    SELECT doc_id, ord, aspect, {_six('compound')},
+      CASE WHEN compound >= 0.05 THEN 'positive' WHEN compound <= -0.05 THEN 'negative' ELSE 'neutral' END AS label
+    FROM (SELECT doc_id, ord, aspect, CAST(total AS DOUBLE) / sqrt(CAST(total * total AS DOUBLE) + 15.0) AS compound
+          FROM (SELECT doc_id, ord, aspect, CAST(coalesce(sum(points), 0) AS BIGINT) AS total
+                FROM (SELECT doc_id, ord, aspect, unnest(CASE WHEN len({_ASCII}) = 0 THEN [''] ELSE {_ASCII} END) AS token FROM keyword_clause)
+                  LEFT JOIN valence_words USING (token) GROUP BY 1, 2, 3))"""),
     "aspect_agreement": sql("""
     SELECT correct, total, CAST(correct AS DOUBLE) / total AS agreement
     FROM (SELECT count(*) AS total, count(*) FILTER (WHERE d.sentiment = p.sentiment) AS correct

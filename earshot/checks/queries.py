@@ -419,7 +419,7 @@ def lexicon_aspects(spark, sf_dir):
     docs = lexicon.tag_messages(t.documents(spark, sf_dir), t.DOC_LEXICON, t.DOC_ASPECTS)
     return docs.select(
         "doc_id",
-        tx.joined_pairs(F.col("detected_aspects"), "aspect").alias("detected_aspects"),
+        tx.joined_pairs(F.col("detected_aspects"), "aspect", empty="None Detected").alias("detected_aspects"),
         "n_aspects_detected",
         tx.joined(F.col("inferred_themes")).alias("inferred_themes"),
     )
@@ -451,7 +451,8 @@ def keyword_aspects(spark, sf_dir):
 def keyword_aspect_clauses(spark, sf_dir):
     table = valence.valence_table(spark, t.DOC_VALENCES)
     docs = t.documents(spark, sf_dir)
-    return valence.clause_aspects(docs, "doc_id", table, keywords=t.DOC_KEYWORDS, pattern=tx.ASCII_WORDS)
+    found = valence.clause_aspects(docs, "doc_id", table, keywords=t.DOC_KEYWORDS, pattern=tx.ASCII_WORDS)
+    return found.select("doc_id", "ord", "aspect", *six("compound"), "label")
 
 
 @query
@@ -623,5 +624,5 @@ def topics_kmeans(spark, sf_dir):
 
 @query
 def stream_theme_counts(spark, sf_dir):
-    source = counts.parquet_stream(spark, sf_dir, "events.parquet", t.read(spark, sf_dir, "events").schema)
+    source = counts.parquet_stream(spark, sf_dir, "events.parquet", t.SCHEMAS["events"])
     return counts.daily_theme_counts(source, "ts", "event_type")

@@ -66,33 +66,55 @@ DOC_VALENCES = {
     "nicht": -1, "auch": 1, "mit": 1, "para": 1, "sur": -1, "pour": 1, "licensed": 1,
 }
 
-TABLES = (
-    "region nation customer supplier part orders lineitem events documents "
-    "embeddings pages benchmark labels conversations"
-).split()
+#: Declared column types of the driver's tables, so that reading starts no job.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+TABLES = tuple(SCHEMAS)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def order_themes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(feedback_id, product_id, inferred_themes) from the lines of each order."""
-    order_of = {t.code: i for i, t in enumerate(THEMES, start=1)}
+    bit_of = {t.code: 1 << i for i, t in enumerate(THEMES)}
     lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
-    parts = read(spark, sf_dir, "part").select("p_partkey", "p_type")
+    parts = read(spark, sf_dir, "part").select("p_partkey", lookup(F.col("p_type"), bit_of).alias("bit"))
     rows = lines.join(parts, lines.l_partkey == parts.p_partkey, "left")
-    code = F.when(F.col("p_type").isNotNull(), F.struct(lookup(F.col("p_type"), order_of).alias("ord"), F.col("p_type").alias("code")))
-    return rows.groupBy(F.col("l_orderkey").alias("feedback_id")).agg(
-        F.min("l_partkey").alias("product_id"),
-        # at most one element per theme
-        F.transform(F.array_sort(F.collect_set(code)), lambda c: c["code"]).alias("found"),
+    # the set of themes as one integer: merged map-side, a few bytes per order
+    grouped = rows.groupBy(F.col("l_orderkey").alias("feedback_id")).agg(
+        F.min("l_partkey").alias("product_id"), F.bit_or(F.coalesce("bit", F.lit(0))).alias("mask")
     )
+    codes = F.array(*[F.struct(F.lit(code).alias("code"), F.lit(bit).alias("bit")) for code, bit in bit_of.items()])
+    present = F.filter(codes, lambda c: F.col("mask").bitwiseAND(c["bit"]) != 0)
+    return grouped.select("feedback_id", "product_id", F.transform(present, lambda c: c["code"]).alias("found"))
 
 
-def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read(spark, sf_dir, "orders")
-    base = orders.select(
+def plain_feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feedback columns that come from orders alone."""
+    return read(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("feedback_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderpriority").alias("channel"),
@@ -101,17 +123,14 @@ def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((500 + (F.col("o_orderkey") * 37) % 501) / F.lit(1000.0)).alias("sentiment_confidence"),
         "o_totalprice",
     )
-    found = F.coalesce("found", F.array().cast("array<string>"))
-    return (
-        base.join(order_themes(spark, sf_dir), "feedback_id", "left")
-        .withColumn("inferred_themes", F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(UNCLASSIFIED))))
-        .drop("found")
-    )
 
 
-def plain_feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feedback columns that come from orders alone."""
-    return feedback(spark, sf_dir).drop("product_id", "inferred_themes")
+def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All feedback columns; a message without any line has no product and no theme."""
+    found = F.coalesce("found", F.array().cast("array<string>"))
+    themes = F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(UNCLASSIFIED)))
+    joined = plain_feedback(spark, sf_dir).join(order_themes(spark, sf_dir), "feedback_id", "left")
+    return joined.withColumn("inferred_themes", themes).drop("found")
 
 
 def labelled_feedback(spark: SparkSession, sf_dir: str) -> DataFrame:

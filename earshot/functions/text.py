@@ -55,5 +55,9 @@ def split_pairs(text: Column, first: str = "theme", second: str = "sentiment") -
     return F.transform(split_list(text), pair)
 
 
-def joined_pairs(pairs: Column, first: str = "theme", second: str = "sentiment") -> Column:
-    return joined(F.transform(pairs, lambda p: F.concat_ws(":", p[first], p[second])))
+def joined_pairs(
+    pairs: Column, first: str = "theme", second: str = "sentiment", empty: str = ""
+) -> Column:
+    """The inverse; an empty list becomes ``empty``."""
+    text = joined(F.transform(pairs, lambda p: F.concat_ws(":", p[first], p[second])))
+    return F.when(F.size(pairs) == 0, F.lit(empty)).otherwise(text)

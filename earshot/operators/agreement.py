@@ -21,11 +21,11 @@ def aspect_agreement(
     """One row: correct pairs, pairs that have an aspect, and their ratio.
 
     ``truth`` is an array of (theme, sentiment), ``detected`` an array of
-    (aspect, sentiment) with one entry per aspect. Counted message by message,
+    (aspect, Sentiment) with one entry per aspect. Counted message by message,
     then summed: no join and no shuffle but the final sum.
     """
     known = {theme: aspect for theme, aspect in theme_aspects.items() if aspect}
-    pairs = F.transform(truth, lambda t: F.struct(lookup(t["theme"], known).alias("aspect"), t["sentiment"].alias("sentiment")))
+    pairs = F.transform(truth, lambda t: F.struct(lookup(t["theme"], known).alias("aspect"), F.initcap(t["sentiment"]).alias("sentiment")))
     mappable = F.filter(pairs, lambda p: p["aspect"].isNotNull())
     correct = F.filter(mappable, lambda p: F.array_contains(F.col(detected), p))
     counted = messages.select(F.size(mappable).alias("n"), F.size(correct).alias("ok"))

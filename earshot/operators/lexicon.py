@@ -82,7 +82,9 @@ def aspects_of(hits: Column) -> Column:
         names,
         lambda name: F.struct(
             name.alias("aspect"),
-            F.try_element_at(F.filter(hits, lambda h: h["aspect"] == name), F.lit(-1))["sentiment"].alias("sentiment"),
+            F.initcap(
+                F.try_element_at(F.filter(hits, lambda h: h["aspect"] == name), F.lit(-1))["sentiment"]
+            ).alias("sentiment"),
         ),
     )
 

@@ -50,15 +50,30 @@ def orphans(fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def columns_read(result: DataFrame) -> set[str]:
-    """Names of the source columns the optimised plan of a result still reads."""
-    leaves = result._jdf.queryExecution().optimizedPlan().collectLeaves()
+    """Names of the columns the scans of a result's physical plan return.
+
+    Taken from the plan after column pruning, scalar subqueries included, so a
+    column that is in the table but not needed does not count.
+    """
     names: set[str] = set()
-    for i in range(leaves.size()):
-        output = leaves.apply(i).output()
-        names.update(output.apply(j).name() for j in range(output.size()))
+    plans = [result._jdf.queryExecution().executedPlan()]
+    while plans:
+        plan = plans.pop()
+        if plan.nodeName() == "AdaptiveSparkPlan":
+            plan = plan.initialPlan()
+        plans.extend(_items(plan.subqueriesAll()))
+        for leaf in _items(plan.collectLeaves()):
+            if leaf.nodeName() == "AdaptiveSparkPlan":
+                plans.append(leaf)
+            else:
+                names.update(column.name() for column in _items(leaf.output()))
     return names
 
 
+def _items(sequence) -> list:
+    return [sequence.apply(i) for i in range(sequence.size())]
+
+
 def assert_no_truth(result: DataFrame, truth: Iterable[str] = TRUTH_COLUMNS) -> None:
     """Fails when an operational result depends on a truth column."""
     leaked = columns_read(result) & set(truth)

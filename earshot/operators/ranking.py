@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def percentile_of_value(
-    weights: DataFrame, value: str, weight: str, slices: int = 256, out: str = "percentile"
+    weights: DataFrame, value: str, weight: str, slices: int = 128, out: str = "percentile"
 ) -> DataFrame:
     """(value, percentile): average-tie percentile rank of each distinct value.
 
@@ -29,15 +29,20 @@ def percentile_of_value(
     sliced = ties.withColumn("_cuts", cuts).select(
         value, "ties", F.coalesce(F.size(below_me), F.lit(0)).alias("slice")
     )
-    totals = sliced.groupBy("slice").agg(F.sum("ties").alias("inside"))
+    inner = Window.partitionBy("slice")
+    ranked = sliced.select(
+        value, "ties", "slice",
+        F.coalesce(F.sum("ties").over(inner.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
+        F.sum("ties").over(inner).alias("inside"),
+    )
+    # read off the windowed rows, so that both sides share one shuffle by slice
+    totals = ranked.groupBy("slice").agg(F.max("inside").alias("inside"))
     by_slice = Window.orderBy("slice")
     offsets = totals.select(
         "slice",
         F.coalesce(F.sum("inside").over(by_slice.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"),
         F.sum("inside").over(by_slice.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("n"),
     )
-    inner = Window.partitionBy("slice").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = sliced.withColumn("before", F.coalesce(F.sum("ties").over(inner), F.lit(0)))
     mean_rank = F.col("offset") + F.col("before") + (F.col("ties") + 1) / 2
     return ranked.join(F.broadcast(offsets), "slice").select(
         value, (mean_rank.cast("double") / F.col("n").cast("double")).alias(out)

@@ -83,7 +83,12 @@ def by_lda(
     ).fit(counted)
     counted.unpersist()
     out = model.transform(data.features.counts(data.docs.select(data.doc, data.text), data.text))
-    weights = out.select(data.doc, vector_to_array("topicDistribution").alias("weights"))
+    found = vector_to_array("topicDistribution")
+    # a document without any known term belongs to all topics alike
+    alike = F.array_repeat(F.lit(1.0 / k), k)
+    weights = out.select(
+        data.doc, F.when(F.array_max(found) > 0, found).otherwise(alike).alias("weights")
+    )
     return Topics(
         weights.withColumn("topic", argmax(F.col("weights"))), np.asarray(model.topicsMatrix().toArray()).T
     )

@@ -44,23 +44,23 @@ def worsening_products(
     last = scored.agg(F.max("feedback_date")).scalar()
     day = F.col("feedback_date")
     recent = day >= F.date_sub(last, days)
-    window = scored.where(day >= F.date_sub(last, 2 * days))
-    # only the grouping key is needed from the dimension when grouping by it
-    attributes = products.select("product_id", "category")
-    if by == "product_id":
-        rows, names = window, ["product_id"]
-    else:
-        rows, names = window.join(attributes, "product_id"), [by]
-    split = rows.groupBy(*names).agg(
-        count_where(recent).alias("n_recent"),
-        count_where(recent & negative()).alias("neg_recent"),
-        count_where(~recent).alias("n_prior"),
-        count_where(~recent & negative()).alias("neg_prior"),
+    counts = ("n_recent", "neg_recent", "n_prior", "neg_prior")
+    # counted per product before the join, so the dimension meets no fact rows
+    split = (
+        scored.where(day >= F.date_sub(last, 2 * days))
+        .groupBy("product_id")
+        .agg(
+            count_where(recent).alias("n_recent"),
+            count_where(recent & negative()).alias("neg_recent"),
+            count_where(~recent).alias("n_prior"),
+            count_where(~recent & negative()).alias("neg_prior"),
+        )
+        .join(products.select("product_id", "category"), "product_id")
     )
+    names = ["product_id", "category"] if by == "product_id" else [by]
+    if by != "product_id":
+        split = split.groupBy(by).agg(*[F.sum(c).alias(c) for c in counts])
     thick = split.where((F.col("n_recent") >= least) & (F.col("n_prior") >= least))
-    if by == "product_id":
-        thick = thick.join(attributes, "product_id")
-        names = ["product_id", "category"]
     now = F.col("neg_recent").cast("double") / F.col("n_recent")
     then = F.col("neg_prior").cast("double") / F.col("n_prior")
     return (

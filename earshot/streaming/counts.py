@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from earshot.session import scratch_dir
 
 
-def parquet_stream(spark: SparkSession, folder: str, pattern: str, schema: T.StructType) -> DataFrame:
+def parquet_stream(spark: SparkSession, folder: str, pattern: str, schema: T.StructType | str) -> DataFrame:
     """New parquet files of a folder as a stream; the schema is given, not guessed."""
     return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
 
