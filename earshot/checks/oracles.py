@@ -211,6 +211,16 @@ VIEWS["vocab"] = """
 VIEWS["weighted"] = """
     SELECT doc_id, term, idx, tf, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight
     FROM (SELECT *, tf * (ln((1 + (SELECT count(*) FROM documents)) / CAST(1 + df AS DOUBLE)) + 1.0) AS w FROM terms JOIN vocab USING (term))"""
+VIEWS["grams"] = f"""
+    SELECT doc_id, term, count(*) AS tf
+    FROM (SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term
+          FROM (SELECT doc_id, {_ASCII} AS w FROM documents)) GROUP BY 1, 2"""
+VIEWS["gram_vocab"] = """
+    SELECT term, df FROM (SELECT term, count(*) AS df, sum(tf) AS cf FROM grams GROUP BY 1 HAVING count(*) >= 3
+                          ORDER BY cf DESC, term LIMIT 20000)"""
+VIEWS["gram_weights"] = """
+    SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight
+    FROM (SELECT *, tf * (ln((1 + (SELECT count(*) FROM documents)) / CAST(1 + df AS DOUBLE)) + 1.0) AS w FROM grams JOIN gram_vocab USING (term))"""
 VIEWS["argmax"] = "SELECT vec_id, label, list_position(embedding, list_max(embedding)) - 1 AS topic FROM embeddings"
 VIEWS["majority"] = """
     SELECT topic, sum(c) AS n, arg_min(label, (-c, label)) AS best, max(c) AS hits
@@ -478,6 +488,8 @@ ORACLES.update(
     {
         "term_counts": sql("SELECT doc_id, term, idx, tf FROM terms JOIN vocab USING (term)"),
         "tfidf_weights": sql(f"SELECT doc_id, term, idx, tf, {_six('weight')} FROM weighted"),
+        "tfidf_features": sql(f"""
+    SELECT term, n_docs, {_six('weight_sum')} FROM (SELECT term, count(*) AS n_docs, sum(weight) AS weight_sum FROM gram_weights GROUP BY 1)"""),
         "topic_argmax": sql("SELECT vec_id, label, topic FROM argmax"),
         "topic_majority": sql("SELECT topic AS cluster, CAST(n AS BIGINT) AS n, best AS majority, hits FROM majority"),
         "topic_purity": sql("""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -508,10 +509,12 @@ def tfidf_weights(spark, sf_dir):
 
 @query
 def tfidf_features(spark, sf_dir):
-    """Vectors of words and word pairs, as arrays of their non-zero weights."""
+    """Profile of the document vectors over words and word pairs."""
     docs = t.documents(spark, sf_dir)
-    fitted = features.fit_features(docs, "doc_id", "text", SENTIMENT_RULES)
-    return fitted.tfidf(docs, "text").select("doc_id", "features")
+    rules = replace(SENTIMENT_RULES, pattern=tx.ASCII_WORDS)
+    fitted = features.fit_features(docs, "doc_id", "text", rules)
+    profile = features.feature_profile(fitted.tfidf(docs, "text"), fitted)
+    return profile.select("term", "n_docs", *six("weight_sum"))
 
 
 def _split(spark, sf_dir):

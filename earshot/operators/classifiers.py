@@ -39,11 +39,11 @@ def margin_confidence(rows: DataFrame, margin: str, out: str = "sentiment_confid
 
 def with_class_weights(rows: DataFrame, label: str, labels: Sequence[str]) -> tuple[DataFrame, int]:
     """Adds ``label_idx`` and balanced ``class_weight`` = n / (classes * n_class)."""
-    counts = {r[label]: r["count"] for r in rows.groupBy(label).count().collect() if r[label] in labels}
+    known = rows.where(F.col(label).isin(*labels))
+    counts = {r[label]: r["count"] for r in known.groupBy(label).count().collect()}
     n = sum(counts.values())
     weight = {c: n / (len(counts) * k) for c, k in counts.items()}
     position = {c: float(i) for i, c in enumerate(labels)}
-    known = rows.where(F.col(label).isin(*counts))
     return known.withColumn("class_weight", lookup(F.col(label), weight)).withColumn(
         "label_idx", lookup(F.col(label), position)
     ), n

@@ -9,12 +9,17 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from earshot.functions.text import WORDS, tokens, word_grams
 
+#: Largest vocabulary, by its own limit, that is sent to every executor.
+BROADCAST_TERMS = 200_000
+
 
 @dataclass(frozen=True)
 class TermRules:
@@ -65,6 +70,11 @@ def vocabulary(counts: DataFrame, rules: TermRules) -> DataFrame:
     return frequent.withColumn("idx", F.row_number().over(Window.orderBy("term")) - 1)
 
 
+def bounded(words: DataFrame, rules: TermRules) -> DataFrame:
+    """Hints a vocabulary for broadcast where its limit proves it small."""
+    return F.broadcast(words) if rules.max_features <= BROADCAST_TERMS else words
+
+
 def smooth_idf(df: Column, n: Column) -> Column:
     return F.log((F.lit(1) + n) / (F.lit(1) + df)) + F.lit(1.0)
 
@@ -72,15 +82,14 @@ def smooth_idf(df: Column, n: Column) -> Column:
 def vocabulary_counts(docs: DataFrame, doc: str, text: str, rules: TermRules) -> DataFrame:
     """(doc, term, idx, tf) over the vocabulary."""
     counts = term_counts(docs, doc, text, rules)
-    words = vocabulary(counts, rules).select("term", "idx")
-    return counts.join(F.broadcast(words), "term").select(doc, "term", "idx", "tf")
+    words = bounded(vocabulary(counts, rules).select("term", "idx"), rules)
+    return counts.join(words, "term").select(doc, "term", "idx", "tf")
 
 
 def tfidf_weights(docs: DataFrame, doc: str, text: str, rules: TermRules) -> DataFrame:
     """(doc, term, idx, tf, weight): smoothed idf, each document scaled to length 1."""
     counts = term_counts(docs, doc, text, rules)
-    # bounded by max_features, hence the broadcast
-    words = F.broadcast(vocabulary(counts, rules).select("term", "idx", "df"))
+    words = bounded(vocabulary(counts, rules).select("term", "idx", "df"), rules)
     n = docs.agg(F.count(F.lit(1))).scalar()
     raw = counts.join(words, "term").withColumn("raw", F.col("tf") * smooth_idf(F.col("df"), n))
     return raw.select(doc, "term", "idx", "tf", _unit(doc).alias("weight"))
@@ -131,7 +140,7 @@ class TextFeatures:
         Unknown terms are dropped right after they are cut out of the text, so
         only vocabulary counts are shuffled.
         """
-        words = F.broadcast(self.table(docs.sparkSession))
+        words = bounded(self.table(docs.sparkSession), self.rules)
         cut = docs.select(doc, F.explode(self.rules.terms(F.col(text))).alias("term"))
         counted = cut.join(words, "term").groupBy(doc, "term", "idx", "idf").agg(F.count(F.lit(1)).alias("tf"))
         raw = counted.withColumn("raw", F.col("tf") * F.col("idf"))
@@ -143,6 +152,22 @@ def _unit(doc: str) -> Column:
     return F.col("raw") / F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(doc)))
 
 
+def feature_profile(rows: DataFrame, features: TextFeatures, column: str = "features") -> DataFrame:
+    """(term, n_docs, weight_sum) of a column of fitted vectors.
+
+    Summed as vectors; only the one summary row is taken apart.
+    """
+    summary = Summarizer.metrics("numNonZeros", "sum").summary(F.col(column)).alias("s")
+    arrays = rows.select(summary).select(
+        vector_to_array("s.numNonZeros").alias("n"), vector_to_array("s.sum").alias("w")
+    )
+    each = arrays.select(F.posexplode(F.arrays_zip("n", "w")).alias("idx", "x"))
+    terms = features.table(rows.sparkSession).select("idx", "term")
+    return each.join(terms, "idx").select(
+        "term", F.col("x.n").cast("long").alias("n_docs"), F.col("x.w").alias("weight_sum")
+    )
+
+
 def fit_features(docs: DataFrame, doc: str, text: str, rules: TermRules) -> TextFeatures:
     """Vocabulary and idf of a corpus; only those ``max_features`` rows are fetched."""
     counts = term_counts(docs, doc, text, rules)

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from earshot.catalogue import ALERT_MESSAGE
 from earshot.functions.labels import label_or_code
 from earshot.functions.numbers import half_even, ratio
 
@@ -134,7 +135,7 @@ def alerts(
     labels: Mapping[str, str],
     rule: AlertRule = AlertRule(),
     as_of: str = "theme_last",
-    prefix: str = "\U0001F6A8 ",
+    template: str = ALERT_MESSAGE,
 ) -> DataFrame:
     """The alert list: one row per theme whose latest point breaks the rule."""
     hit = latest_per_theme(metrics, as_of).where(flagged(rule))
@@ -142,8 +143,7 @@ def alerts(
     base, recent = F.col("baseline_mean") * 100, F.col("recent_avg") * 100
     change, z = F.col("change") * 100, F.col("z_score")
     message = F.format_string(
-        prefix + "Emerging Issue Detected: %s complaints rose from a baseline of %.2f%% to %.2f%% "
-        "of feedback over the last 7 days (+%.0f%%, z=%.1f).",
+        template,
         theme, half_even(base, 2), half_even(recent, 2), half_even(change, 0), half_even(z, 1),
     )
     return hit.select(

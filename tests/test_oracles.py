@@ -7,7 +7,7 @@ from earshot.checks.compare import differences, duck
 
 QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 MODELS = {
-    "tfidf_features", "sentiment_logreg", "sentiment_svm", "sentiment_champion",
+    "sentiment_logreg", "sentiment_svm", "sentiment_champion",
     "topics_nmf", "topics_lda", "lsa_embedding", "topic_top_terms", "topics_champion", "topics_kmeans",
 }
 
