@@ -146,21 +146,35 @@ def fit_svm(data: TrainingSet, c: float = 1.0, max_iter: int = 1000, tol: float
     return score
 
 
-def macro_f1(scored: DataFrame, truth: str, labels: Sequence[str] = SENTIMENTS) -> float:
-    """Macro F1 over the label list; only the report's few rows reach the driver."""
-    matrix = confusion_matrix(scored, truth, "predicted_sentiment", labels)
+@dataclass(frozen=True)
+class Judgement:
+    """How one model did on held-out rows; both tables have a handful of rows."""
+
+    matrix: DataFrame
+    report: DataFrame
+    macro_f1: float
+
+
+def judge(scored: DataFrame, truth: str, labels: Sequence[str] = SENTIMENTS) -> Judgement:
+    """One pass over the scored rows; only the label x label counts reach the driver."""
+    counted = confusion_matrix(scored, truth, "predicted_sentiment", labels)
+    matrix = scored.sparkSession.createDataFrame(counted.collect(), counted.schema)
     report = classification_report(matrix, labels)
-    return report.where(F.col("label") == "macro avg").first()["f1"]
+    return Judgement(matrix, report, report.where(F.col("label") == "macro avg").first()["f1"])
 
 
 @dataclass(frozen=True)
 class Contest:
     """Outcome of the model comparison."""
 
-    macro_f1: dict[str, float]
+    judged: dict[str, Judgement]
     winner: str
     scorers: dict[str, Scorer]
 
+    @property
+    def macro_f1(self) -> dict[str, float]:
+        return {name: j.macro_f1 for name, j in self.judged.items()}
+
     def score(self, rows: DataFrame) -> DataFrame:
         return self.scorers[self.winner](rows)
 
@@ -189,6 +203,6 @@ def compare(
         "tfidf_linear_svm": fit_svm(data),
     }
     data.release()
-    results = {name: macro_f1(score(held_out), truth, labels) for name, score in scorers.items()}
+    judged = {name: judge(score(held_out), truth, labels) for name, score in scorers.items()}
     split.unpersist()
-    return Contest(results, max(results, key=results.get), scorers)
+    return Contest(judged, max(judged, key=lambda name: judged[name].macro_f1), scorers)

@@ -195,9 +195,9 @@ class Nmf:
         return dense_rows(rows, doc, lambda cells: nonnegative_weights(cells, topics), out)
 
 
-def _starting_topics(rows: DataFrame, n_terms: int, rank: int, seed: int) -> np.ndarray:
+def _starting_topics(rows: DataFrame, n_rows: int, n_terms: int, rank: int, seed: int) -> np.ndarray:
     """Non-negative double SVD start (Boutsidis, Gallopoulos 2008), zeros set to the mean."""
-    svd = truncated_svd(rows, n_terms, rank, seed=seed)
+    svd = truncated_svd(rows, n_terms, rank, rounds=2, seed=seed)  # a start need not be sharp
     rank = svd.components.shape[1]
     components = svd.components
 
@@ -219,7 +219,7 @@ def _starting_topics(rows: DataFrame, n_terms: int, rank: int, seed: int) -> np.
         # size / values = norm of the matching left part
         if length > 0 and svd.values[j] > 0:
             topics[j] = np.sqrt(size * length) * side / length
-    mean = by_term[:, 0].sum() / max(n_terms * rows.count(), 1)
+    mean = by_term[:, 0].sum() / max(n_terms * n_rows, 1)
     topics[topics <= 0.0] = mean
     return topics
 
@@ -234,9 +234,10 @@ def nonnegative_factors(
     those sums. The squared error comes from the same sums, so it costs no extra
     pass. Stops when a round gains less than ``tol`` of the first error.
     """
-    topics = _starting_topics(rows, n_terms, rank, seed)
+    squares = F.aggregate("val", F.lit(0.0), lambda s, v: s + v * v)
+    n_rows, length = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(squares), F.lit(0.0))).first()
+    topics = _starting_topics(rows, n_rows, n_terms, rank, seed)
     rank = len(topics)
-    length = rows.agg(F.sum(F.aggregate("val", F.lit(0.0), lambda s, v: s + v * v))).first()[0] or 0.0
     errors: list[float] = []
     for _ in range(max_iter):
         fixed = topics

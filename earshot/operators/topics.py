@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 from pyspark import StorageLevel
@@ -13,7 +13,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from earshot.operators.agreement import purity
+from earshot.operators.agreement import cluster_majority
 from earshot.operators.classifiers import argmax
 from earshot.operators.factors import nonnegative_factors, truncated_svd
 from earshot.operators.features import TermRules, TextFeatures, fit_features, sparse_rows
@@ -154,10 +154,16 @@ def topic_names(terms: DataFrame, n: int = 3) -> DataFrame:
 
 @dataclass(frozen=True)
 class TopicContest:
-    """Outcome of the method comparison."""
+    """Outcome of the method comparison.
+
+    ``majorities`` is (method, topic, n, majority, hits) against the truth, for
+    evaluation only; ``terms`` is (method, topic, rank, term, weight).
+    """
 
     purity: dict[str, float]
     winner: str
+    majorities: DataFrame
+    terms: DataFrame
     labelled: DataFrame
 
 
@@ -167,19 +173,31 @@ def compare(data: Corpus, truth: DataFrame, k: int = 10, rank: int = 100, seed:
     ``truth`` is (doc, truth); it only decides which method wins. The first of
     equally pure methods wins, in the order NMF, LDA, embedding + KMeans.
     """
+    spark = data.docs.sparkSession
     found = {
         "nmf": by_nmf(data, k, seed=seed),
         "lda": by_lda(data, k, seed=seed),
         "embedding_kmeans": by_kmeans(lsa_embedding(data, rank, seed), data.doc, k=k, seed=seed),
     }
-    scores = {
-        name: purity(topics.assigned.join(truth, data.doc), "topic", "truth").first()["purity"]
+    # one row per topic and method
+    rows = [
+        (name, *row)
         for name, topics in found.items()
+        for row in cluster_majority(topics.assigned.join(truth, data.doc), "topic", "truth").collect()
+    ]
+    scores = {
+        name: sum(r[4] or 0 for r in rows if r[0] == name) / max(1, sum(r[2] for r in rows if r[0] == name))
+        for name in found
     }
     winner = max(scores, key=scores.get)
-    names = topic_names(top_terms(data, found[winner]))
+    majorities = spark.createDataFrame(rows, "method string, topic int, n long, majority string, hits long")
+    terms = {name: top_terms(data, topics) for name, topics in found.items()}
+    listed = reduce(
+        DataFrame.unionByName, [t.select(F.lit(name).alias("method"), "*") for name, t in terms.items()]
+    )
     # one row per topic
-    labelled = found[winner].assigned.join(F.broadcast(names), "topic", "left").select(
+    names = F.broadcast(topic_names(terms[winner]))
+    labelled = found[winner].assigned.join(names, "topic", "left").select(
         data.doc, F.col("topic").alias("discovered_topic_id"), F.col("label").alias("discovered_topic_label")
     )
-    return TopicContest(scores, winner, labelled)
+    return TopicContest(scores, winner, majorities, listed, labelled)

@@ -169,6 +169,11 @@ def run(spark: SparkSession, data: str, out: str, settings: Settings | None = No
     tables.write_json(aspect_comparison(tagged, settings), f"{out}/aspect_evaluation")
     with_topics, found = discover_topics(tagged, settings)
     enriched = store(with_topics, "feedback_enriched")
+    for name, judged in sentiment.judged.items():
+        tables.write_json(judged.report, f"{out}/sentiment_evaluation/{name}/report")
+        tables.write_json(judged.matrix, f"{out}/sentiment_evaluation/{name}/confusion_matrix")
+    tables.write_json(found.terms, f"{out}/topic_evaluation/top_terms")
+    tables.write_json(found.majorities, f"{out}/topic_evaluation/majorities")
     results = [("sentiment", k, float(v), k == sentiment.winner) for k, v in sentiment.macro_f1.items()]
     results += [("topics", k, float(v), k == found.winner) for k, v in found.purity.items()]
     tables.write_json(

@@ -74,7 +74,11 @@ def executive(
         F.mode(F.when(negative(), F.col("theme_label_primary")), True).alias("top_complaint_topic"),
         count_where(F.col("feedback_date") > F.date_sub(last, days)).alias("last_30d_feedback_volume"),
         F.max("feedback_date").alias("as_of_date"),
-    ).withColumn("emerging_issues_count", n_alerts)
+    ).select(
+        "total_feedback", "negative_sentiment_pct", "csat_proxy_pct", n_alerts.alias("emerging_issues_count"),
+        "critical_complaints_count", "resolution_rate_proxy_pct", "at_risk_customers_count",
+        "top_complaint_topic", "last_30d_feedback_volume", "as_of_date",
+    )
 
 
 def sentiment_trend(scored: DataFrame) -> DataFrame:

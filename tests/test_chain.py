@@ -87,6 +87,20 @@ def test_trained_models_beat_the_rules(spark, finished):
     assert [r.method for r in rows if r.chosen] == [max(scores, key=scores.get)]
 
 
+def test_evaluations_are_written(spark, finished):
+    out = finished[1]
+    for model in ("rule_based", "tfidf_logreg", "tfidf_linear_svm"):
+        report = spark.read.json(f"{out}/sentiment_evaluation/{model}/report")
+        assert report.count() == 6
+        assert spark.read.json(f"{out}/sentiment_evaluation/{model}/confusion_matrix").agg(F.sum("n")).first()[0] == (
+            report.where("label = 'accuracy'").first().support
+        )
+    terms = spark.read.json(f"{out}/topic_evaluation/top_terms")
+    assert {r.method for r in terms.select("method").distinct().collect()} == {"nmf", "lda", "embedding_kmeans"}
+    majorities = spark.read.json(f"{out}/topic_evaluation/majorities")
+    assert majorities.groupBy("method").agg(F.sum("n").alias("n")).where("n <> 1600").count() == 0
+
+
 def test_growing_issue_lifts_the_score(finished):
     scored = finished[0]["scored"]
     growing = scored.where("issue_growth_score = 1").select("theme_label_primary").distinct().collect()
