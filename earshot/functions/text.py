@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,16 @@ WORDS = r"(?U)\b\w\w+\b"
 ASCII_WORDS = r"[a-z0-9]{2,}"
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once per row.
+
+    An expression that is used twice, or inside a lambda, would otherwise be
+    evaluated at each use: the optimiser folds a projected column back into the
+    lambda that reads it.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def tokens(text: Column, pattern: str = WORDS) -> Column:
     """Lower-cased tokens in text order, as an array."""
     return F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))

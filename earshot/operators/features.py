@@ -15,7 +15,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from earshot.functions.text import WORDS, tokens, word_grams
+from earshot.functions.text import WORDS, bind, tokens, word_grams
 
 #: Largest vocabulary, by its own limit, that is sent to every executor.
 BROADCAST_TERMS = 200_000
@@ -37,8 +37,7 @@ class TermRules:
             words = F.filter(words, lambda w: ~w.isin(*self.stop_words))
         if self.grams == 1:
             return words
-        # bound as a lambda variable: the text is tokenised once, not per use
-        return F.get(F.transform(F.array(words), lambda w: word_grams(w, self.grams)), 0)
+        return bind(words, lambda w: word_grams(w, self.grams))
 
 
 def english_stop_words() -> tuple[str, ...]:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from earshot.catalogue import ASPECT_KEYWORDS, UNCLASSIFIED, Phrase
+from earshot.functions.text import bind
 
 
 def flatten_lexicon(
@@ -65,28 +66,27 @@ def lexicon_hits(text: Column, lexicon: Sequence[Phrase], aspects: Mapping[str,
             for ord_, p in enumerate(lexicon, start=1)
         ]
     )
-    return _with_lowered(text, lambda low: F.filter(entries, lambda e: F.contains(low, e["phrase"])))
+    return bind(F.lower(text), lambda low: F.filter(entries, lambda e: F.contains(low, e["phrase"])))
 
 
 def themes_of(hits: Column) -> Column:
     """Distinct themes in lexicon order; ``[unclassified]`` when nothing matched."""
     found = F.array_distinct(F.transform(hits, lambda h: h["theme"]))
-    return F.when(F.size(hits) > 0, found).otherwise(F.array(F.lit(UNCLASSIFIED)))
+    return bind(found, lambda f: F.when(F.size(f) > 0, f).otherwise(F.array(F.lit(UNCLASSIFIED))))
 
 
 def aspects_of(hits: Column) -> Column:
     """(aspect, sentiment) pairs: the first hit places an aspect, the last labels it."""
-    mapped = F.filter(hits, lambda h: h["aspect"].isNotNull())
-    names = F.array_distinct(F.transform(mapped, lambda h: h["aspect"]))
-    return F.transform(
-        names,
-        lambda name: F.struct(
-            name.alias("aspect"),
-            F.initcap(
-                F.try_element_at(F.filter(hits, lambda h: h["aspect"] == name), F.lit(-1))["sentiment"]
-            ).alias("sentiment"),
-        ),
-    )
+
+    def pair(mapped: Column, name: Column) -> Column:
+        last = F.try_element_at(F.filter(mapped, lambda h: h["aspect"] == name), F.lit(-1))
+        return F.struct(name.alias("aspect"), F.initcap(last["sentiment"]).alias("sentiment"))
+
+    def pairs(mapped: Column) -> Column:
+        names = F.array_distinct(F.transform(mapped, lambda h: h["aspect"]))
+        return F.transform(names, lambda name: pair(mapped, name))
+
+    return bind(F.filter(hits, lambda h: h["aspect"].isNotNull()), pairs)
 
 
 def keyword_aspects(text: Column, keywords: Mapping[str, Sequence[str]] = ASPECT_KEYWORDS) -> Column:
@@ -116,7 +116,7 @@ def keyword_aspects(text: Column, keywords: Mapping[str, Sequence[str]] = ASPECT
         )
         return F.filter(tried, lambda e: e["keyword"].isNotNull())
 
-    return _with_lowered(text, match)
+    return bind(F.lower(text), match)
 
 
 def tag_messages(
@@ -130,9 +130,3 @@ def tag_messages(
         .withColumn("inferred_themes", themes_of(F.col("_hits")))
         .drop("_hits")
     )
-
-
-def _with_lowered(text: Column, body) -> Column:
-    # Bound as a lambda variable so that the text is lowered once per message;
-    # a projected column would be folded into the inner lambda and run per phrase.
-    return F.get(F.transform(F.array(F.lower(text)), body), 0)
