@@ -19,8 +19,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,6 +63,10 @@ def _batch(key: str, keys: pa.Array, name: str, dense: np.ndarray) -> pa.RecordB
     return pa.RecordBatch.from_arrays([keys, lists], names=[key, name])
 
 
+#: Columns that are summed in one row; wider ranks are cut into blocks, which
+#: keeps the aggregation within generated code.
+BLOCK = 32
+
 #: Per batch: adds its share to a (terms x rank) and a (rank x rank) sum.
 Contribution = Callable[[Cells, np.ndarray, np.ndarray], None]
 
@@ -76,28 +78,39 @@ def summed(rows: DataFrame, n_terms: int, rank: int, add: Contribution) -> tuple
     merges them by term id, again map-side first. Square rows have negative ids.
     """
 
+    width = min(rank, BLOCK)
+    blocks = -(-rank // width)
+    names = [f"c{j}" for j in range(width)]
+
     def partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_term, square = np.zeros((n_terms, rank)), np.zeros((rank, rank))
         for batch in batches:
             add(Cells.of(batch), by_term, square)
         seen = np.flatnonzero(by_term.any(axis=1))
-        yield _batch("key", pa.array(seen, pa.int64()), "vec", by_term[seen])
-        yield _batch("key", pa.array(-1 - np.arange(rank), pa.int64()), "vec", square)
+        keys = np.concatenate([seen, -1 - np.arange(rank)])
+        values = np.concatenate([by_term[seen], square])
+        values = np.pad(values, ((0, 0), (0, blocks * width - rank)))
+        for b in range(blocks):
+            part = values[:, b * width : (b + 1) * width]
+            columns = [pa.array(np.ascontiguousarray(part[:, j])) for j in range(width)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), pa.array(np.full(len(keys), b, np.int32)), *columns],
+                names=["key", "block", *names],
+            )
 
     merged = (
         rows.select("idx", "val")
-        .mapInArrow(partials, "key long, vec array<double>")
-        .groupBy("key")
-        .agg(Summarizer.sum(array_to_vector("vec")).alias("total"))
-        .select("key", vector_to_array("total").alias("total"))
-    ).toPandas()
-    by_term, square = np.zeros((n_terms, rank)), np.zeros((rank, rank))
-    for key, total in zip(merged["key"], merged["total"]):
-        if key >= 0:
-            by_term[key] = total
-        else:
-            square[-1 - key] = total
-    return by_term, square
+        .mapInArrow(partials, ", ".join(["key long", "block int", *[f"{c} double" for c in names]]))
+        .groupBy("key", "block")
+        .agg(*[F.sum(c).alias(c) for c in names])
+        .toPandas()
+    )
+    by_term, square = np.zeros((n_terms, blocks * width)), np.zeros((rank, blocks * width))
+    for b, part in merged.groupby("block"):
+        keys, values, at = part["key"].to_numpy(), part[names].to_numpy(), slice(b * width, (b + 1) * width)
+        by_term[keys[keys >= 0], at] = values[keys >= 0]
+        square[-1 - keys[keys < 0], at] = values[keys < 0]
+    return by_term[:, :rank], square[:, :rank]
 
 
 def dense_rows(rows: DataFrame, doc: str, small: Callable[[Cells], np.ndarray], out: str) -> DataFrame:
