@@ -14,15 +14,22 @@ lineage to cut, and a lost executor costs one recomputed partition.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Executors need not have this package installed: the helpers below travel with
+# the tasks that use them.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 @dataclass(frozen=True)
 class Cells:
     """A batch of sparse rows as flat arrays."""

@@ -1,5 +1,9 @@
+import subprocess
+import sys
+
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from earshot.checks import queries as q
@@ -67,6 +71,18 @@ def test_nonnegative_weights_solve_their_problem():
     np.testing.assert_allclose(factors.nonnegative_weights(cells, topics_, sweeps=5000), truth, atol=1e-5)
 
 
+def test_task_code_needs_no_installed_package(tmp_path):
+    """Workers far from this folder can still load what the tasks carry."""
+    code = cloudpickle.dumps(lambda: factors.nonnegative_weights(
+        factors.Cells(np.array([0]), np.array([1]), np.array([2.0]), 1), np.eye(2)
+    ))
+    script = "import pickle, sys; print(pickle.load(sys.stdin.buffer)().tolist())"
+    done = subprocess.run(
+        [sys.executable, "-I", "-c", script], input=code, capture_output=True, cwd=tmp_path, timeout=120
+    )
+    assert done.stdout.decode().strip() == "[[0.0, 2.0]]", done.stderr.decode()
+
+
 def test_tfidf_tables_and_vectors_agree(spark):
     docs = spark.createDataFrame(
         [(1, "red red fish"), (2, "blue fish"), (3, "red bird and fish"), (4, "!!")], "doc int, text string"
