@@ -512,7 +512,7 @@ def tfidf_features(spark, sf_dir):
     """Profile of the document vectors over words and word pairs."""
     docs = t.documents(spark, sf_dir)
     rules = replace(SENTIMENT_RULES, pattern=tx.ASCII_WORDS)
-    fitted = features.fit_features(docs, "doc_id", "text", rules)
+    fitted = features.fit_features(docs, "text", rules)
     profile = features.feature_profile(fitted.tfidf(docs, "text"), fitted)
     return profile.select("term", "n_docs", *six("weight_sum"))
 

@@ -81,7 +81,7 @@ def training_set(
     labels: Sequence[str] = SENTIMENTS,
 ) -> TrainingSet:
     train = train.select(doc, text, label).persist(StorageLevel.MEMORY_AND_DISK)
-    features = fit_features(train, doc, text, rules)
+    features = fit_features(train, text, rules)
     weighted, n = with_class_weights(train, label, labels)
     rows = features.tfidf(weighted, text).select("label_idx", "class_weight", "features")
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)

@@ -1,7 +1,7 @@
 """Term counts and TF-IDF, as tables and as vectors.
 
 Counting is relational, so the vocabulary is deterministic (ties go to the
-smaller term) and only its ``max_features`` rows ever reach the driver.
+smaller term), and only its ``max_features`` rows ever reach the driver.
 """
 
 from __future__ import annotations
@@ -45,23 +45,34 @@ def english_stop_words() -> tuple[str, ...]:
     return tuple(StopWordsRemover.loadDefaultStopWords("english"))
 
 
-def term_counts(docs: DataFrame, doc: str, text: str, rules: TermRules) -> DataFrame:
-    """(doc, term, tf) over all terms."""
+def term_frequencies(docs: DataFrame, text: str, rules: TermRules) -> DataFrame:
+    """(term, df, cf): documents that hold a term, and its occurrences.
+
+    Each document emits its terms and, marked, its distinct terms. Both are
+    merged by term map-side, so the shuffle carries one row per term and task
+    and never (document, term) pairs.
+    """
+    marked = bind(
+        rules.terms(F.col(text)),
+        lambda words: F.concat(
+            F.transform(words, lambda w: F.struct(w.alias("term"), F.lit(0).alias("first"))),
+            F.transform(F.array_distinct(words), lambda w: F.struct(w.alias("term"), F.lit(1).alias("first"))),
+        ),
+    )
     return (
-        docs.select(doc, F.explode(rules.terms(F.col(text))).alias("term"))
-        .groupBy(doc, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
+        docs.select(F.explode(marked).alias("m"))
+        .groupBy("m.term")
+        .agg(F.sum("m.first").alias("df"), F.sum(1 - F.col("m.first")).alias("cf"))
     )
 
 
-def vocabulary(counts: DataFrame, rules: TermRules) -> DataFrame:
+def vocabulary(docs: DataFrame, text: str, rules: TermRules) -> DataFrame:
     """(term, df, cf, idx): the most frequent terms, numbered in term order.
 
     At most ``max_features`` rows, found by a distributed top-k.
     """
     frequent = (
-        counts.groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+        term_frequencies(docs, text, rules)
         .where(F.col("df") >= rules.min_df)
         .orderBy(F.col("cf").desc(), "term")
         .limit(rules.max_features)
@@ -78,19 +89,28 @@ def smooth_idf(df: Column, n: Column) -> Column:
     return F.log((F.lit(1) + n) / (F.lit(1) + df)) + F.lit(1.0)
 
 
+def known_terms(docs: DataFrame, doc: str, text: str, rules: TermRules, words: DataFrame) -> DataFrame:
+    """Counts of known terms per document: (doc, columns of words, tf).
+
+    Unknown terms are dropped right after they are cut out of the text, so only
+    vocabulary counts are shuffled.
+    """
+    cut = docs.select(doc, F.explode(rules.terms(F.col(text))).alias("term"))
+    known = cut.join(bounded(words, rules), "term")
+    return known.groupBy(doc, *words.columns).agg(F.count(F.lit(1)).alias("tf"))
+
+
 def vocabulary_counts(docs: DataFrame, doc: str, text: str, rules: TermRules) -> DataFrame:
     """(doc, term, idx, tf) over the vocabulary."""
-    counts = term_counts(docs, doc, text, rules)
-    words = bounded(vocabulary(counts, rules).select("term", "idx"), rules)
-    return counts.join(words, "term").select(doc, "term", "idx", "tf")
+    return known_terms(docs, doc, text, rules, vocabulary(docs, text, rules).select("term", "idx"))
 
 
 def tfidf_weights(docs: DataFrame, doc: str, text: str, rules: TermRules) -> DataFrame:
     """(doc, term, idx, tf, weight): smoothed idf, each document scaled to length 1."""
-    counts = term_counts(docs, doc, text, rules)
-    words = bounded(vocabulary(counts, rules).select("term", "idx", "df"), rules)
+    words = vocabulary(docs, text, rules).select("term", "idx", "df")
+    counts = known_terms(docs, doc, text, rules, words)
     n = docs.agg(F.count(F.lit(1))).scalar()
-    raw = counts.join(words, "term").withColumn("raw", F.col("tf") * smooth_idf(F.col("df"), n))
+    raw = counts.withColumn("raw", F.col("tf") * smooth_idf(F.col("df"), n))
     return raw.select(doc, "term", "idx", "tf", _unit(doc).alias("weight"))
 
 
@@ -134,14 +154,8 @@ class TextFeatures:
         return spark.createDataFrame(rows, "term string, idx int, idf double")
 
     def weights(self, docs: DataFrame, doc: str, text: str) -> DataFrame:
-        """(doc, term, idx, tf, weight) by the fitted vocabulary.
-
-        Unknown terms are dropped right after they are cut out of the text, so
-        only vocabulary counts are shuffled.
-        """
-        words = bounded(self.table(docs.sparkSession), self.rules)
-        cut = docs.select(doc, F.explode(self.rules.terms(F.col(text))).alias("term"))
-        counted = cut.join(words, "term").groupBy(doc, "term", "idx", "idf").agg(F.count(F.lit(1)).alias("tf"))
+        """(doc, term, idx, tf, weight) by the fitted vocabulary."""
+        counted = known_terms(docs, doc, text, self.rules, self.table(docs.sparkSession))
         raw = counted.withColumn("raw", F.col("tf") * F.col("idf"))
         return raw.select(doc, "term", "idx", "tf", _unit(doc).alias("weight"))
 
@@ -167,12 +181,11 @@ def feature_profile(rows: DataFrame, features: TextFeatures, column: str = "feat
     )
 
 
-def fit_features(docs: DataFrame, doc: str, text: str, rules: TermRules) -> TextFeatures:
+def fit_features(docs: DataFrame, text: str, rules: TermRules) -> TextFeatures:
     """Vocabulary and idf of a corpus; only those ``max_features`` rows are fetched."""
-    counts = term_counts(docs, doc, text, rules)
     n = docs.agg(F.count(F.lit(1))).scalar()
     rows = (
-        vocabulary(counts, rules)
+        vocabulary(docs, text, rules)
         .select("idx", "term", smooth_idf(F.col("df"), n).alias("idf"))
         .orderBy("idx")
         .collect()

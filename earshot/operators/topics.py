@@ -44,7 +44,7 @@ class Corpus:
 
 def corpus(docs: DataFrame, doc: str, text: str, rules: TermRules = TOPIC_TERMS) -> Corpus:
     """Vocabulary and TF-IDF rows; the rows are kept because the factors read them often."""
-    features = fit_features(docs, doc, text, rules)
+    features = fit_features(docs, text, rules)
     weights = features.weights(docs, doc, text)
     rows = sparse_rows(docs, doc, weights, "weight").persist(StorageLevel.MEMORY_AND_DISK)
     return Corpus(docs, doc, text, features, weights, rows)

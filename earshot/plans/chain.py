@@ -94,14 +94,17 @@ def aspect_comparison(tagged: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def discover_topics(feedback: DataFrame, settings: Settings) -> tuple[DataFrame, topics.TopicContest]:
+def discover_topics(
+    feedback: DataFrame, settings: Settings
+) -> tuple[DataFrame, topics.TopicContest, topics.Corpus]:
+    """Topic columns, the comparison, and the cached corpus to release once they are stored."""
     rules = TermRules(
         min_df=settings.topic_min_df, max_features=5_000, grams=1, stop_words=english_stop_words()
     )
     data = topics.corpus(feedback.select("feedback_id", "text"), "feedback_id", "text", rules)
     truth = feedback.select("feedback_id", F.get("true_themes", 0).alias("truth"))
     contest = topics.compare(data, truth, settings.n_topics, settings.embedding_rank, settings.seed)
-    return feedback.join(contest.labelled, "feedback_id", "left"), contest
+    return feedback.join(contest.labelled, "feedback_id", "left"), contest, data
 
 
 def operational(feedback: DataFrame) -> DataFrame:
@@ -167,13 +170,14 @@ def run(spark: SparkSession, data: str, out: str, settings: Settings | None = No
     with_sentiment, sentiment = predict_sentiment(feedback, settings)
     tagged = store(tag_aspects(with_sentiment, settings), "feedback_tagged")
     tables.write_json(aspect_comparison(tagged, settings), f"{out}/aspect_evaluation")
-    with_topics, found = discover_topics(tagged, settings)
+    with_topics, found, cached = discover_topics(tagged, settings)
     enriched = store(with_topics, "feedback_enriched")
     for name, judged in sentiment.judged.items():
         tables.write_json(judged.report, f"{out}/sentiment_evaluation/{name}/report")
         tables.write_json(judged.matrix, f"{out}/sentiment_evaluation/{name}/confusion_matrix")
     tables.write_json(found.terms, f"{out}/topic_evaluation/top_terms")
     tables.write_json(found.majorities, f"{out}/topic_evaluation/majorities")
+    cached.release()
     results = [("sentiment", k, float(v), k == sentiment.winner) for k, v in sentiment.macro_f1.items()]
     results += [("topics", k, float(v), k == found.winner) for k, v in found.purity.items()]
     tables.write_json(

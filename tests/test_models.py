@@ -87,7 +87,7 @@ def test_tfidf_tables_and_vectors_agree(spark):
     docs = spark.createDataFrame(
         [(1, "red red fish"), (2, "blue fish"), (3, "red bird and fish"), (4, "!!")], "doc int, text string"
     )
-    fitted = features.fit_features(docs, "doc", "text", RULES)
+    fitted = features.fit_features(docs, "text", RULES)
     assert fitted.terms == ("and", "bird", "blue", "fish", "red")
     table = {(r.doc, r.term): r.weight for r in features.tfidf_weights(docs, "doc", "text", RULES).collect()}
     again = {(r.doc, r.term): r.weight for r in fitted.weights(docs, "doc", "text").collect()}
@@ -103,16 +103,16 @@ def test_tfidf_tables_and_vectors_agree(spark):
 def test_vocabulary_limits(spark):
     docs = spark.createDataFrame([(1, "aa aa bb cc"), (2, "aa bb dd"), (3, "cc bb")], "doc int, text string")
     rules = features.TermRules(min_df=2, max_features=2, grams=1)
-    assert features.fit_features(docs, "doc", "text", rules).terms == ("aa", "bb")
+    assert features.fit_features(docs, "text", rules).terms == ("aa", "bb")
     rules = features.TermRules(min_df=2, max_features=9, grams=2, stop_words=("dd",))
-    assert features.fit_features(docs, "doc", "text", rules).terms == ("aa", "aa bb", "bb", "cc")
+    assert features.fit_features(docs, "text", rules).terms == ("aa", "aa bb", "bb", "cc")
     with pytest.raises(ValueError):
-        features.fit_features(docs, "doc", "text", features.TermRules(min_df=9))
+        features.fit_features(docs, "text", features.TermRules(min_df=9))
 
 
 def test_empty_documents_keep_their_row(spark):
     docs = spark.createDataFrame([(1, "aa bb"), (2, "zz"), (3, None)], "doc int, text string")
-    weights = features.fit_features(docs, "doc", "text", RULES).weights(docs, "doc", "text")
+    weights = features.fit_features(docs, "text", RULES).weights(docs, "doc", "text")
     rows = features.sparse_rows(docs, "doc", weights.where("term <> 'zz'"), "weight").collect()
     assert {r.doc: len(r.idx) for r in rows} == {1: 2, 2: 0, 3: 0}
 
