@@ -96,13 +96,16 @@ def known_terms(docs: DataFrame, doc: str, text: str, rules: TermRules, words: D
     vocabulary counts are shuffled.
     """
     cut = docs.select(doc, F.explode(rules.terms(F.col(text))).alias("term"))
-    known = cut.join(bounded(words, rules), "term")
-    return known.groupBy(doc, *words.columns).agg(F.count(F.lit(1)).alias("tf"))
+    numbered = cut.join(bounded(words.select("term", "idx"), rules), "term")
+    # counted by number: the shuffled rows are narrow and of fixed width
+    counts = numbered.groupBy(doc, "idx").agg(F.count(F.lit(1)).alias("tf"))
+    return counts.join(bounded(words, rules), "idx")
 
 
 def vocabulary_counts(docs: DataFrame, doc: str, text: str, rules: TermRules) -> DataFrame:
     """(doc, term, idx, tf) over the vocabulary."""
-    return known_terms(docs, doc, text, rules, vocabulary(docs, text, rules).select("term", "idx"))
+    words = vocabulary(docs, text, rules).select("term", "idx")
+    return known_terms(docs, doc, text, rules, words).select(doc, "term", "idx", "tf")
 
 
 def tfidf_weights(docs: DataFrame, doc: str, text: str, rules: TermRules) -> DataFrame:
