@@ -205,7 +205,7 @@ VIEWS["terms"] = f"""
     SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({_ASCII}) AS term FROM documents)
     WHERE term NOT IN {_STOP} GROUP BY 1, 2"""
 VIEWS["vocab"] = """
-    SELECT term, df, row_number() OVER (ORDER BY term) - 1 AS idx
+    SELECT term, df, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx
     FROM (SELECT term, count(*) AS df, sum(tf) AS cf FROM terms GROUP BY 1 HAVING count(*) >= 5
           ORDER BY cf DESC, term LIMIT 5000)"""
 VIEWS["weighted"] = """
@@ -311,7 +311,7 @@ ORACLES: dict[str, str] = {
     "theme_strings": sql("""
     SELECT feedback_id, theme_text,
            replace(theme_text, '|', ':' || predicted_sentiment || '|') || ':' || predicted_sentiment AS pair_text,
-           primary_theme AS first_theme, n_themes, last_theme, predicted_sentiment AS last_sentiment
+           primary_theme AS first_theme, CAST(n_themes AS INTEGER) AS n_themes, last_theme, predicted_sentiment AS last_sentiment
     FROM fbx"""),
     "order_value": sql("""
     SELECT l_orderkey, l_linenumber, l_partkey, round_even(price * l_quantity * 100.0, 0) / 100.0 AS order_value
@@ -451,7 +451,7 @@ ORACLES: dict[str, str] = {
     "infer_themes": sql("""
     SELECT doc_id, coalesce(found, 'unclassified') AS inferred_themes FROM documents LEFT JOIN doc_themes USING (doc_id)"""),
     "lexicon_aspects": sql("""
-    SELECT doc_id, coalesce(pairs, 'None Detected') AS detected_aspects, coalesce(n, 0) AS n_aspects_detected, coalesce(found, 'unclassified') AS inferred_themes
+    SELECT doc_id, coalesce(pairs, 'None Detected') AS detected_aspects, CAST(coalesce(n, 0) AS INTEGER) AS n_aspects_detected, coalesce(found, 'unclassified') AS inferred_themes
     FROM documents LEFT JOIN doc_themes USING (doc_id)
       LEFT JOIN (SELECT doc_id, string_agg(aspect || ':' || upper(sentiment[1]) || sentiment[2:], '|' ORDER BY o) AS pairs, count(*) AS n FROM doc_aspects GROUP BY 1) USING (doc_id)"""),
     "valence_sentiment": sql(f"SELECT doc_id, total, {_six('compound')}, label FROM doc_label"),
