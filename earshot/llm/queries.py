@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import packing, token_counts
+from earshot.llm import line_dedup, lm_scores, packing, quality, token_counts
 from earshot.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,45 @@ def op1_pack_sequences(spark, sf_dir):
 @query
 def op3_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+@query
+def op5_line_dedup(spark, sf_dir):
+    cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", "text")
+
+
+ORACLES["op5_line_dedup"] = """
+WITH lines AS (
+  SELECT doc_id, source, generate_subscripts(string_split(text, chr(10)), 1) AS place,
+         unnest(string_split(text, chr(10))) AS line
+  FROM documents),
+spread AS (
+  SELECT trim(line, ' ') AS bare, min((doc_id, place)) AS first
+  FROM lines WHERE trim(line, ' ') <> '' GROUP BY 1 HAVING count(DISTINCT source) >= 8),
+marked AS (
+  SELECT l.*, s.bare IS NOT NULL AND (l.doc_id, l.place) <> s.first AS removed
+  FROM lines l LEFT JOIN spread s ON trim(l.line, ' ') = s.bare)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed,
+       coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT removed), '') AS text
+FROM marked GROUP BY doc_id"""
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, held_out, score, predicted); the labels of held-out rows are not used."""
+    fold = "crc32(cast(doc_id as string)) % 4"
+    model = quality.fit(docs, labels, "quality", F.expr(f"{fold} != 2"))
+    return quality.score(docs, model).select(
+        "doc_id", F.expr(f"{fold} = 2").alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op8_quality_scores(spark, sf_dir):
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_lm_scores(spark, sf_dir):
+    return lm_scores.lm_scores(table(spark, sf_dir, "documents"))
