@@ -33,9 +33,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def sized_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Asks for a broadcast of a narrow, stored table if it is counted to be small; else leaves the join to Spark."""
-    return F.broadcast(df) if df.count() <= rows else df
+def sized_broadcast(df: DataFrame, size: Column | None = None, most: int = BROADCAST_ROWS) -> DataFrame:
+    """Asks for a broadcast of a stored table if it is measured to be small; else leaves the join to Spark.
+
+    ``size`` aggregates what is counted, the rows if nothing is said: a table with
+    list columns should count their elements.
+    """
+    measured = df.agg(F.count("*") if size is None else size).first()[0] or 0
+    return F.broadcast(df) if measured <= most else df
 
 
 def text_or_empty(column: str = "text") -> Column:

@@ -77,7 +77,8 @@ def dedup_lines(
 
     own = F.col(doc_id).cast("long")
     plain = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    joined = docs.select(*plain).join(sized_broadcast(drop), own.eqNullSafe(F.col("drop_id")), "left")
+    drop = sized_broadcast(drop, F.sum(F.size("drop")))
+    joined = docs.select(*plain).join(drop, own.eqNullSafe(F.col("drop_id")), "left")
     lines = F.split(F.col(text), "\n", -1)
     stay = F.filter(
         lines,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import line_dedup, lm_scores, packing, quality, token_counts
+from earshot.llm import line_dedup, lm_scores, ngram_join, packing, quality, token_counts
 from earshot.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,30 @@ def op8_quality_scores(spark, sf_dir):
 @query
 def op9_lm_scores(spark, sf_dir):
     return lm_scores.lm_scores(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_ngram_join(spark, sf_dir):
+    return ngram_join.similar_groups(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+ORACLES["op6_ngram_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)] END) AS s
+  FROM words WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT a AS doc_id, a AS other FROM both UNION SELECT r.doc_id, l.b FROM reach r JOIN both l ON l.a = r.other)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id)
+LEFT JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1) c USING (doc_id)"""
