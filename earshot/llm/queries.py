@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import line_dedup, lm_scores, ngram_join, packing, quality, token_counts
+from earshot.llm import ann, line_dedup, lm_scores, ngram_join, packing, quality, token_counts
 from earshot.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,11 @@ def op1_pack_sequences(spark, sf_dir):
     )
 
 
+@query
+def op2_nearest_neighbours(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query
 def op3_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
@@ -105,8 +110,8 @@ links AS (
   FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
   JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
   GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
-both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
-reach AS (SELECT a AS doc_id, a AS other FROM both UNION SELECT r.doc_id, l.b FROM reach r JOIN both l ON l.a = r.other)
+sides AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT a AS doc_id, a AS other FROM sides UNION SELECT r.doc_id, l.b FROM reach r JOIN sides l ON l.a = r.other)
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id
 FROM documents d LEFT JOIN sizes s USING (doc_id)
 LEFT JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1) c USING (doc_id)"""
