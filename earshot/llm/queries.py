@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import ann, line_dedup, lm_scores, ngram_join, packing, quality, token_counts
+from earshot.llm import ann, decontamination, line_dedup, lm_scores, ngram_join, packing, quality, token_counts
 from earshot.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,11 @@ def op3_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+@query
+def op4_benchmark_matches(spark, sf_dir):
+    return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op5_line_dedup(spark, sf_dir):
     cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
