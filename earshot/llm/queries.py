@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import ann, decontamination, line_dedup, lm_scores, ngram_join, packing, quality, token_counts
+from earshot.llm import ann, decontamination, license_scan, line_dedup, lm_scores, ngram_join, packing, quality, token_counts
 from earshot.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,39 @@ reach AS (SELECT a AS doc_id, a AS other FROM sides UNION SELECT r.doc_id, l.b F
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id
 FROM documents d LEFT JOIN sizes s USING (doc_id)
 LEFT JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1) c USING (doc_id)"""
+
+
+@query
+def op10_license_scan(spark, sf_dir):
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def license_sql(notices: dict[str, str], share: float = 0.8) -> str:
+    """All windows of all documents against all notices, without any hashing."""
+    size = license_scan.SHINGLE
+    rows = ", ".join(
+        "('{}', {}, [{}])".format(
+            name, len(license_scan.notice_words(text)),
+            ", ".join(f"'{s}'" for s in license_scan.shingles(license_scan.notice_words(text))),
+        )
+        for name, text in notices.items()
+    )
+    marks = ", ".join(f"'{w}'" for w in license_scan.telling_words(notices))
+    return f"""
+WITH notices AS (SELECT * FROM (VALUES {rows}) AS v(license_id, size, notice)),
+sizes AS (SELECT DISTINCT size, greatest(1, size // 4) AS step FROM notices),
+words AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, size, start, w[start + 1:start + size + step] AS run
+  FROM (SELECT doc_id, w, size, step, unnest(range(0, greatest(len(w) - size, 0) + 1, step)) AS start FROM words, sizes)),
+grams AS (
+  SELECT doc_id, size, start, [array_to_string(run[i:i + {size - 1}], ' ') FOR i IN range(1, len(run) - {size - 2})] AS grams
+  FROM windows WHERE len(run) >= {size} AND list_has_any(run, [{marks}])),
+met AS (
+  SELECT doc_id, license_id, start, len(list_intersect(grams, notice)) / len(notice) AS containment
+  FROM grams JOIN notices USING (size))
+SELECT doc_id, license_id, max(containment) AS containment, arg_max(start, (containment, -start)) AS first_word
+FROM met WHERE containment >= {share} GROUP BY ALL"""
+
+
+ORACLES["op10_license_scan"] = license_sql(license_scan.NOTICES)
