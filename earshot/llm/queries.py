@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import ann, decontamination, license_scan, line_dedup, lm_scores, ngram_join, packing, quality, token_counts
+from earshot.llm import ann, decontamination, license_scan, line_dedup, lm_scores, ngram_join, packing, pii, quality, token_counts
 from earshot.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +75,11 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed,
 FROM marked GROUP BY doc_id"""
 
 
+@query
+def op7_personal_data(spark, sf_dir):
+    return pii.digest(pii.spans(table(spark, sf_dir, "documents")))
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted); the labels of held-out rows are not used."""
     fold = "crc32(cast(doc_id as string)) % 4"
@@ -141,7 +146,9 @@ def license_sql(notices: dict[str, str], share: float = 0.8) -> str:
     return f"""
 WITH notices AS (SELECT * FROM (VALUES {rows}) AS v(license_id, size, notice)),
 sizes AS (SELECT DISTINCT size, greatest(1, size // 4) AS step FROM notices),
-words AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents),
+words AS (
+  SELECT * FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents)
+  WHERE list_has_any(w, [{marks}])),
 windows AS (
   SELECT doc_id, size, start, w[start + 1:start + size + step] AS run
   FROM (SELECT doc_id, w, size, step, unnest(range(0, greatest(len(w) - size, 0) + 1, step)) AS start FROM words, sizes)),
