@@ -18,9 +18,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.llm.words import text_batches
@@ -29,7 +30,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Rates of ``style_rates``, and how much they weigh beside the unit vector of the trigrams.
 STYLES, STYLE_WEIGHT = 6, 1.5
-_SCORES = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
 
 @dataclass(frozen=True)
@@ -184,25 +184,30 @@ def vote(points: np.ndarray, model: Model, nearest: int = 25, sharpness: int = 8
     return ((weight * marks).sum(axis=1) + 0.01 * model.prior) / (weight.sum(axis=1) + 0.01)
 
 
-def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, score) of every row; the score lies in 0 to 1.
-
-    Null, empty and shorter than three-byte texts score the base rate; long texts are read
-    whole; repeated rows score alike; null ids are kept; other columns are ignored.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # sample x rank and buckets x rank numbers
+def score_of(text: Column, model: Model) -> Column:
+    """The score of a text, in 0 to 1; null, empty and shorter than three-byte texts score near the base rate."""
+    spark = SparkSession.active()
+    shared = spark.sparkContext.broadcast(model)  # sample x rank and features x rank numbers
     buckets = len(model.weights)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.pandas_udf("double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         fitted = shared.value
-        for ids, texts in text_batches(batches, 1 << 20):
-            scores = [np.empty(0)]
+        for batch in batches:
+            texts, scores = [t or "" for t in batch], [np.empty(0)]
             for at in range(0, len(texts), 256):
                 part = texts[at: at + 256]
                 rows = features(trigram_counts(part, buckets), style_rates(part), fitted.weights)
                 scores.append(vote(latent(rows, fitted.axes), fitted))
-            columns = [pa.array(ids, pa.int64()), pa.array(np.clip(np.concatenate(scores), 0.0, 1.0))]
-            yield pa.RecordBatch.from_arrays(columns, schema=_SCORES)
+            yield pd.Series(np.clip(np.concatenate(scores), 0.0, 1.0))
+
+    return run(F.coalesce(text, F.lit("")))
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text))
-    return rows.mapInArrow(run, "doc_id long, score double")
+
+def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, score) of every row.
+
+    Long texts are read whole; repeated rows score alike; null ids are kept; other columns
+    are ignored; an empty table gives no rows.
+    """
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), score_of(F.col(text), model).alias("score"))

@@ -80,19 +80,22 @@ def op7_personal_data(spark, sf_dir):
     return pii.digest(pii.spans(table(spark, sf_dir, "documents")))
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, held_out, score, predicted); the labels of held-out rows are not used."""
-    fold = "crc32(cast(doc_id as string)) % 4"
-    model = quality.fit(docs, labels, "quality", F.expr(f"{fold} != 2"))
-    return quality.score(docs, model).select(
-        "doc_id", F.expr(f"{fold} = 2").alias("held_out"), "score",
-        (F.col("score") >= 0.7).cast("int").alias("predicted"),
-    )
+#: Rows of fold 2 are held out: their labels are not used.
+FOLD = "crc32(cast(doc_id as string)) % 4"
+LEAST_QUALITY = 0.7
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Model:
+    return quality.fit(docs, labels, "quality", F.expr(f"{FOLD} != 2"))
 
 
 @query
 def op8_quality_scores(spark, sf_dir):
-    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality_model(docs, table(spark, sf_dir, "labels"))).select(
+        "doc_id", F.expr(f"{FOLD} = 2").alias("held_out"), "score",
+        (F.col("score") >= LEAST_QUALITY).cast("int").alias("predicted"),
+    )
 
 
 @query
