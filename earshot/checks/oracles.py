@@ -253,8 +253,9 @@ def sql(body: str, with_alerts: bool = False) -> str:
     return (f"WITH {head}\n" if head else "") + body.strip()
 
 
-_MEAN_SCORE = "CAST(sum(CAST(round(priority_score * 10) AS BIGINT)) AS DOUBLE) / count(priority_score) / 10.0"
-_MEAN_CHURN = "CAST(sum(CAST(round_even(churn_risk_score * 1000000.0, 0) AS BIGINT)) AS DOUBLE) / count(churn_risk_score) / 1000000.0"
+_MEAN_SCORE = "CAST(sum(CAST(round(priority_score * 10) AS BIGINT)) AS DOUBLE) / 10.0 / count(priority_score)"
+#: Compared to nine decimals: the sums of doubles differ in the last bits with the order of rows.
+_MEAN_CHURN = "round(avg(churn_risk_score) * 1000000000.0) / 1000000000.0"
 _NEG = "predicted_sentiment = 'negative'"
 _NEG_RATE = f"CAST(count(*) FILTER (WHERE {_NEG}) AS DOUBLE) / count(*)"
 
@@ -337,6 +338,7 @@ ORACLES: dict[str, str] = {
     FROM fb"""),
     # history, ranks, priority
     "prior_complaints": sql("SELECT feedback_id, customer_id, repeat_negative_count FROM ranked"),
+    "prior_complaints_split": sql("SELECT feedback_id, customer_id, repeat_negative_count FROM ranked"),
     "value_percentile": sql("""
     SELECT feedback_id, round(customer_value_score * 1000000000.0) / 1000000000.0 AS customer_value_score FROM ranked"""),
     "priority_components": sql(
@@ -498,4 +500,6 @@ ORACLES.update(
     SELECT CAST(ts AS DATE) AS feedback_date, event_type AS theme, count(*) AS theme_count FROM events GROUP BY 1, 2"""),
     }
 )
-ORACLES["mart_roundtrip"] = ORACLES["mart_fact_feedback"]
+ORACLES["mart_roundtrip"] = (
+    f"SELECT m.*, d.text FROM ({ORACLES['mart_fact_feedback']}) m LEFT JOIN documents d ON d.doc_id = m.feedback_id"
+)

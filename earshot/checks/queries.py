@@ -186,6 +186,14 @@ def prior_complaints(spark, sf_dir):
     return history.prior_complaints(rows).select("feedback_id", "customer_id", "repeat_negative_count")
 
 
+@query
+def prior_complaints_split(spark, sf_dir):
+    """The same counts with every customer-day of more than one message cut into ranges."""
+    rows = t.plain_feedback(spark, sf_dir)
+    split = history.prior_complaints(rows, hot_day=1)
+    return split.select("feedback_id", "customer_id", "repeat_negative_count")
+
+
 @query
 def value_percentile(spark, sf_dir):
     rows, people = t.plain_feedback(spark, sf_dir), t.customers(spark, sf_dir)
@@ -334,7 +342,9 @@ def mart_channel(spark, sf_dir):
 
 @query
 def mart_customer_risk(spark, sf_dir):
-    return marts.customer_risk(scored(spark, sf_dir))
+    page = marts.customer_risk(scored(spark, sf_dir))
+    # compared to nine decimals: the SQL adds doubles in any order
+    return page.withColumn("avg_churn_risk_score", numbers.half_away(F.col("avg_churn_risk_score"), 9))
 
 
 @query
@@ -344,11 +354,13 @@ def action_queue(spark, sf_dir):
 
 @query
 def mart_roundtrip(spark, sf_dir):
-    """The fact mart written to CSV and read back with its declared schema."""
+    """The fact mart beside free text with line feeds, written to CSV and read back by its declared schema."""
     from earshot.session import scratch_dir
     from earshot.sources.tables import read_csv, write_csv
 
     mart = marts.fact_feedback(scored(spark, sf_dir))
+    texts = t.read(spark, sf_dir, "documents").select(F.col("doc_id").alias("feedback_id"), "text")
+    mart = mart.join(texts, "feedback_id", "left")
     path = scratch_dir(spark, "mart_fact_feedback")
     write_csv(mart, path)
     return read_csv(spark, path, mart.schema)

@@ -32,15 +32,15 @@ def rate(predicate: Column) -> Column:
     return count_where(predicate).cast("double") / F.count(F.lit(1))
 
 
-def exact_mean(value: Column, digits: int) -> Column:
-    """Mean of values that carry ``digits`` decimals, summed as integers.
+def exact_mean(value: Column) -> Column:
+    """Mean of doubles below 1e10 in size, summed as decimals of 18 places.
 
-    Integer sums do not depend on the order in which shuffle blocks arrive, so
-    a retried or re-planned job gives the same bits.
+    Decimal sums do not depend on the order in which shuffle blocks arrive, so a
+    retried or re-planned job gives the same bits. Eighteen places hold every
+    digit in which a double below one prints.
     """
-    scale = F.lit(float(10**digits))
-    total = F.sum(F.rint(value * scale).cast("long"))
-    return total.cast("double") / F.count(value) / scale
+    total = F.sum(value.cast("decimal(28,18)"))
+    return total.cast("double") / F.count(value)
 
 
 def tanh_saturation(count: Column, scale: float = 3.0) -> Column:

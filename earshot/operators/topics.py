@@ -66,17 +66,15 @@ def by_nmf(data: Corpus, k: int = 10, max_iter: int = 400, seed: int = 42) -> To
 
 
 def by_lda(
-    data: Corpus, k: int = 10, passes: int = 15, batch: int = 2048, least_share: float = 0.05, seed: int = 42
+    data: Corpus, k: int = 10, passes: int = 15, share: float = 0.25, seed: int = 42
 ) -> Topics:
     """Online LDA. ``passes`` counts whole passes, Spark's iterations are mini-batches.
 
-    A batch holds ``batch`` documents or ``least_share`` of the corpus, whichever
-    is more, so the number of rounds does not grow with the corpus.
+    A batch holds ``share`` of the corpus, at any size of it, so the number of
+    rounds is ``passes / share`` and does not grow with the corpus.
     """
     counted = data.features.counts(data.docs.select(data.doc, data.text), data.text).drop(data.text)
     counted = counted.persist(StorageLevel.MEMORY_AND_DISK)
-    n = counted.count()
-    share = min(1.0, max(batch / max(n, 1), least_share))
     model = LDA(
         k=k, featuresCol="counts", maxIter=math.ceil(passes / share), optimizer="online",
         subsamplingRate=share, learningOffset=10.0, learningDecay=0.7, seed=seed,
@@ -111,6 +109,7 @@ def by_kmeans(
 
     models = side_by_side(points.sparkSession, [partial(start, i) for i in range(restarts)])
     best = min(models, key=lambda m: m.summary.trainingCost)
+    points.unpersist()
     assigned = best.transform(points).select(doc, F.col("topic").cast("int").alias("topic"))
     return Topics(assigned, None, tuple(m.summary.trainingCost for m in models))
 

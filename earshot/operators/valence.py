@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,15 +13,20 @@ from earshot.functions.labels import valence_label
 from earshot.functions.text import WORDS, clauses, tokens
 from earshot.operators.lexicon import keyword_aspects
 
-#: Valences are kept to this many decimals so that they can be summed as integers.
-VALENCE_DIGITS = 3
+#: Decimal places a valence may have: sums are exact, whatever the order of rows.
+VALENCE_DIGITS = 9
 #: Largest valence table that is sent to every executor; above it Spark decides.
 BROADCAST_WORDS = 200_000
 
 
 def valence_table(spark: SparkSession, valences: Mapping[str, float]) -> DataFrame:
-    """Word -> valence. Hinted for broadcast only below a counted size."""
-    rows = [(word, round(value * 10**VALENCE_DIGITS)) for word, value in valences.items()]
+    """Word -> valence in units of the last place. Hinted for broadcast only below a counted size."""
+    rows = []
+    for word, value in valences.items():
+        points = Decimal(repr(value)).scaleb(VALENCE_DIGITS)
+        if points != int(points):
+            raise ValueError(f"the valence {value!r} of {word!r} has more than {VALENCE_DIGITS} decimals")
+        rows.append((word, int(points)))
     table = spark.createDataFrame(rows, "token string, points long")
     return F.broadcast(table) if len(rows) <= BROADCAST_WORDS else table
 

@@ -25,7 +25,7 @@ def volume() -> Column:
 
 
 def mean_score() -> Column:
-    return exact_mean(F.col("priority_score"), 1).alias("avg_priority_score")
+    return exact_mean(F.col("priority_score")).alias("avg_priority_score")
 
 
 def negative_rate() -> Column:
@@ -51,30 +51,46 @@ def executive(
     days: int = 30,
     dates: DataFrame | None = None,
 ) -> DataFrame:
-    """One row of headline figures, from one pass over the scored table.
+    """One row of headline figures, from counts per theme and the distinct customers at risk.
 
     ``dates`` is any table with the same ``feedback_date`` values. Where the
     scored table is not stored yet, pass the unscored one: its last day then
     costs a one-column scan instead of a second scoring run.
     """
     last = (scored if dates is None else dates).agg(F.max("feedback_date")).scalar()
-    rows = F.count(F.lit(1)).cast("double")
     n_alerts = F.lit(0).cast("long") if alerts is None else alerts.agg(F.count(F.lit(1))).scalar()
 
-    def percent(predicate: Column) -> Column:
-        return count_where(predicate) / rows * 100
-
-    return scored.agg(
-        F.count(F.lit(1)).alias("total_feedback"),
-        half_even(percent(negative()), 1).alias("negative_sentiment_pct"),
-        half_even(percent(F.col("predicted_sentiment") == POSITIVE), 1).alias("csat_proxy_pct"),
-        count_where(F.col("priority_tier") == "Critical").alias("critical_complaints_count"),
-        half_even(F.lit(100.0) - percent(urgent()), 1).alias("resolution_rate_proxy_pct"),
-        F.countDistinct(F.when(F.col("churn_risk_score") > churn_cut, F.col("customer_id"))).alias("at_risk_customers_count"),
-        F.mode(F.when(negative(), F.col("theme_label_primary")), True).alias("top_complaint_topic"),
-        count_where(F.col("feedback_date") > F.date_sub(last, days)).alias("last_30d_feedback_volume"),
-        F.max("feedback_date").alias("as_of_date"),
-    ).select(
+    # one row per theme: everything that adds up, and the negatives to find the mode
+    theme = F.col("theme_label_primary")
+    by_theme = scored.groupBy(theme).agg(
+        F.count(F.lit(1)).alias("rows"),
+        count_where(negative()).alias("negatives"),
+        count_where(F.col("predicted_sentiment") == POSITIVE).alias("positives"),
+        count_where(F.col("priority_tier") == "Critical").alias("critical"),
+        count_where(urgent()).alias("urgent"),
+        count_where(F.col("feedback_date") > F.date_sub(last, days)).alias("recent"),
+        F.max("feedback_date").alias("last_day"),
+    )
+    at_risk = scored.where(F.col("churn_risk_score") > churn_cut).select("customer_id").where("customer_id IS NOT NULL")
+    at_risk = at_risk.distinct().agg(F.count(F.lit(1))).scalar()
+    rows = F.sum("rows").cast("double")
+
+    def percent(part: str) -> Column:
+        return F.sum(part) / rows * 100
+
+    named = theme.isNotNull() & (F.col("negatives") > 0)
+    # of equally frequent themes the first by name
+    first = F.min(F.when(named, F.struct((-F.col("negatives")).alias("less"), theme.alias("theme"))))
+    return by_theme.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("total_feedback"),
+        half_even(percent("negatives"), 1).alias("negative_sentiment_pct"),
+        half_even(percent("positives"), 1).alias("csat_proxy_pct"),
+        F.coalesce(F.sum("critical"), F.lit(0)).alias("critical_complaints_count"),
+        half_even(F.lit(100.0) - percent("urgent"), 1).alias("resolution_rate_proxy_pct"),
+        first.getField("theme").alias("top_complaint_topic"),
+        F.coalesce(F.sum("recent"), F.lit(0)).alias("last_30d_feedback_volume"),
+        F.max("last_day").alias("as_of_date"),
+    ).withColumn("at_risk_customers_count", at_risk).select(
         "total_feedback", "negative_sentiment_pct", "csat_proxy_pct", n_alerts.alias("emerging_issues_count"),
         "critical_complaints_count", "resolution_rate_proxy_pct", "at_risk_customers_count",
         "top_complaint_topic", "last_30d_feedback_volume", "as_of_date",
@@ -135,7 +151,7 @@ def customer_risk(scored: DataFrame) -> DataFrame:
         .agg(
             volume().alias("feedback_count"),
             count_where(negative()).alias("negative_count"),
-            exact_mean(F.col("churn_risk_score"), 6).alias("avg_churn_risk_score"),
+            exact_mean(F.col("churn_risk_score")).alias("avg_churn_risk_score"),
             F.max("priority_score").alias("max_priority_score"),
         )
         .orderBy(F.col("avg_churn_risk_score").desc(), "customer_id")

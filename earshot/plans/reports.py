@@ -135,7 +135,7 @@ def channel_performance(scored: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("total_feedback"),
             half_away(F.coalesce(F.count_if(negative()), F.lit(0)) / F.count(F.lit(1)).cast("double"), 3).alias("negative_rate"),
-            half_away(exact_mean(F.col("priority_score"), 1), 1).alias("avg_priority_score"),
+            half_away(exact_mean(F.col("priority_score")), 1).alias("avg_priority_score"),
             count_where(F.col("priority_tier") == "Critical").alias("critical_count"),
         )
         .orderBy(F.col("avg_priority_score").desc(), "channel")
@@ -147,7 +147,7 @@ def sentiment_churn(scored: DataFrame) -> DataFrame:
     return (
         scored.groupBy("predicted_sentiment")
         .agg(
-            half_away(exact_mean(F.col("churn_risk_score"), 6), 3).alias("avg_churn_risk_score"),
+            half_away(exact_mean(F.col("churn_risk_score")), 3).alias("avg_churn_risk_score"),
             F.count(F.lit(1)).alias("n"),
         )
         .orderBy(F.col("avg_churn_risk_score").desc(), "predicted_sentiment")

@@ -30,9 +30,24 @@ FEEDBACK = _schema(
 )
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header line; quotes are doubled inside quoted fields."""
-    return spark.read.schema(schema).csv(path, header=True, quote='"', escape='"', multiLine=False)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """CSV with a header line; quotes are doubled inside quoted fields.
+
+    Columns are found by their names in the header, in any order; other columns are
+    left out, and a missing one is an error. Every file must have the same
+    header. A line that does not fit the header or a value that does not fit its
+    type fails the job. Free text may hold line feeds; then a file is read by one
+    task, so large tables come as many files or as parquet. ``multi_line=False``
+    splits files where no field holds a line feed.
+    """
+    form = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
+    names = spark.read.csv(path, **form).columns
+    missing = [name for name in schema.names if name not in names]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    texts = T.StructType([T.StructField(name, _S, True) for name in names])
+    rows = spark.read.schema(texts).csv(path, enforceSchema=False, mode="FAILFAST", **form)
+    return rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_feedback(spark: SparkSession, path: str) -> DataFrame:

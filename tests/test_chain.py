@@ -129,6 +129,33 @@ def test_csv_round_trip_with_quotes_and_lists(spark, tmp_path):
     assert got["2"].text is None and got["2"].d is None
 
 
+FLAT = "id string, n int, x double, text string, d date"
+
+
+def read_flat(spark, path, text):
+    path.write_text(text)
+    from pyspark.sql import types as T
+
+    return tables.read_csv(spark, str(path), T._parse_datatype_string(FLAT))
+
+
+def test_csv_with_line_feeds_and_columns_in_any_order(spark, tmp_path):
+    text = 'extra,text,d,x,id,n\nq,"line one\nline two, ""quoted""",2025-03-01,1.5,a,7\n,,,,b,\n'
+    got = {r.id: tuple(r) for r in read_flat(spark, tmp_path / "a.csv", text).collect()}
+    assert got == {"a": ("a", 7, 1.5, 'line one\nline two, "quoted"', START.replace(2025, 3, 1)), "b": ("b", None, None, None, None)}
+
+
+def test_csv_without_a_column_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="no column d"):
+        read_flat(spark, tmp_path / "b.csv", "id,n,x,text\na,1,1,t\n")
+
+
+@pytest.mark.parametrize("line", ["a,1,1.0,t,2025-03-01,more", "a,one,1.0,t,2025-03-01", "a,1,1.0,t"])
+def test_csv_lines_that_do_not_fit_fail(spark, tmp_path, line):
+    with pytest.raises(Exception, match="MALFORMED|CAST_INVALID"):
+        read_flat(spark, tmp_path / "c.csv", f"id,n,x,text,d\n{line}\n").collect()
+
+
 def test_lexicon_file(spark, tmp_path):
     path = tmp_path / "lexicon.json"
     path.write_text('{"b phrase": "t2:negative", "a phrase": "t1:positive"}')

@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as contract
 from earshot.checks.compare import differences, duck
+from earshot.checks.oracles import ORACLES
+from earshot.checks.queries import QUERIES
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 MODELS = {
     "sentiment_logreg", "sentiment_svm", "sentiment_champion",
     "topics_nmf", "topics_lda", "lsa_embedding", "topic_top_terms", "topics_champion", "topics_kmeans",
@@ -32,6 +33,11 @@ def test_equals_sql(spark, sf_dir, con, name):
     assert differences(QUERIES[name](spark, sf_dir), con, ORACLES[name]) == []
 
 
+def test_the_contract_names_them_all():
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
 def test_flagship_runs(spark):
     result = contract.entry(spark)
     assert result.count() == 1500

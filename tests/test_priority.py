@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from earshot import catalogue as c
 from earshot.operators import priority
-from earshot.operators.history import prior_complaints
+from earshot.operators.history import customer_days, id_ranges, prior_complaints
 from earshot.operators.ranking import percentile_of_value, stratified_split
 
 FEEDBACK = (
@@ -57,21 +57,24 @@ def test_prior_complaints_equal_brute_force(spark):
     assert counts(prior_complaints(spark.createDataFrame(rows, FEEDBACK))) == brute_force(rows)
 
 
-def test_hot_customer_days_are_split_and_stay_exact(spark):
+@pytest.mark.parametrize("hot_day", [1, 10, 40, 1_000_000])
+@pytest.mark.parametrize("numeric", [False, True])
+def test_hot_customer_days_keep_the_order_of_ids(spark, hot_day, numeric):
     rows = random_feedback(600, 2, hot_share=0.35)
-    df = spark.createDataFrame(rows, FEEDBACK)
-    limit = 40
-    per_day = df.where("customer_id is not null").groupBy("customer_id", "feedback_date").count()
-    hot = {(r.customer_id, r.feedback_date): r["count"] for r in per_day.collect() if r["count"] > limit}
-    assert len(hot) == 1
-    hashes = {r.feedback_id: r.h for r in df.select("feedback_id", F.xxhash64("feedback_id").alias("h")).collect()}
-
-    def order(r):
-        n = hot.get((r[1], r[2]))
-        return (hashes[r[0]] % math.ceil(n / limit) if n else 0, r[0])
-
-    got = counts(prior_complaints(df, hot_day=limit))
-    assert got == brute_force(rows, order)
+    schema = FEEDBACK
+    if numeric:
+        rows = [(int(r[0][1:]), *r[1:]) for r in rows]
+        schema = schema.replace("feedback_id string", "feedback_id long")
+    df = spark.createDataFrame(rows, schema)
+    assert counts(prior_complaints(df, hot_day=hot_day)) == brute_force(rows)
+
+
+def test_hot_days_are_cut_into_ranges(spark):
+    rows = random_feedback(600, 2, hot_share=0.35)
+    df = spark.createDataFrame(rows, FEEDBACK).where("customer_id is not null")
+    hot = customer_days(df).where("messages > 40").select("customer_id", "feedback_date")
+    cuts = id_ranges(df, hot, "customer_id", "feedback_date", "feedback_id", 40).collect()
+    assert len(cuts) == 1 and len(cuts[0]["_cuts"]) >= 3 and cuts[0]["_cuts"] == sorted(cuts[0]["_cuts"])
 
 
 def test_one_customer_with_a_third_of_all_rows(spark):
