@@ -6,8 +6,12 @@ smaller term), and only its ``max_features`` rows ever reach the driver.
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -17,6 +21,9 @@ from pyspark.sql import functions as F
 
 from earshot.functions.text import WORDS, bind, tokens, word_grams
 
+# Executors need not have this package installed: helpers travel with their tasks.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Largest vocabulary, by its own limit, that is sent to every executor.
 BROADCAST_TERMS = 200_000
 
@@ -132,6 +139,20 @@ def sparse_rows(docs: DataFrame, doc: str, weights: DataFrame, value: str) -> Da
     )
 
 
+def vector_rows(rows: DataFrame, doc: str, column: str) -> DataFrame:
+    """(doc, idx array, val array) of a sparse vector column, where the vectors are made: nothing is shuffled."""
+    kind = rows.schema[doc].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors = batch.column(1)  # type, size, indices, values
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), vectors.field("indices"), vectors.field("values")], names=["doc", "idx", "val"]
+            )
+
+    return rows.select(doc, column).mapInArrow(run, f"doc {kind}, idx array<int>, val array<double>").withColumnRenamed("doc", doc)
+
+
 @dataclass(frozen=True)
 class TextFeatures:
     """A fitted vocabulary: turns text into vectors where the text is read."""

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from earshot.operators.agreement import cluster_majority
 from earshot.operators.classifiers import argmax
 from earshot.operators.factors import nonnegative_factors, truncated_svd
-from earshot.operators.features import TermRules, TextFeatures, fit_features, sparse_rows
+from earshot.operators.features import TermRules, TextFeatures, fit_features, vector_rows
 from earshot.session import side_by_side
 
 #: Terms that count for topics.
@@ -31,7 +31,6 @@ class Corpus:
     doc: str
     text: str
     features: TextFeatures
-    weights: DataFrame
     rows: DataFrame
 
     @property
@@ -43,11 +42,13 @@ class Corpus:
 
 
 def corpus(docs: DataFrame, doc: str, text: str, rules: TermRules = TOPIC_TERMS) -> Corpus:
-    """Vocabulary and TF-IDF rows; the rows are kept because the factors read them often."""
+    """Vocabulary and TF-IDF rows; the rows are kept because the factors read them often.
+
+    A row depends on its document alone, so the rows are made where the text is read.
+    """
     features = fit_features(docs, text, rules)
-    weights = features.weights(docs, doc, text)
-    rows = sparse_rows(docs, doc, weights, "weight").persist(StorageLevel.MEMORY_AND_DISK)
-    return Corpus(docs, doc, text, features, weights, rows)
+    rows = vector_rows(features.tfidf(docs.select(doc, text), text), doc, "features")
+    return Corpus(docs, doc, text, features, rows.persist(StorageLevel.MEMORY_AND_DISK))
 
 
 @dataclass(frozen=True)
@@ -130,11 +131,12 @@ def top_terms(data: Corpus, topics: Topics, n: int = 8) -> DataFrame:
         ]
         weighted = spark.createDataFrame(table, "topic int, term string, weight double")
     else:
-        weighted = (
-            data.weights.join(topics.assigned.select(data.doc, "topic"), data.doc)
-            .groupBy("topic", "term")
-            .agg(F.sum("weight").alias("weight"))
+        cells = data.rows.join(topics.assigned.select(data.doc, "topic"), data.doc).select(
+            "topic", F.explode(F.arrays_zip("idx", "val")).alias("cell")
         )
+        summed = cells.groupBy("topic", "cell.idx").agg(F.sum("cell.val").alias("weight"))
+        terms = data.features.table(data.docs.sparkSession).select("idx", "term")
+        weighted = summed.join(F.broadcast(terms), "idx").select("topic", "term", "weight")
     order = Window.partitionBy("topic").orderBy(F.col("weight").desc(), "term")
     return weighted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n).select(
         "topic", "rank", "term", "weight"

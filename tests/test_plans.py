@@ -78,3 +78,11 @@ def test_scoring_shuffles_the_fact_once(spark, tmp_path):
         if "Exchange hashpartitioning" in line and "payload" in lines[i + 1]
     ]
     assert len(wide) == 1
+
+
+def test_topic_rows_are_made_where_the_text_is_read(spark):
+    data = q._corpus(spark, SF)
+    rows = data.rows
+    text = plan(rows)
+    data.release()
+    assert "MapInArrow" in text and "Exchange" not in text, text
