@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from earshot.llm.common import mixed, sized_broadcast, stored
+from earshot.llm.common import Shipped, mixed, sized_broadcast, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -218,7 +218,7 @@ def nearest(
     hashing = Hashing.draw(
         dimension, tables, hashes, neighbour_distance(found, dimension, k, sample, 0.75), slots, reach
     )
-    shared = spark.sparkContext.broadcast(hashing)  # tables x dimension x hashes numbers
+    shared = Shipped(spark, hashing)  # tables x dimension x hashes numbers
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
 
 import numpy as np
@@ -43,8 +44,20 @@ def sized_broadcast(df: DataFrame, size: Column | None = None, most: int = BROAD
     return F.broadcast(df) if measured <= most else df
 
 
-def text_or_empty(column: str = "text") -> Column:
-    return F.coalesce(F.col(column), F.lit(""))
+class Shipped:
+    """A value of this package's classes, broadcast so that workers without the package can read it."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        self._packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def __getstate__(self) -> dict:
+        return {"_packed": self._packed}
+
+    @property
+    def value(self):
+        if "_value" not in self.__dict__:
+            self._value = pickle.loads(self._packed.value)
+        return self._value
 
 
 def mixed(values: np.ndarray) -> np.ndarray:

@@ -35,7 +35,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import mixed
+from earshot.llm.common import Shipped, mixed
 from earshot.llm.words import text_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -261,7 +261,7 @@ def finders(
     for number in range(slices):
         rows = items.where(part == number).collect()  # one slice
         rows = sorted(((r["item_id"], r["text"]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-        out.append(benchmark.sparkSession.sparkContext.broadcast(Finder(rows, edits, recall, sampled)))
+        out.append(Shipped(benchmark.sparkSession, Finder(rows, edits, recall, sampled)))
     return out
 
 

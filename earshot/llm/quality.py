@@ -24,6 +24,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from earshot.llm.common import Shipped
 from earshot.llm.words import text_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -187,7 +188,7 @@ def vote(points: np.ndarray, model: Model, nearest: int = 25, sharpness: int = 8
 def score_of(text: Column, model: Model) -> Column:
     """The score of a text, in 0 to 1; null, empty and shorter than three-byte texts score near the base rate."""
     spark = SparkSession.active()
-    shared = spark.sparkContext.broadcast(model)  # sample x rank and features x rank numbers
+    shared = Shipped(spark, model)  # sample x rank and features x rank numbers
     buckets = len(model.weights)
 
     @F.pandas_udf("double")
