@@ -155,14 +155,15 @@ def fit(
 
     got = pairs.mapInArrow(run, "mark int, cells binary, counts binary, rates binary").collect()
     got.sort(key=lambda r: (r["mark"], r["cells"], r["counts"], r["rates"]))  # the fit must not depend on arrival
-    counts = np.zeros((len(got), buckets), np.float32)
-    for row, r in zip(counts, got, strict=True):
-        row[np.frombuffer(r["cells"], np.uint16)] = np.frombuffer(r["counts"], np.uint32)
     marks = np.array([r["mark"] for r in got], np.float32)
     if not got:
         return Model(weights, np.zeros((buckets + STYLES, 1), np.float32), np.zeros((0, 1), np.float32), marks, 0.5)
-    rates = np.array([np.frombuffer(r["rates"], np.float32) for r in got])
-    rows = features(counts, rates, weights)
+    rows = np.zeros((len(got), buckets + STYLES), np.float32)  # filled in place: the driver holds it once
+    for row, r in zip(rows, got, strict=True):
+        counts = np.zeros((1, buckets), np.float32)
+        counts[0, np.frombuffer(r["cells"], np.uint16)] = np.frombuffer(r["counts"], np.uint32)
+        row[:] = features(counts, np.frombuffer(r["rates"], np.float32)[None], weights)[0]
+    del got
     axes = singular_axes(rows, min(rank, *rows.shape))
     return Model(weights, axes, latent(rows, axes), marks, float(marks.mean()))
 
