@@ -11,11 +11,12 @@ shingles first; similar sets then share shingles early in that order.
 * The boundary is the size at which a subset row stops being cheaper than scanning the
   list of a single shingle, whose expected length is measured on the corpus.
 
-Equal sets are collapsed first. The lists then serve twice, so that no group is ever
-expanded into its pairs: first every document is compared with the first of its lists,
-exactly, and components are formed; then only documents of different components that
-meet on a list are compared, exactly as well. No link between components can be lost: a
-pair in one component needs no link, all others are compared if they share a key.
+Equal sets are collapsed first. The lists then serve repeatedly, so that no group is
+ever expanded into its pairs: first every document is compared with the first of its
+lists and components are formed; then, in a few rounds, with a few members of the largest
+component on its lists; and in the end all documents of different components that meet
+on a list are compared. All comparisons are exact, and no link between components can be
+lost: a pair in one component needs none, any other pair is compared if it shares a key.
 
 The order comes from a table of ``2 ** BITS`` counters (a fixed size) of hashed shingle
 occurrences over all documents; collisions only change the order, never the result.
@@ -30,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from earshot.llm.common import mixed, sized_broadcast, stored
@@ -55,7 +57,7 @@ def shingle_sets(texts: list[str | None], words: int) -> tuple[np.ndarray, np.nd
     with np.errstate(over="ignore"):
         for k in range(words):
             part = mixed(numbers + np.uint64(k + 1) * np.uint64(0xA24BAED4963EE407))
-            whole[: len(numbers) - k] += part[k:] * np.uint64(2 * k + 1)
+            whole[: max(len(numbers) - k, 0)] += part[k:] * np.uint64(2 * k + 1)
     starts = np.maximum(counts - words + 1, 0)
     row = np.repeat(np.arange(len(texts)), starts)
     first = np.concatenate([[0], np.cumsum(starts)])
@@ -139,15 +141,17 @@ def light_boundary(table: np.ndarray, percent: int) -> int:
     """Largest set size for which enumerating pairs is the cheaper way.
 
     A set with a prefix of p shingles costs p (p + 1) / 2 subset rows, or p rows and a scan of
-    p lists. The expected length of a list is the crowding of the occurrence counters:
-    the mean of a counter as an occurrence sees it, over the plain mean.
+    p lists. Prefixes hold the rarest shingles, so the expected length of a list is the mean
+    counter of as many of the rarest occurrences as prefixes hold, over the plain mean.
     """
     if not table.any():
         return 0
-    mean = table.mean()
-    crowding = float((table.astype(float) ** 2).sum() / table.sum() / max(mean, 1.0))
+    counts = np.sort(table[table > 0])
+    upto = int(np.searchsorted(np.cumsum(counts), counts.sum() * (100 - percent) / 100)) + 1
+    rare = counts[:upto].astype(float)
+    length = max(1.0, float((rare ** 2).sum() / rare.sum() / counts.mean()))
     size = 1
-    while prefix(size + 1, percent) + 1 <= 2 * (1 + crowding) and size < 1000:
+    while size < 1000 and prefix(size + 1, percent) + 1 <= 2 * (1 + length):
         size += 1
     return size
 
@@ -220,7 +224,8 @@ def fits(n_a: str, n_b: str, overlap, percent: int):
 
 
 def similar_groups(
-    docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text",
+    rounds: int = 5, few: int = 8,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs``.
 
@@ -230,7 +235,8 @@ def similar_groups(
     Null, empty and blank texts have no shingles and link with nothing; a text with fewer
     words is one shingle; rows that share an id are one document as far as links go, each
     with its own size; a null id stays null and links with nothing; other columns are
-    ignored; an empty table gives no rows.
+    ignored; an empty table gives no rows. ``rounds`` and ``few`` (comparisons of a document
+    with large groups before the last, complete step) change the work, not the result.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     mixed_rows = stored(digests(docs, words), "digests")
@@ -253,46 +259,97 @@ def similar_groups(
     boundary = light_boundary(table, percent)
     rows = join_keys(chosen, words, percent, table, boundary)
     head = F.min(F.struct("n", "doc_id")).alias("head")
-    lists = rows.groupBy("key").agg(head, F.count("*").alias("length")).where("length > 1")
-    lists = stored(lists.select("key", F.col("head.n").alias("head_n"), F.col("head.doc_id").alias("head_id")), "lists")
-    index = stored(rows.join(lists, "key"), "index")
+    lists = rows.groupBy("key").agg(head, F.max("rest").alias("most"), F.count("*").alias("length")).where("length > 1")
+    lists = lists.select("key", "most", F.col("head.n").alias("head_n"), F.col("head.doc_id").alias("head_id"))
+    useful = fits("n", "head_n", F.least("rest", "most"), percent)  # else not even the smallest set can be near
+    index = stored(rows.join(stored(lists, "lists"), "key").where(useful), "index")
 
     # first against the head of each list
     near = index.where("doc_id <> head_id").where(fits("n", "head_n", F.least("n", "head_n"), percent))
-    heads = near.groupBy("doc_id", "head_id").agg(F.count("*").alias("votes"))
-    best = heads.groupBy("doc_id").agg(F.max(F.struct("votes", -F.col("head_id"))).alias("best"))
-    pairs = best.select(F.col("doc_id").alias("a"), (-F.col("best").getField("col2")).alias("b"))
-    pairs = stored(pairs, "head-pairs")
+    pairs = favoured(near.select(F.col("doc_id").alias("a"), F.col("head_id").alias("b")), 1)
     same = copies.select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
-    links = stored(same.unionByName(verified(chosen, pairs, words, percent)), "links")
+    links = stored(same.unionByName(verified(chosen, stored(pairs, "head-pairs"), words, percent)), "links")
     groups = stored(components(links), "groups")
-
-    # then whatever meets on a list from different groups
-    links = links.unionByName(verified(chosen, crossings(index, groups, percent), words, percent))
+    index = index.select("key", "doc_id", "n", "rest")
+
+    # then against a few of the largest group on each list, while that joins groups
+    for turn in range(rounds):
+        index = open_lists(index.select("key", "doc_id", "n", "rest"), groups)
+        met = to_main(index, turn, percent)
+        pairs = stored(favoured(met, few), "main-pairs")
+        tried = pairs.select("a").distinct().count()
+        new = stored(verified(chosen, pairs, words, percent), "links")
+        joined = new.count()
+        if joined:
+            links = links.unionByName(new)
+            groups = stored(merged(groups, new), "groups")
+        if joined * 20 <= tried:
+            break
+
+    # then whatever still meets on a list from different groups
+    index = open_lists(index.select("key", "doc_id", "n", "rest"), groups)
+    links = links.unionByName(verified(chosen, crossings(index, percent), words, percent))
     groups = components(links).select(F.col("id").alias("doc_id"), "component")
     found = sizes.select("doc_id", F.col("n").alias("n_shingles")).join(groups, "doc_id", "left")
     return found.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def crossings(index: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+def favoured(pairs: DataFrame, few: int) -> DataFrame:
+    """Of pairs (a, b) given once per list they share, the ``few`` most frequent of each a."""
+    order = W.partitionBy("a").orderBy(F.desc("votes"), "b")
+    votes = pairs.groupBy("a", "b").agg(F.count("*").alias("votes"))
+    return votes.withColumn("place", F.row_number().over(order)).where(F.col("place") <= few).select("a", "b")
+
+
+def merged(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """``groups`` after one step towards the smaller component of each link: coarser, never too coarse."""
+    of = groups.select(F.col("id").alias("a"), F.col("component").alias("of_a"))
+    ids = links.select(F.explode(F.array("a", "b")).alias("a")).distinct().join(of, "a", "left")
+    ids = stored(ids.withColumn("of_a", F.coalesce("of_a", "a")), "link-groups")
+    ends = links.join(ids, "a").join(ids.select(F.col("a").alias("b"), F.col("of_a").alias("of_b")), "b")
+    steps = ends.where("of_a <> of_b").groupBy(F.greatest("of_a", "of_b").alias("component"))
+    steps = steps.agg(F.min(F.least("of_a", "of_b")).alias("onto"))
+    known = groups.unionByName(ids.select(F.col("a").alias("id"), F.col("of_a").alias("component"))).distinct()
+    return known.join(steps, "component", "left").select("id", F.coalesce("onto", "component").alias("component"))
+
+
+def open_lists(index: DataFrame, groups: DataFrame) -> DataFrame:
+    """The lists on which several groups meet, with each document's group and the list's commonest one."""
+    known = groups.select(F.col("id").alias("doc_id"), "component")
+    index = index.join(known, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    index = stored(index, "grouped")
+    sizes = index.groupBy("key", "component").agg(F.count("*").alias("size"))
+    main = sizes.groupBy("key").agg(F.max(F.struct("size", "component")).alias("main"), F.count("*").alias("groups"))
+    main = main.where("groups > 1").select("key", F.col("main.component").alias("main"))
+    return stored(index.join(stored(main, "mains"), "key"), "open-lists")
+
+
+def to_main(index: DataFrame, turn: int, percent: int) -> DataFrame:
+    """(a, b): documents outside the commonest group of a list, with a member of that group; another each turn."""
+    chance = F.xxhash64("doc_id", "key", F.lit(turn))
+    inside = index.where("component = main").groupBy("key").agg(
+        F.min(F.struct(chance.alias("chance"), "doc_id", "n", "rest")).alias("inside")
+    )
+    inside = inside.select(
+        "key", F.col("inside.doc_id").alias("b"), F.col("inside.n").alias("n_b"), F.col("inside.rest").alias("rest_b")
+    )
+    met = index.where("component <> main").join(inside, "key")
+    met = met.where(fits("n", "n_b", F.least("rest", "rest_b", "n", "n_b"), percent))
+    return met.select(F.col("doc_id").alias("a"), "b")
+
+
+def crossings(index: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different groups that meet on a list and are not ruled out by sizes and places.
 
     On each list the commonest group is set apart: pairs are formed only between the other
     documents, and between those and the commonest group, so a list of one large group
     and a few strangers costs its length times the few.
     """
-    known = groups.select(F.col("id").alias("doc_id"), "component")
-    index = index.select("key", "doc_id", "n", "rest").join(known, "doc_id", "left")
-    index = stored(index.withColumn("component", F.coalesce("component", "doc_id")), "index")
-    sizes = index.groupBy("key", "component").agg(F.count("*").alias("size"))
-    main = sizes.groupBy("key").agg(F.max(F.struct("size", "component")).alias("main"), F.count("*").alias("groups"))
-    main = main.where("groups > 1").select("key", F.col("main.component").alias("main"))
-    open_lists = stored(index.join(main, "key"), "open-lists")
-    few = open_lists.where("component <> main").select(
+    few = index.where("component <> main").select(
         "key", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("rest").alias("rest_a"),
         F.col("component").alias("group_a"),
     )
-    everyone = open_lists.select("key", F.col("doc_id").alias("b"), "n", "rest", "component", "main")
+    everyone = index.select("key", F.col("doc_id").alias("b"), "n", "rest", "component", "main")
     met = few.join(everyone, "key").where(
         (F.col("group_a") != F.col("component"))
         & ((F.col("component") == F.col("main")) | (F.col("a") < F.col("b")))
