@@ -65,7 +65,8 @@ GROUPING_FOR = {
     "phone": r"^(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-][0-9]{3,4}(?:[ .-][0-9]{2,4}){1,5}$|^\+[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}$",
 }
 
-_PART = "0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+#: At most 255: all zeros, or zeros and a number that begins with none.
+_PART = "(?:0++(?![0-9])|0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?))"
 
 
 @dataclass(frozen=True)

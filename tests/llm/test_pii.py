@@ -66,6 +66,13 @@ def test_base_spans_equal_the_rules(spark):
     check(spark, [*CASES, None])
 
 
+def test_parts_of_zero_are_addresses(spark):
+    good = ["10.0.0.1", "127.0.0.1", "192.168.0.1", "0.0.0.0", "10.00.1.2", "1.2.3.000", "0" * 4000 + ".1.1.0", "000255.0.0.0255"]
+    bad = ["0256.0.0.1", "0.0.0.300", "10.0.0", "0.0.0.1000"]
+    rows = check(spark, [*good, *bad])
+    assert [rows[i]["n_ip"] for i in range(len(rows))] == [1] * len(good) + [0] * len(bad)
+
+
 def test_base_spans_on_the_sample_tables(spark):
     for folder in ("sf0.01",):
         rows = spark.read.parquet(f"/root/testdata/{folder}/documents.parquet").collect()
