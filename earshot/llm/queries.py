@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import ann, decontamination, license_scan, line_dedup, lm_scores, ngram_join, packing, pii, quality, token_counts
+from earshot.llm import ann, backoff, decontamination, license_scan, line_dedup, ngram_join, packing, pii, quality, token_counts
 from earshot.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,7 +100,7 @@ def op8_quality_scores(spark, sf_dir):
 
 @query
 def op9_lm_scores(spark, sf_dir):
-    return lm_scores.lm_scores(table(spark, sf_dir, "documents"))
+    return backoff.ngram_scores(table(spark, sf_dir, "documents"))
 
 
 @query
