@@ -8,7 +8,10 @@ neighbour in each slot around the query's own. A query visits perturbed buckets
 order of their estimated success, until the chances add up to ``reach`` in each table.
 Candidates of all tables are compared with the query by exact cosines and merged.
 
-The neighbour distance is measured on a bounded sample of queries against every vector.
+The neighbour distance is measured on a bounded sample of queries against every vector. A
+query is settled when it has ``k + 1`` ids, itself included, within ``COVERED`` times that
+distance; else it is compared with all vectors. So no query returns fewer than ``k`` while
+others exist.
 
 * Equal vectors are one class, represented by its ``k + 1`` smallest ids: no more can be
   asked for, and no bucket grows with the number of copies. The ids are limited before
@@ -24,6 +27,7 @@ import math
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +41,10 @@ from earshot.llm.common import Shipped, mixed, sized_broadcast, stored
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+#: A query is settled by answers within so many times the distance of its width.
+COVERED = 1.25
+
+
 @dataclass(frozen=True)
 class Hashing:
     """``directions``: tables x dimension x hashes; ``shifts``: tables x hashes; slots of ``width``."""
@@ -151,11 +159,11 @@ def nearest_to(points: np.ndarray, unit_rows: np.ndarray, ids: np.ndarray, k: in
     return out
 
 
-def neighbour_distance(classes: DataFrame, dimension: int, k: int, sample: int, quantile: float) -> float:
-    """Distance within which a sampled vector has its ``k`` neighbours, for a ``quantile`` of the sample."""
+def neighbour_distances(classes: DataFrame, dimension: int, k: int, sample: int, quantile: float) -> list[float]:
+    """Distances within which a sampled vector has its ``k`` neighbours: a ``quantile`` of the sample."""
     some = classes.orderBy(F.xxhash64("class_id"), "class_id").limit(sample).select("class_id", "vector").collect()
     if not some:
-        return 1.0
+        return [1.0]
     own = np.array([r["class_id"] for r in some])
     points = units(np.frombuffer(b"".join(r["vector"] for r in some), np.float64).reshape(-1, dimension))
 
@@ -174,51 +182,17 @@ def neighbour_distance(classes: DataFrame, dimension: int, k: int, sample: int,
     rows = rows.where("point <> near").withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
     worst = rows.groupBy("point").agg(F.min("cosine").alias("cosine")).collect()  # one row per sampled vector
     if not worst:
-        return 1.0
-    return float(np.quantile([math.sqrt(max(0.0, 2 - 2 * r["cosine"])) for r in worst], quantile))
+        return [1.0]
+    far = np.array([math.sqrt(max(0.0, 2 - 2 * r["cosine"])) for r in worst])
+    return [float(np.quantile(far, quantile))]
 
 
-def nearest(
-    vectors: DataFrame, is_query: Column, k: int = 5, tables: int = 2, hashes: int = 6, slots: float = 1.8,
-    reach: float = 0.77, block: int = 4096, group: int = 16_384, sample: int = 64,
-    vec_id: str = "vec_id", vector: str = "embedding",
-) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` nearest found of every row where ``is_query``.
-
-    ``is_query`` is a predicate on the column ``vec_id``; candidates are all rows with
-    another id; the score is the cosine in double precision; ties go to the smaller id; with
-    fewer candidates all are returned.
-
-    Null and zero vectors, vectors with null or non-finite components, rows without an id
-    and vectors of another length than the commonest (ties: the longest) take no part.
-    Equal rows count once; an id with several vectors is found by its best one, and as a
-    query it returns the best over its vectors. Other columns are ignored; an empty table
-    gives no rows.
-    """
-    spark = vectors.sparkSession
-    rows = vectors.select(
-        F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector")
-    ).where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
-    lengths = rows.groupBy(F.size("vector").alias("length")).agg(F.count("*").alias("n"))
-    common = lengths.orderBy(F.desc("n"), F.desc("length")).first()
-    if common is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dimension = common["length"]
-    zero = F.transform("vector", lambda x: x + F.lit(0.0))  # one zero, not two
-    rows = rows.where(F.size("vector") == dimension).withColumn("vector", zero)
-    rows = rows.withColumn("digest", F.xxhash64("vector"))
-    found = stored(
-        binary(
-            classes_of(rows, k + 1).select("class_id", "vector", "ids", "digest"),
-            "class_id long, vector binary, ids array<long>, digest long",
-        ),
-        "vector-classes",
-    )
-    total = found.count()
-    hashing = Hashing.draw(
-        dimension, tables, hashes, neighbour_distance(found, dimension, k, sample, 0.75), slots, reach
-    )
-    shared = Shipped(spark, hashing)  # tables x dimension x hashes numbers
+def by_buckets(
+    found: DataFrame, total: int, points: DataFrame, hashing: Hashing, block: int, group: int,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows that ``reranker`` takes: the blocks of buckets and the queries that visit them."""
+    dimension, tables = hashing.directions.shape[1], len(hashing.directions)
+    shared = Shipped(found.sparkSession, hashing)  # tables x dimension x hashes numbers
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,15 +216,6 @@ def nearest(
     members = indexed.join(sizes, "bucket").withColumn("part", part.cast("int"))
     members = members.select(in_group.alias("home"), unit.alias("unit"), "class_id", "vector", "ids")
 
-    asked = rows.where(is_query).select("vec_id", "digest", "vector").distinct()
-    asked = binary(asked, "vec_id long, digest long, vector binary")
-    asked = stored(
-        asked.join(found.select("digest", "vector", "class_id"), ["digest", "vector"]).select("vec_id", "class_id"),
-        "queries",
-    )
-    points = found.select("class_id", "vector").join(asked.select("class_id").distinct(), "class_id", "left_semi")
-    points = stored(points.withColumnRenamed("class_id", "query"), "query-vectors")
-
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -273,6 +238,24 @@ def nearest(
     crew = F.pmod(F.xxhash64("query"), F.col("crews")).cast("int").alias("crew")
     left = members.join(crews, "home").withColumn("crew", F.explode(F.sequence(F.lit(0), F.col("crews") - 1)))
     right = visits.join(crews, "home").join(points, "query").select("home", crew, "query", "vector", "units")
+    return left, right
+
+
+def against_all(
+    found: DataFrame, total: int, points: DataFrame, asking: int, block: int,
+) -> tuple[DataFrame, DataFrame]:
+    """The same for a comparison of all classes with all of ``asking`` points."""
+    homes, crews = -(-total // block), -(-asking // block)
+    home = F.pmod(F.xxhash64("class_id"), F.lit(homes)).cast("long").alias("home")
+    crew = F.pmod(F.xxhash64("query"), F.lit(crews)).cast("int").alias("crew")
+    left = found.select(home, F.lit(0).cast("long").alias("unit"), "class_id", "vector", "ids")
+    left = left.withColumn("crew", F.explode(F.sequence(F.lit(0), F.lit(crews - 1))))
+    right = points.select(crew, "query", "vector", F.array(F.lit(0).cast("long")).alias("units"))
+    return left, right.withColumn("home", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(homes - 1).cast("long"))))
+
+
+def reranker(dimension: int, k: int):
+    """Best classes of each query among the units it visits, for one home and crew."""
 
     def rerank(members, queries):
         rows_of: dict[int, list[int]] = {}
@@ -295,16 +278,23 @@ def nearest(
         names, out = queries.column("query").to_pylist(), []
         lists = members.column("ids").to_pylist() if best else []
         for query, near in best.items():
-            for class_id, cosine in sorted(near.items(), key=lambda x: (-x[1], x[0]))[: k + 1]:
-                out.append((names[query], class_id, cosine, lists[row_of[class_id]]))
+            some = np.array([row_of[class_id] for class_id in near])
+            cosines = (of[query] * at[some]).sum(axis=1)  # the same bits whatever the blocks
+            for place in np.lexsort((ids[some], -cosines))[: k + 1]:
+                out.append((names[query], int(ids[some[place]]), float(cosines[place]), lists[some[place]]))
         return pa.table({
             "query": pa.array([o[0] for o in out], pa.int64()), "class_id": pa.array([o[1] for o in out], pa.int64()),
             "score": pa.array([o[2] for o in out], pa.float64()),
             "ids": pa.array([o[3] for o in out], pa.list_(pa.int64())),
         })
 
+    return rerank
+
+
+def best_ids(left: DataFrame, right: DataFrame, dimension: int, k: int) -> DataFrame:
+    """(query, vec_id, score): the ``k + 1`` best ids of every query."""
     merged = left.groupBy("home", "crew").cogroup(right.groupBy("home", "crew")).applyInArrow(
-        rerank, "query long, class_id long, score double, ids array<long>"
+        reranker(dimension, k), "query long, class_id long, score double, ids array<long>"
     )
     merged = merged.groupBy("query", "class_id").agg(F.max("score").alias("score"), F.first("ids").alias("ids"))
     by_class = W.partitionBy("query").orderBy(F.desc("score"), "class_id")
@@ -312,7 +302,66 @@ def nearest(
     each = merged.select("query", "score", F.explode("ids").alias("vec_id"))
     by_id = W.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     each = each.groupBy("query", "vec_id").agg(F.max("score").alias("score"))
-    each = each.withColumn("place", F.row_number().over(by_id)).where(F.col("place") <= k + 1).drop("place")
+    return each.withColumn("place", F.row_number().over(by_id)).where(F.col("place") <= k + 1).drop("place")
+
+
+def nearest(
+    vectors: DataFrame, is_query: Column, k: int = 5, tables: int = 2, hashes: int = 6, slots: float = 1.8,
+    reach: float = 0.77, block: int = 4096, group: int = 16_384, sample: int = 64,
+    vec_id: str = "vec_id", vector: str = "embedding",
+) -> DataFrame:
+    """(query_id, rank, vec_id, score): the ``k`` nearest found of every row where ``is_query``.
+
+    ``is_query`` is a predicate on the column ``vec_id``; candidates are all rows with
+    another id; the score is the cosine in double precision; ties go to the smaller id; with
+    fewer candidates all are returned.
+
+    Null and zero vectors, vectors with null or non-finite components, rows without an id
+    and vectors of another length than the commonest (ties: the longest) take no part.
+    Equal rows count once; an id with several vectors is found by its best one, and as a
+    query it returns the best over its vectors. Other columns are ignored; an empty table
+    gives no rows.
+    """
+    spark = vectors.sparkSession
+    rows = vectors.select(
+        F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector")
+    ).where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
+    lengths = rows.groupBy(F.size("vector").alias("length")).agg(F.count("*").alias("n"))
+    common = lengths.orderBy(F.desc("n"), F.desc("length")).first()
+    if common is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    dimension = common["length"]
+    zero = F.transform("vector", lambda x: x + F.lit(0.0))  # one zero, not two
+    rows = rows.where(F.size("vector") == dimension).withColumn("vector", zero)
+    rows = rows.withColumn("digest", F.xxhash64("vector"))
+    found = stored(
+        binary(
+            classes_of(rows, k + 1).select("class_id", "vector", "ids", "digest"),
+            "class_id long, vector binary, ids array<long>, digest long",
+        ),
+        "vector-classes",
+    )
+    total = found.count()
+    asked = rows.where(is_query).select("vec_id", "digest", "vector").distinct()
+    asked = binary(asked, "vec_id long, digest long, vector binary")
+    asked = stored(
+        asked.join(found.select("digest", "vector", "class_id"), ["digest", "vector"]).select("vec_id", "class_id"),
+        "queries",
+    )
+    points = found.select("class_id", "vector").join(asked.select("class_id").distinct(), "class_id", "left_semi")
+    points = stored(points.withColumnRenamed("class_id", "query"), "query-vectors")
+    open_points, parts = points, []
+    for distance in neighbour_distances(found, dimension, k, sample, 0.75):
+        hashing = Hashing.draw(dimension, tables, hashes, distance, slots, reach)
+        left, right = by_buckets(found, total, open_points, hashing, block, group)
+        parts.append(stored(best_ids(left, right, dimension, k), "answers"))
+        near = parts[-1].where(F.col("score") >= 1 - (COVERED * hashing.distance) ** 2 / 2)
+        settled = near.groupBy("query").agg(F.count("*").alias("n")).where(F.col("n") > k).select("query")
+        open_points = stored(open_points.join(settled, "query", "left_anti"), "open-queries")
+    asking = open_points.count()
+    if asking:
+        parts.append(best_ids(*against_all(found, total, open_points, asking, block), dimension, k))
+    each = reduce(DataFrame.unionByName, parts)
     answers = asked.withColumnRenamed("vec_id", "query_id").withColumnRenamed("class_id", "query").join(each, "query")
     answers = answers.where("query_id <> vec_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     final = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

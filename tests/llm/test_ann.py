@@ -69,3 +69,12 @@ def test_few_or_no_candidates(spark):
     got = found(nearest(few, F.col("vec_id") % 50 == 0, reach=0.999))
     assert [i for i, _ in got[0]] == [50, 1] or {i for i, _ in got[0]} == {1, 50}
     assert nearest(few.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_small_tables_return_all_candidates(spark):
+    rng = np.random.default_rng(3)
+    for n in (3, 4, 5, 6, 6, 6):
+        vectors = {50 * i: rng.standard_normal(8).tolist() for i in range(n)}
+        got = found(nearest(frame(spark, vectors.items()), F.col("vec_id") % 50 == 0))
+        want = brute(vectors, vectors)
+        assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
