@@ -8,10 +8,12 @@ neighbour in each slot around the query's own. A query visits perturbed buckets
 order of their estimated success, until the chances add up to ``reach`` in each table.
 Candidates of all tables are compared with the query by exact cosines and merged.
 
-The neighbour distance is measured on a bounded sample of queries against every vector. A
-query is settled when it has ``k + 1`` ids, itself included, within ``COVERED`` times that
-distance; else it is compared with all vectors. So no query returns fewer than ``k`` while
-others exist.
+Neighbour distances are measured on a bounded sample of queries against every vector. There
+is a width for each group of these distances, four at most, and queries start at the
+smallest. A query is settled when it has ``k + 1`` ids, itself included, within ``COVERED``
+times the distance its probes were made for; else it goes on to the next width, and after
+the last it is compared with all vectors. So near copies do not set the width for the rest,
+and no query returns fewer than ``k`` while others exist.
 
 * Equal vectors are one class, represented by its ``k + 1`` smallest ids: no more can be
   asked for, and no bucket grows with the number of copies. The ids are limited before
@@ -43,6 +45,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: A query is settled by answers within so many times the distance of its width.
 COVERED = 1.25
+#: Sampled distances are grouped between these parts of the largest.
+SCALES = (1 / 64, 1 / 8, 1 / 2)
 
 
 @dataclass(frozen=True)
@@ -160,7 +164,7 @@ def nearest_to(points: np.ndarray, unit_rows: np.ndarray, ids: np.ndarray, k: in
 
 
 def neighbour_distances(classes: DataFrame, dimension: int, k: int, sample: int, quantile: float) -> list[float]:
-    """Distances within which a sampled vector has its ``k`` neighbours: a ``quantile`` of the sample."""
+    """Distances within which a sampled vector has its ``k`` neighbours: the ``quantile`` of each group, rising."""
     some = classes.orderBy(F.xxhash64("class_id"), "class_id").limit(sample).select("class_id", "vector").collect()
     if not some:
         return [1.0]
@@ -184,7 +188,8 @@ def neighbour_distances(classes: DataFrame, dimension: int, k: int, sample: int,
     if not worst:
         return [1.0]
     far = np.array([math.sqrt(max(0.0, 2 - 2 * r["cosine"])) for r in worst])
-    return [float(np.quantile(far, quantile))]
+    group = np.searchsorted(np.array(SCALES) * far.max(), far)
+    return [float(np.quantile(far[group == g], quantile)) for g in np.unique(group)]
 
 
 def by_buckets(

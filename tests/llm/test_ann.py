@@ -78,3 +78,15 @@ def test_small_tables_return_all_candidates(spark):
         got = found(nearest(frame(spark, vectors.items()), F.col("vec_id") % 50 == 0))
         want = brute(vectors, vectors)
         assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
+
+
+def test_recall_among_near_copies(spark):
+    rng = np.random.default_rng(4)
+    copies = np.repeat(rng.standard_normal((120, 64)), 20, axis=0)
+    rows = np.vstack([copies + 0.002 * rng.standard_normal(copies.shape), rng.standard_normal((600, 64))])
+    vectors = {i: v.tolist() for i, v in enumerate(rows)}
+    queries = [i for i in vectors if i % 50 == 0]
+    want, got = brute(vectors, queries), found(nearest(frame(spark, vectors.items()), F.col("vec_id") % 50 == 0))
+    assert set(got) == set(queries) and all(len(v) == 5 for v in got.values())
+    for some in ([q for q in queries if q < len(copies)], [q for q in queries if q >= len(copies)]):
+        assert sum(len({i for i, _ in want[q]} & {i for i, _ in got[q]}) for q in some) / (5 * len(some)) >= 0.9
