@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import ann, backoff, decontamination, license_scan, line_dedup, ngram_join, packing, pii, quality, token_counts
+from earshot.llm import (
+    ann, backoff, decontamination, infilling, license_scan, line_dedup, mixing, ngram_join, packing, pii, quality,
+    token_counts, vector_codes,
+)
 from earshot.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +169,128 @@ FROM met WHERE containment >= {share} GROUP BY ALL"""
 
 
 ORACLES["op10_license_scan"] = license_sql(license_scan.NOTICES)
+
+
+@query
+def op11_fill_in_middle(spark, sf_dir):
+    made = infilling.fill_in_middle(table(spark, sf_dir, "documents"), seed=7, rate=100, suffix_rate=50)
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infilling.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+ORACLES["op11_fill_in_middle"] = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+drawn AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS lines,
+         ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+         ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+  FROM texts),
+cut AS (
+  SELECT *, len(lines) AS n, least(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS a,
+         greatest(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100
+              THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn),
+parts AS (
+  SELECT *, coalesce(array_to_string(lines[1:a], ''), '') AS prefix,
+         coalesce(array_to_string(lines[a + 1:b], ''), '') AS middle,
+         coalesce(array_to_string(lines[b + 1:n], ''), '') AS suffix
+  FROM cut)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts"""
+
+
+@query
+def op12_vector_codes(spark, sf_dir):
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4, scale=1024).drop("label")
+
+
+def codes_sql(rounds: int = 4, parts: int = 4, entries: int = 256, scale: int = 1024) -> str:
+    """Every distance between every part and every entry, once for each round and once for the codes."""
+    steps = []
+    for turn in range(rounds + 1):
+        steps.append(f"""
+near{turn} AS MATERIALIZED (
+  SELECT vec_id, part, min((d, entry)) AS best
+  FROM (SELECT c.vec_id, part, b.entry, sum((c.x - b.x) * (c.x - b.x))::BIGINT AS d
+        FROM cells c JOIN book{turn} b USING (part, place) GROUP BY ALL)
+  GROUP BY ALL)""")
+        if turn < rounds:
+            steps.append(f"""
+book{turn + 1} AS MATERIALIZED (
+  SELECT part, b.entry, place, coalesce(m.x, b.x) AS x
+  FROM book{turn} b LEFT JOIN (
+    SELECT part, n.best[2] AS entry, place, floor(sum(x)::DOUBLE / count(*))::BIGINT AS x
+    FROM cells JOIN near{turn} n USING (vec_id, part) GROUP BY ALL) m USING (part, entry, place))""")
+    return f"""
+WITH listed AS (
+  SELECT vec_id, label, embedding, len(embedding) AS size, unnest(generate_series(1, len(embedding))) AS i FROM embeddings),
+broken AS (
+  SELECT DISTINCT vec_id FROM listed WHERE embedding[i] IS NULL OR NOT isfinite(embedding[i])),
+kept AS (SELECT * FROM listed WHERE vec_id NOT IN (FROM broken)),
+cells AS MATERIALIZED (
+  SELECT vec_id, (i - 1) // w AS part, (i - 1) % w AS place, floor({scale} * embedding[i]::DOUBLE)::BIGINT AS x
+  FROM kept, (SELECT max(size) // {parts} AS w FROM kept)),
+book0 AS MATERIALIZED (
+  SELECT part, entry, place, x FROM cells JOIN (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry
+    FROM (SELECT DISTINCT vec_id FROM kept) ORDER BY vec_id LIMIT {entries}) USING (vec_id)),{",".join(steps)},
+codes AS (
+  SELECT vec_id, string_agg(printf('%02x', best[2]), '' ORDER BY part) AS code, sum(best[1])::BIGINT AS error
+  FROM near{rounds} GROUP BY ALL)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, place)) FROM book{rounds}) AS codebooks_sha256
+FROM codes JOIN embeddings USING (vec_id)"""
+
+
+ORACLES["op12_vector_codes"] = codes_sql()
+
+
+@query
+def op13_source_mix(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    mixed = mixing.mix(docs, weights=(1, 2, 3), share=1.0, most=3, seed=7)
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+ORACLES["op13_source_mix"] = r"""
+WITH texts AS (
+  SELECT doc_id, source, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+measured AS MATERIALIZED (
+  SELECT doc_id, source, len(w) AS size,
+         -ln((('0x' || h[1:13])::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE)
+           / CASE WHEN len(w) > 0 THEN ln(len(list_distinct(w)) + 1::DOUBLE) / ln(len(w) + 1::DOUBLE) ELSE 1e-6 END AS key
+  FROM texts),
+weighed AS (
+  SELECT source, total, 3 * total AS cap, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w,
+         sum(total) OVER () AS wanted
+  FROM (SELECT source, sum(size) AS total FROM measured GROUP BY source)),
+held AS (
+  SELECT source, total, cap, w, wanted,
+         cap * sum(w) OVER (ORDER BY cap / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+           <= w * (wanted - coalesce(sum(cap) OVER (
+                ORDER BY cap / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS is_held
+  FROM weighed),
+aims AS (
+  SELECT source, total, CASE WHEN is_held THEN cap::DOUBLE ELSE level * w END AS target
+  FROM held, (SELECT (max(wanted) - coalesce(sum(cap) FILTER (is_held), 0))::DOUBLE
+                / (sum(w) FILTER (NOT is_held))::DOUBLE AS level FROM held)),
+budgets AS (
+  SELECT *, CASE WHEN total > 0 THEN floor(target / total) ELSE 0 END AS epochs FROM aims),
+running AS (
+  SELECT source, key, sum(bulk) OVER (PARTITION BY source ORDER BY key) - bulk / 2 AS middle
+  FROM (SELECT source, key, sum(size)::DOUBLE AS bulk FROM measured GROUP BY ALL))
+SELECT m.doc_id, m.size, b.total::BIGINT AS source_size, b.target,
+       (m.size * (b.epochs + (r.middle <= b.target - b.epochs * b.total)::INT))::BIGINT AS taken
+FROM measured m JOIN budgets b ON m.source IS NOT DISTINCT FROM b.source
+JOIN running r ON m.source IS NOT DISTINCT FROM r.source AND m.key = r.key"""
