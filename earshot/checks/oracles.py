@@ -117,6 +117,26 @@ VIEWS = {
     FROM (SELECT theme, unnest(generate_series(min(hour), max(hour), INTERVAL 1 HOUR)) AS hour FROM hourly GROUP BY theme) g
       LEFT JOIN hourly USING (theme, hour)""",
     "hour_metrics": _rolling("hour_grid", "hour"),
+    "part_phrases": """
+    SELECT list_aggregate(w, 'string_agg', ' ') AS phrase, min(ord) AS ord, arg_max(theme, ord) AS theme, arg_max(sentiment, ord) AS sentiment
+    FROM (SELECT p_partkey * 4 + kind AS ord, p_type AS theme, sentiment, regexp_extract_all(lower(phrase), '[a-z0-9]+') AS w
+          FROM (SELECT p_partkey, p_type, 0 AS kind, 'negative' AS sentiment, p_name || ' ' || p_size AS phrase FROM part
+                UNION ALL SELECT p_partkey, p_type, 1, 'positive', p_type || ' ' || p_name || ' ' || p_size FROM part
+                UNION ALL SELECT p_partkey, p_type, 2, 'neutral', p_brand || ' ' || p_type || ' ' || p_name FROM part
+                UNION ALL SELECT p_partkey, p_type, 3, 'negative', p_brand || ' ' || p_type || ' ' || p_name || ' ' || p_size FROM part))
+    GROUP BY w""",
+    "order_texts": """
+    SELECT l_orderkey AS doc_id, string_agg(
+        CASE WHEN l_linenumber % 2 = 0 THEN p_type || ' ' || p_name || ' - ' || p_size
+             ELSE p_brand || ' ' || p_type || ' ' || p_name || ' ' || p_size END, '; ' ORDER BY l_linenumber, l_partkey) AS text
+    FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1""",
+    "word_hits": """
+    SELECT doc_id, p.ord, phrase, p.theme, sentiment, tl.aspect
+    FROM (SELECT DISTINCT doc_id, list_aggregate(w[i:i + n - 1], 'string_agg', ' ') AS gram
+          FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+                FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM order_texts),
+                     (SELECT DISTINCT len(string_split(phrase, ' ')) AS n FROM part_phrases)))
+      JOIN part_phrases p ON p.phrase = gram LEFT JOIN theme_list tl ON tl.theme = p.theme""",
     "ranked": """
     SELECT fbx.*, tier, region, lifetime_value, base_churn_prob,
       CASE WHEN lifetime_value IS NOT NULL THEN
@@ -500,6 +520,27 @@ ORACLES.update(
     SELECT CAST(ts AS DATE) AS feedback_date, event_type AS theme, count(*) AS theme_count FROM events GROUP BY 1, 2"""),
     }
 )
+ORACLES.update(
+    {
+        "lexicon_hits_words": sql("SELECT doc_id, ord, phrase, theme, sentiment, aspect FROM word_hits"),
+        "lexicon_words_tags": sql("""
+    SELECT doc_id, coalesce(pairs, 'None Detected') AS detected_aspects, CAST(coalesce(n, 0) AS INTEGER) AS n_aspects_detected,
+           coalesce(found, 'unclassified') AS inferred_themes
+    FROM order_texts
+      LEFT JOIN (SELECT doc_id, string_agg(theme, '|' ORDER BY o) AS found
+                 FROM (SELECT doc_id, theme, min(ord) AS o FROM word_hits GROUP BY ALL) GROUP BY 1) USING (doc_id)
+      LEFT JOIN (SELECT doc_id, string_agg(aspect || ':' || upper(sentiment[1]) || sentiment[2:], '|' ORDER BY o) AS pairs, count(*) AS n
+                 FROM (SELECT doc_id, aspect, min(ord) AS o, arg_max(sentiment, ord) AS sentiment
+                       FROM word_hits WHERE aspect IS NOT NULL GROUP BY ALL) GROUP BY 1) USING (doc_id)"""),
+        "stream_emerging": ORACLES["emerging_daily"],
+        "csv_quarantine": """
+    SELECT reason, count(*) AS n, CAST(sum(k) AS BIGINT) AS ids, count(*) FILTER (reason = 'kept' AND k % 17 <> 7 AND has_value) AS n_values
+    FROM (SELECT o_orderkey AS k, o_totalprice IS NOT NULL AS has_value,
+            CASE WHEN o_orderkey % 19 = 2 OR o_orderkey % 23 = 4 THEN 'fields' WHEN o_orderkey % 11 = 3 THEN 'value: customer_id'
+                 WHEN o_orderkey % 13 = 5 THEN 'value: order_date' ELSE 'kept' END AS reason FROM orders)
+    GROUP BY 1""",
+    }
+)
 ORACLES["mart_roundtrip"] = (
     f"SELECT m.*, d.text FROM ({ORACLES['mart_fact_feedback']}) m LEFT JOIN documents d ON d.doc_id = m.feedback_id"
 )

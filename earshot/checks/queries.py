@@ -7,14 +7,18 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from earshot.catalogue import UNCLASSIFIED
 from earshot.checks import tables as t
 from earshot.functions import numbers, text as tx
 from earshot.functions.labels import label_or_code, lookup, majority_label
 from earshot.operators import (
     agreement, classifiers, features, history, lexicon, priority, quality, ranking, topics, trends, valence,
 )
+from earshot.operators import phrases as phrases_of
 from earshot.plans import marts, reports
+from earshot.session import scratch_dir
 from earshot.streaming import counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -355,7 +359,6 @@ def action_queue(spark, sf_dir):
 @query
 def mart_roundtrip(spark, sf_dir):
     """The fact mart beside free text with line feeds, written to CSV and read back by its declared schema."""
-    from earshot.session import scratch_dir
     from earshot.sources.tables import read_csv, write_csv
 
     mart = marts.fact_feedback(scored(spark, sf_dir))
@@ -420,6 +423,56 @@ def lexicon_hits(spark, sf_dir):
     return docs.select("doc_id", F.inline(hits))
 
 
+#: Words and numbers of one or more characters, for messages that name products.
+PART_WORDS = "[a-z0-9]+"
+PART_ASPECTS = {th.code: th.aspect for th in t.THEMES}
+
+
+def part_phrases(spark, sf_dir):
+    """Four phrases for each part, some thousand of them different; shared ones keep their first place."""
+    kinds = (
+        ("negative", ("p_name", "p_size")), ("positive", ("p_type", "p_name", "p_size")),
+        ("neutral", ("p_brand", "p_type", "p_name")), ("negative", ("p_brand", "p_type", "p_name", "p_size")),
+    )
+    listed = F.array(*[
+        F.struct(F.lit(i).alias("kind"), F.lit(sentiment).alias("sentiment"),
+                 F.concat_ws(" ", *[F.col(c).cast("string") for c in columns]).alias("phrase"))
+        for i, (sentiment, columns) in enumerate(kinds)
+    ])
+    parts = t.read(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("theme"), F.inline(listed))
+    return parts.select((F.col("p_partkey") * len(kinds) + F.col("kind")).alias("ord"), "phrase", "theme", "sentiment")
+
+
+def order_texts(spark, sf_dir):
+    """(doc_id, text): an order's parts in words, every other line without its brand."""
+    lines = t.read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    parts = t.read(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type", "p_name", "p_size")
+    size = F.col("p_size").cast("string")
+    short = F.concat_ws(" ", "p_type", "p_name", F.lit("-"), size)
+    text = F.when(F.col("l_linenumber") % 2 == 0, short).otherwise(F.concat_ws(" ", "p_brand", "p_type", "p_name", size))
+    listed = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", F.col("text"))))
+    said = lines.join(parts, "l_partkey").withColumn("text", text).groupBy(F.col("l_orderkey").alias("doc_id")).agg(listed.alias("lines"))
+    return said.select("doc_id", F.array_join(F.transform("lines", lambda x: x["text"]), "; ").alias("text"))
+
+
+@query
+def lexicon_hits_words(spark, sf_dir):
+    """Some thousand phrases made from the parts, looked up as word n-grams of the orders."""
+    phrases = phrases_of.phrase_table(part_phrases(spark, sf_dir), PART_ASPECTS, PART_WORDS)
+    return phrases_of.word_hits(order_texts(spark, sf_dir), ["doc_id"], "text", phrases, PART_WORDS)
+
+
+@query
+def lexicon_words_tags(spark, sf_dir):
+    """Aspects and themes from the same phrases, one row for each order that has lines."""
+    phrases = phrases_of.phrase_table(part_phrases(spark, sf_dir), PART_ASPECTS, PART_WORDS)
+    tagged = phrases_of.tag_messages_by_words(order_texts(spark, sf_dir), "doc_id", phrases, pattern=PART_WORDS)
+    return tagged.select(
+        "doc_id", tx.joined_pairs(F.col("detected_aspects"), "aspect", empty="None Detected").alias("detected_aspects"),
+        "n_aspects_detected", tx.joined(F.col("inferred_themes")).alias("inferred_themes"),
+    )
+
+
 @query
 def infer_themes(spark, sf_dir):
     docs = t.documents(spark, sf_dir)
@@ -543,10 +596,8 @@ def _rule_scorer(spark):
     table = valence.valence_table(spark, t.DOC_VALENCES)
 
     def score(rows):
-        labels = valence.valence_scores(rows, ["doc_id"], F.col("text"), table, tx.ASCII_WORDS)
-        return rows.join(labels.select("doc_id", F.col("label").alias("predicted_sentiment")), "doc_id").withColumn(
-            "sentiment_confidence", F.lit(0.7)
-        )
+        labelled = valence.label_rows(rows, "doc_id", "text", table, tx.ASCII_WORDS)
+        return labelled.withColumn("sentiment_confidence", F.lit(0.7))
 
     return score
 
@@ -641,3 +692,63 @@ def topics_kmeans(spark, sf_dir):
 def stream_theme_counts(spark, sf_dir):
     source = counts.parquet_stream(spark, sf_dir, "events.parquet", t.SCHEMAS["events"])
     return counts.daily_theme_counts(source, "ts", "event_type")
+
+
+@query
+def stream_emerging(spark, sf_dir):
+    """Spike metrics from a stream of messages: orders arrive as a stream, their themes lie in a table."""
+    base = scratch_dir(spark, "stream-emerging")
+    orders = counts.parquet_stream(spark, sf_dir, "orders.parquet", t.SCHEMAS["orders"])
+    themed = t.order_themes(spark, sf_dir).select(F.col("feedback_id").alias("o_orderkey"), "found")
+    found = F.coalesce("found", F.array(F.lit(UNCLASSIFIED)))
+    messages = orders.select("o_orderkey", "o_orderdate").join(themed, "o_orderkey", "left").withColumn("inferred_themes", found)
+    table = counts.CountTable(spark, f"{base}/counts")
+    counts.follow(messages, table, f"{base}/checkpoint", "o_orderdate").awaitTermination()
+    return trends.emerging_daily(table.shares()).select(
+        "theme", "feedback_date", "theme_count",
+        *six("theme_share", "baseline_mean", "baseline_std", "recent_avg", "z_score", "change"),
+        *flags(),
+    )
+
+
+# --- sources --------------------------------------------------------------------------
+
+
+def feedback_lines(spark, sf_dir):
+    """CSV lines of the orders, some of them spoilt, in eight files that begin with a header."""
+    key, day = F.col("o_orderkey"), F.date_format("o_orderdate", "yyyy-MM-dd")
+    fields = [
+        key.cast("string"), F.when(key % 11 == 3, "none").otherwise(F.col("o_custkey").cast("string")),
+        F.when(key % 13 == 5, F.concat(F.lit("on "), day)).otherwise(day),
+        F.when(key % 17 == 7, "").otherwise(F.col("o_totalprice").cast("decimal(20,2)").cast("string")),
+        F.concat(F.lit('"a, ""quoted"" note '), key.cast("string"), F.lit('"')),
+    ]
+    whole = F.concat_ws(",", *fields)
+    line = F.when(key % 19 == 2, F.concat_ws(",", *fields[:3])).when(key % 23 == 4, F.concat(whole, F.lit(",extra"))).otherwise(whole)
+    rows = t.read(spark, sf_dir, "orders").select((key % 8).alias("file"), F.lit(1).alias("place"), line.alias("line"))
+    head = spark.range(8).select(
+        F.col("id").alias("file"), F.lit(0).alias("place"), F.lit("order_id,customer_id,order_date,order_value,note").alias("line")
+    )
+    path = scratch_dir(spark, "spoilt-lines")
+    sorted_lines = rows.unionByName(head).repartition("file").sortWithinPartitions("file", "place")
+    sorted_lines.select("file", "line").write.partitionBy("file").text(path)
+    return f"{path}/*"
+
+
+@query
+def csv_quarantine(spark, sf_dir):
+    """Lines read, kept and set aside, by reason; the kept values and the stored records are summed up."""
+    from earshot.sources.tables import quarantine
+
+    schema = T.StructType.fromDDL("customer_id long, order_date date, order_value double, order_id long")
+    aside = scratch_dir(spark, "quarantine")
+    good = quarantine(spark, feedback_lines(spark, sf_dir), schema, aside, multi_line=False)
+    kept = good.agg(
+        F.lit("kept").alias("reason"), F.count(F.lit(1)).alias("n"), F.sum("order_id").alias("ids"),
+        F.count("order_value").alias("n_values"),
+    )
+    bad = spark.read.schema("file string, reason string, record string").json(aside)
+    first = F.split("record", ",")[0].cast("long")
+    return kept.unionByName(
+        bad.groupBy("reason").agg(F.count("file").alias("n"), F.sum(first).alias("ids"), F.lit(0).cast("long").alias("n_values"))
+    )

@@ -32,24 +32,17 @@ class AlertRule:
     min_recent_count: int = 0
 
 
-def theme_daily_share(
-    messages: DataFrame, day: Column, themes: str = "inferred_themes"
-) -> DataFrame:
-    """(feedback_date, theme, theme_count, total_feedback, theme_share).
-
-    One pass and one shuffle: each message adds one total row besides its theme
-    rows, so the denominator needs no second scan and no join of the fact.
-    """
+def theme_marks(themes: str) -> Column:
+    """One (is_total, theme) entry for the message itself and one for each of its themes."""
     listed = F.coalesce(F.col(themes), F.array().cast("array<string>"))
-    marks = F.concat(
+    return F.concat(
         F.array(F.struct(F.lit(True).alias("is_total"), F.lit(None).cast("string").alias("theme"))),
         F.transform(listed, lambda t: F.struct(F.lit(False).alias("is_total"), t.alias("theme"))),
     )
-    counted = (
-        messages.select(day.alias("feedback_date"), F.explode(marks).alias("m"))
-        .groupBy("feedback_date", "m.is_total", "m.theme")
-        .agg(F.count(F.lit(1)).alias("theme_count"))
-    )
+
+
+def shares_of_counts(counted: DataFrame) -> DataFrame:
+    """Shares from (feedback_date, is_total, theme, theme_count), one row per day and theme and one per day."""
     one_day = Window.partitionBy("feedback_date")
     total = F.max(F.when(F.col("is_total"), F.col("theme_count"))).over(one_day)
     return (
@@ -62,6 +55,22 @@ def theme_daily_share(
     )
 
 
+def theme_daily_share(
+    messages: DataFrame, day: Column, themes: str = "inferred_themes"
+) -> DataFrame:
+    """(feedback_date, theme, theme_count, total_feedback, theme_share).
+
+    One pass and one shuffle: each message adds one total row besides its theme
+    rows, so the denominator needs no second scan and no join of the fact.
+    """
+    counted = (
+        messages.select(day.alias("feedback_date"), F.explode(theme_marks(themes)).alias("m"))
+        .groupBy("feedback_date", "m.is_total", "m.theme")
+        .agg(F.count(F.lit(1)).alias("theme_count"))
+    )
+    return shares_of_counts(counted)
+
+
 def densify(series: DataFrame, key: str, at: str, step: str, fills: Mapping[str, object]) -> DataFrame:
     """Every step from a key's first to its last row; absent rows take the fills.
 

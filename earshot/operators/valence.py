@@ -53,6 +53,27 @@ def valence_scores(
     return out.withColumn("label", valence_label(F.col("compound")))
 
 
+def label_rows(
+    rows: DataFrame, key: str, text: str, table: DataFrame, pattern: str = WORDS, out: str = "predicted_sentiment"
+) -> DataFrame:
+    """``rows`` with the rule-based label of each row's own text, null and repeated keys included.
+
+    Rows are met again by key and digest of the text. Rows that agree in both add up to a
+    multiple of one row's sum, so the sum is divided by their number.
+    """
+    marked = rows.withColumn("_digest", F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+    words = marked.select(
+        F.col(key).alias("_key"), F.col("_digest").alias("_of"), F.posexplode_outer(tokens(F.col(text), pattern)).alias("_at", "token")
+    )
+    sums = words.join(table, "token", "left").groupBy("_key", "_of").agg(
+        F.sum(F.coalesce("points", F.lit(0))).alias("points"), F.count_if(F.coalesce("_at", F.lit(0)) == 0).alias("copies")
+    )
+    total = F.col("points").cast("double") / F.col("copies") / F.lit(float(10**VALENCE_DIGITS))
+    named = sums.select("_key", "_of", valence_label(normalise(total)).alias(out))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_digest") == F.col("_of"))
+    return marked.join(named, same, "left").drop("_key", "_of", "_digest")
+
+
 def keyword_clauses(
     messages: DataFrame,
     key: str,

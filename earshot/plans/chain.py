@@ -18,6 +18,7 @@ from earshot.functions.labels import lookup
 from earshot.operators import agreement, classifiers, priority, quality, topics, trends, valence
 from earshot.operators.features import TermRules, english_stop_words
 from earshot.operators.lexicon import tag_messages
+from earshot.operators.phrases import phrase_table, tag_messages_by_words
 from earshot.plans import marts, reports
 from earshot.sources import tables
 
@@ -37,6 +38,8 @@ class Settings:
     n_topics: int = 10
     embedding_rank: int = 100
     seed: int = 42
+    phrase_match: str = "substring"  # or "words", for lexicons of many thousand phrases
+    set_bad_lines_aside: bool = False  # feedback lines that do not fit go to out/quarantine
 
     @property
     def labels(self) -> dict[str, str]:
@@ -52,9 +55,7 @@ def rule_scorer(spark: SparkSession, valences: Mapping[str, float], doc: str, te
     table = valence.valence_table(spark, valences)
 
     def score(rows: DataFrame) -> DataFrame:
-        labels = valence.valence_scores(rows, [doc], F.col(text), table)
-        named = labels.select(doc, F.col("label").alias("predicted_sentiment"))
-        return rows.join(named, doc).withColumn("sentiment_confidence", F.lit(0.7))
+        return valence.label_rows(rows, doc, text, table).withColumn("sentiment_confidence", F.lit(0.7))
 
     return score
 
@@ -71,7 +72,12 @@ def predict_sentiment(feedback: DataFrame, settings: Settings) -> tuple[DataFram
 
 
 def tag_aspects(feedback: DataFrame, settings: Settings) -> DataFrame:
-    return tag_messages(feedback, settings.lexicon, settings.aspects)
+    if settings.phrase_match == "substring":
+        return tag_messages(feedback, settings.lexicon, settings.aspects)
+    if settings.phrase_match != "words":
+        raise ValueError(f"phrase_match must be substring or words, not {settings.phrase_match!r}")
+    lexicon = tables.lexicon_frame(feedback.sparkSession, settings.lexicon)
+    return tag_messages_by_words(feedback, "feedback_id", phrase_table(lexicon, settings.aspects))
 
 
 def aspect_comparison(tagged: DataFrame, settings: Settings) -> DataFrame:
@@ -159,7 +165,8 @@ def run(spark: SparkSession, data: str, out: str, settings: Settings | None = No
     Returns the stored tables by name.
     """
     settings = settings or Settings()
-    feedback = tables.read_feedback(spark, f"{data}/feedback.csv")
+    aside = f"{out}/quarantine/feedback" if settings.set_bad_lines_aside else None
+    feedback = tables.read_feedback(spark, f"{data}/feedback.csv", aside)
     customers = tables.read_csv(spark, f"{data}/customers.csv", tables.CUSTOMERS)
     products = tables.read_csv(spark, f"{data}/products.csv", tables.PRODUCTS)
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,29 +31,93 @@ FEEDBACK = _schema(
 )
 
 
+_FORM = {"header": True, "quote": '"', "escape": '"'}
+
+
+def _header(spark: SparkSession, path: str, schema: T.StructType, form: dict) -> list[str]:
+    names = spark.read.csv(path, **form).columns
+    missing = [name for name in schema.names if name not in names]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return names
+
+
+def _cast(field: T.StructField) -> Column:
+    """The value of a text column, null where it does not fit, whatever ``spark.sql.ansi.enabled`` says."""
+    return F.col(f"`{field.name}`").try_cast(field.dataType)
+
+
+def _misfit(field: T.StructField) -> Column:
+    return F.col(f"`{field.name}`").isNotNull() & _cast(field).isNull()
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
     """CSV with a header line; quotes are doubled inside quoted fields.
 
     Columns are found by their names in the header, in any order; other columns are
     left out, and a missing one is an error. Every file must have the same
     header. A line that does not fit the header or a value that does not fit its
-    type fails the job. Free text may hold line feeds; then a file is read by one
-    task, so large tables come as many files or as parquet. ``multi_line=False``
-    splits files where no field holds a line feed.
+    type fails the job; :func:`read_csv_checked` sets them aside instead. Free text may hold line
+    feeds; then a file is read by one task, so large tables come as many files or as parquet.
+    ``multi_line=False`` splits files where no field holds a line feed.
     """
-    form = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
-    names = spark.read.csv(path, **form).columns
-    missing = [name for name in schema.names if name not in names]
-    if missing:
-        raise ValueError(f"{path} has no column {', '.join(missing)}")
-    texts = T.StructType([T.StructField(name, _S, True) for name in names])
+    form = {**_FORM, "multiLine": multi_line}
+    texts = T.StructType([T.StructField(n, _S, True) for n in _header(spark, path, schema, form)])
     rows = spark.read.schema(texts).csv(path, enforceSchema=False, mode="FAILFAST", **form)
-    return rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+
+    def checked(field: T.StructField) -> Column:
+        said = F.concat(F.lit(f"{field.name} is no {field.dataType.simpleString()}: "), F.col(f"`{field.name}`"))
+        return F.when(_misfit(field), F.raise_error(said)).otherwise(_cast(field)).alias(field.name)
+
+    return rows.select(*[checked(f) for f in schema.fields])
+
+
+@dataclass(frozen=True)
+class CheckedRows:
+    """Rows that fit the schema, and (file, reason, record) of those that do not."""
+
+    good: DataFrame
+    bad: DataFrame
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> CheckedRows:
+    """CSV as in :func:`read_csv`, but what does not fit is set aside with its file and reason.
+
+    ``fields``: the line has more or fewer fields than the header; the record is the line as it was.
+    ``value: <column>``: the first column, in schema order, whose text does not fit its type; the
+    record is the line's fields as CSV. Every line ends up on exactly one side.
+    """
+    form = {**_FORM, "multiLine": multi_line}
+    names = _header(spark, path, schema, form)
+    texts = T.StructType([T.StructField(n, _S, True) for n in [*names, "_corrupt_record"]])
+    # all fields are parsed whatever is selected: a pruned scan would not see that a line is too long
+    rows = spark.read.schema(texts).option("columnPruning", False).csv(
+        path, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record", **form
+    )
+    values = F.coalesce(*[F.when(_misfit(f), F.lit(f"value: {f.name}")) for f in schema.fields])
+    reason = F.when(F.col("_corrupt_record").isNotNull(), "fields").otherwise(values)
+    line = F.to_csv(F.struct(*[F.col(f"`{n}`") for n in names]))
+    marked = rows.select(
+        *[_cast(f).alias(f.name) for f in schema.fields], F.col("_metadata.file_path").alias("_file"),
+        reason.alias("_reason"), F.when(reason.isNotNull(), F.coalesce("_corrupt_record", line)).alias("_record"),
+    )
+    good = marked.where("_reason IS NULL").select(*schema.names)
+    bad = marked.where("_reason IS NOT NULL").select(
+        F.col("_file").alias("file"), F.col("_reason").alias("reason"), F.col("_record").alias("record")
+    )
+    return CheckedRows(good, bad)
+
+
+def quarantine(spark: SparkSession, path: str, schema: T.StructType, aside: str, multi_line: bool = True) -> DataFrame:
+    """The rows that fit; the others are written to the folder ``aside`` as JSON lines."""
+    rows = read_csv_checked(spark, path, schema, multi_line)
+    write_json(rows.bad, aside)
+    return rows.good
 
 
-def read_feedback(spark: SparkSession, path: str) -> DataFrame:
-    """The base feedback table with its list columns as arrays."""
-    raw = read_csv(spark, path, FEEDBACK)
+def read_feedback(spark: SparkSession, path: str, aside: str | None = None) -> DataFrame:
+    """The base feedback table with its list columns as arrays; bad lines fail, or go to ``aside``."""
+    raw = read_csv(spark, path, FEEDBACK) if aside is None else quarantine(spark, path, FEEDBACK, aside)
     return raw.withColumn("true_themes", split_list(F.col("true_themes"))).withColumn(
         "true_aspect_sentiments", split_pairs(F.col("true_aspect_sentiments"))
     )

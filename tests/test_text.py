@@ -5,7 +5,7 @@ from earshot.functions.labels import majority_label, tier_of, valence_label
 from earshot.functions.text import clauses, joined_pairs, split_list, split_pairs, tokens, word_grams
 from earshot.operators.agreement import aspect_agreement
 from earshot.operators.lexicon import aspects_of, flatten_lexicon, keyword_aspects, lexicon_hits, tag_messages, themes_of
-from earshot.operators.valence import clause_aspects, keyword_clauses, valence_scores, valence_table
+from earshot.operators.valence import clause_aspects, keyword_clauses, label_rows, valence_scores, valence_table
 
 LEXICON = [
     c.Phrase("slow app", "app", "negative"),
@@ -171,3 +171,13 @@ def test_agreement_skips_themes_without_aspect(spark):
     )
     row = only(aspect_agreement(df, ASPECTS))
     assert (row.correct, row.total) == (1, 3) and abs(row.agreement - 1 / 3) < 1e-12
+
+
+def test_row_labels_with_null_and_repeated_keys(spark):
+    rows = [(None, "good good"), (None, "bad"), (1, "good"), (1, "bad"), (2, None), (3, "good"), (3, "good"), (4, "")]
+    df = spark.createDataFrame([(*r, "own") for r in rows], "id long, text string, token string")
+    table = valence_table(spark, {"good": 2.0, "bad": -2.0})
+    got = sorted(tuple(r) for r in label_rows(df, "id", "text", table).na.fill(-1, ["id"]).na.fill("").collect())
+    label = {"good good": "positive", "good": "positive", "bad": "negative"}
+    want = sorted((-1 if i is None else i, t or "", "own", label.get(t, "neutral")) for i, t in rows)
+    assert got == want
