@@ -445,14 +445,18 @@ ORACLES: dict[str, str] = {
     FROM scored WHERE priority_tier IN ('Critical', 'High')"""),
     # quality
     "dq_row_counts": sql("""
-    SELECT 'feedback' AS table_name, (SELECT count(*) FROM orders) AS expected, (SELECT count(*) FROM fbx) AS actual, 1 AS ok
-    UNION ALL SELECT 'customers', (SELECT count(*) FROM customer), (SELECT count(*) FROM cust), 1
-    UNION ALL SELECT 'products', (SELECT count(*) FROM part), (SELECT count(*) FROM prod), 1"""),
+    SELECT *, (expected = actual)::INT AS ok FROM (
+      SELECT 'feedback' AS table_name, (SELECT count(*) FROM orders) AS expected, (SELECT count(*) FROM fbx) AS actual
+      UNION ALL SELECT 'customers', (SELECT count(*) FROM customer), (SELECT count(*) FROM cust)
+      UNION ALL SELECT 'products', (SELECT count(*) FROM part), (SELECT count(*) FROM prod)
+      UNION ALL SELECT 'feedback with a theme', (SELECT count(*) FROM orders), (SELECT count(DISTINCT l_orderkey) FROM lineitem))"""),
     "dq_tier_reconcile": sql("""
-    SELECT count(*) FILTER (WHERE priority_tier = 'Critical') AS critical, count(*) FILTER (WHERE priority_tier = 'High') AS high,
-           count(*) FILTER (WHERE priority_tier = 'Medium') AS medium, count(*) FILTER (WHERE priority_tier = 'Low') AS low,
-           count(*) AS fact_rows, 1 AS adds_up
-    FROM scored"""),
+    SELECT *, (critical + high + medium + low = fact_rows)::INT AS adds_up
+    FROM (SELECT fact, count(*) FILTER (WHERE seen AND priority_tier = 'Critical') AS critical, count(*) FILTER (WHERE seen AND priority_tier = 'High') AS high,
+                 count(*) FILTER (WHERE seen AND priority_tier = 'Medium') AS medium, count(*) FILTER (WHERE seen AND priority_tier = 'Low') AS low,
+                 count(*) AS fact_rows
+          FROM (SELECT fact, priority_tier, fact = 'whole' OR channel <> '1-URGENT' AS seen
+                FROM scored, (VALUES ('whole'), ('broken')) AS v(fact)) GROUP BY fact)"""),
     "dq_orphans": sql("""
     SELECT 'customer_id' AS key_name, count(*) FILTER (WHERE customer_id IS NULL) AS null_rows,
            count(*) FILTER (WHERE customer_id NOT IN (SELECT customer_id FROM cust)) AS orphan_rows,
@@ -533,6 +537,25 @@ ORACLES.update(
                  FROM (SELECT doc_id, aspect, min(ord) AS o, arg_max(sentiment, ord) AS sentiment
                        FROM word_hits WHERE aspect IS NOT NULL GROUP BY ALL) GROUP BY 1) USING (doc_id)"""),
         "stream_emerging": ORACLES["emerging_daily"],
+        "worsening_products_stored": ORACLES["worsening_products"],
+        "theme_share_45d_stored": ORACLES["theme_share_45d"],
+        "mart_executive_stored": ORACLES["mart_executive"],
+        "customer_360_stored": ORACLES["customer_360"],
+        "dq_checks": sql("""
+    SELECT check_name, expected, actual, (expected = actual)::INT AS ok FROM (
+      SELECT 'rows' AS check_name, (SELECT count(*) FROM orders) AS expected, (SELECT count(*) FROM scored) AS actual
+      UNION ALL SELECT 'tiers', (SELECT count(*) FROM scored), (SELECT count(*) FROM scored WHERE priority_tier IN ('Critical', 'High', 'Medium', 'Low'))
+      UNION ALL SELECT 'orphans customer_id', 0, (SELECT count(*) FROM fbx WHERE customer_id NOT IN (SELECT customer_id FROM cust))
+      UNION ALL SELECT 'orphans product_id', 0, (SELECT count(*) FROM fbx WHERE product_id NOT IN (SELECT product_id FROM prod))
+      UNION ALL SELECT 'amiss: rows', (SELECT count(*) + 1 FROM orders), (SELECT count(*) FROM scored)
+      UNION ALL SELECT 'amiss: tiers', (SELECT count(*) FROM scored), (SELECT count(*) FROM scored WHERE priority_tier IN ('Critical', 'High'))
+      UNION ALL SELECT 'amiss: orphans customer_id', 0, (SELECT count(*) FROM fbx WHERE customer_id NOT IN (SELECT customer_id FROM cust WHERE tier <> 'Gold'))
+      UNION ALL SELECT 'amiss: orphans product_id', 0, (SELECT count(*) FROM fbx WHERE product_id NOT IN (SELECT product_id FROM prod WHERE quality_risk = 'normal')))"""),
+        "project_metrics": sql("""
+    SELECT 'feedback_interactions' AS metric, count(*) AS n FROM orders UNION ALL SELECT 'customers', count(*) FROM customer
+    UNION ALL SELECT 'products', count(*) FROM part UNION ALL SELECT 'orders', count(*) FROM lineitem
+    UNION ALL SELECT 'priority_distribution.' || v.name, (SELECT count(*) FROM scored WHERE priority_tier = v.name)
+    FROM (VALUES ('Critical'), ('High'), ('Medium'), ('Low')) AS v(name)"""),
         "csv_quarantine": """
     SELECT reason, count(*) AS n, CAST(sum(k) AS BIGINT) AS ids, count(*) FILTER (reason = 'kept' AND k % 17 <> 7 AND has_value) AS n_values
     FROM (SELECT o_orderkey AS k, o_totalprice IS NOT NULL AS has_value,

@@ -19,6 +19,7 @@ from earshot.operators import (
 from earshot.operators import phrases as phrases_of
 from earshot.plans import marts, reports
 from earshot.session import scratch_dir
+from earshot.sources import facts
 from earshot.streaming import counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -369,6 +370,44 @@ def mart_roundtrip(spark, sf_dir):
     return read_csv(spark, path, mart.schema)
 
 
+# --- stored tables ---------------------------------------------------------------
+
+
+def stored_fact(spark, sf_dir, **counts):
+    """The scored feedback by month, and what was counted while it was written."""
+    path = scratch_dir(spark, "stored-fact")
+    rows = facts.by_month(scored(spark, sf_dir))
+    return quality.written_with(rows, lambda df: facts.write_by_month(df, path), "stored_fact", **counts)
+
+
+@query
+def worsening_products_stored(spark, sf_dir):
+    """The report over the fact stored by month: only the months of its two periods are read."""
+    fact, _ = stored_fact(spark, sf_dir)
+    return reports.worsening_products(fact, t.products(spark, sf_dir), by="category", least=10)
+
+
+@query
+def theme_share_45d_stored(spark, sf_dir):
+    labelled = daily(spark, sf_dir).withColumn("theme_label", lookup(F.col("theme"), t.LABELS))
+    return reports.theme_share_recent(facts.write_by_month(labelled, scratch_dir(spark, "stored-daily")))
+
+
+@query
+def mart_executive_stored(spark, sf_dir):
+    fact, _ = stored_fact(spark, sf_dir)
+    found = trends.latest_per_theme(metrics(spark, sf_dir)).where(trends.flagged(RELAXED))
+    return marts.executive(fact, found, churn_cut=0.2)
+
+
+@query
+def customer_360_stored(spark, sf_dir):
+    """One customer's messages from files that hold the messages of a customer together."""
+    history = scored(spark, sf_dir).select(*reports.HISTORY_COLUMNS)
+    path = scratch_dir(spark, "customer-history")
+    return reports.customer_360(facts.write_by_key(history, path, "customer_id", ("feedback_date", "feedback_id")), 7)
+
+
 # --- quality ---------------------------------------------------------------------
 
 
@@ -382,13 +421,52 @@ def dq_row_counts(spark, sf_dir):
             "feedback": (raw("orders"), t.feedback(spark, sf_dir)),
             "customers": (raw("customer"), t.customers(spark, sf_dir)),
             "products": (raw("part"), t.products(spark, sf_dir)),
+            "feedback with a theme": (raw("orders"), t.order_themes(spark, sf_dir)),
         }
     ).withColumn("ok", F.col("ok").cast("int"))
 
 
+@query
+def dq_checks(spark, sf_dir):
+    """The checks of a fact as it is written, and the same three where something is amiss."""
+    source = t.read(spark, sf_dir, "orders").count()
+    fact, counts = stored_fact(spark, sf_dir, **quality.tier_columns())
+    people, goods = t.customers(spark, sf_dir), t.products(spark, sf_dir)
+    checks = quality.fact_checks(source, counts, quality.orphans(fact, {"customer_id": people, "product_id": goods}))
+    lacking, partial = stored_fact(spark, sf_dir, **quality.tier_columns(("Critical", "High")))
+    lost = quality.orphans(lacking, {"customer_id": people.where("tier <> 'Gold'"), "product_id": goods.where("quality_risk = 'normal'")})
+    amiss = quality.fact_checks(source + 1, partial, lost)
+    named = [(c.name, c) for c in checks] + [(f"amiss: {c.name}", c) for c in amiss]
+    return quality.check_table(spark, [quality.Check(n, c.expected, c.actual) for n, c in named]).withColumn("ok", F.col("ok").cast("int"))
+
+
+@query
+def project_metrics(spark, sf_dir):
+    """The summary file, with the tier counts of the pass that wrote the fact, written and read back."""
+    from earshot.sources.tables import write_json
+
+    _, counts = stored_fact(spark, sf_dir, **quality.tier_columns())
+    sizes = {"feedback_interactions": counts.pop("rows")} | {
+        name: t.read(spark, sf_dir, table).count()
+        for name, table in (("customers", "customer"), ("products", "part"), ("orders", "lineitem"))
+    }
+    made, path = quality.project_metrics(spark, sizes, counts), scratch_dir(spark, "project-metrics")
+    write_json(made, path)
+    read = spark.read.schema(made.schema).json(path)
+    plain = F.map_concat(
+        F.create_map(*[part for name in sizes for part in (F.lit(name), F.col(name))]),
+        F.transform_keys("priority_distribution", lambda k, _: F.concat(F.lit("priority_distribution."), k)),
+    )
+    return read.select(F.explode(plain).alias("metric", "n"))
+
+
 @query
 def dq_tier_reconcile(spark, sf_dir):
-    return priority.tier_counts(scored(spark, sf_dir)).withColumn("adds_up", F.col("adds_up").cast("int"))
+    """Over the whole fact, and over a table in which the tier of a channel is missing."""
+    whole = scored(spark, sf_dir)
+    broken = whole.withColumn("priority_tier", F.when(F.col("channel") != "1-URGENT", F.col("priority_tier")))
+    both = [priority.tier_counts(rows).select(F.lit(name).alias("fact"), "*") for name, rows in (("whole", whole), ("broken", broken))]
+    return both[0].unionByName(both[1]).withColumn("adds_up", F.col("adds_up").cast("int"))
 
 
 @query

@@ -19,7 +19,7 @@ from earshot.functions.numbers import half_even
 from earshot.operators.agreement import classification_report, confusion_matrix
 from earshot.operators.features import TermRules, TextFeatures, fit_features
 from earshot.operators.ranking import stratified_split
-from earshot.session import side_by_side
+from earshot.session import side_by_side, without_summary
 
 #: Adds ``predicted_sentiment`` and ``sentiment_confidence`` to rows of text.
 Scorer = Callable[[DataFrame], DataFrame]
@@ -100,6 +100,7 @@ def fit_logistic(data: TrainingSet, c: float = 3.0, max_iter: int = 1000, tol: f
         family="multinomial", featuresCol="features", labelCol="label_idx", weightCol="class_weight",
         regParam=1.0 / (c * data.n), elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=tol,
     ).fit(data.batches())
+    model = without_summary(model)
 
     def score(rows: DataFrame) -> DataFrame:
         scored = model.transform(data.features.tfidf(rows, data.text))
@@ -122,11 +123,11 @@ def fit_svm(data: TrainingSet, c: float = 1.0, max_iter: int = 1000, tol: float
 
     def fit_one(i: int) -> LinearSVCModel:
         one = batches.withColumn("is_class", (F.col("label_idx") == float(i)).cast("double"))
-        return LinearSVC(
+        return without_summary(LinearSVC(
             featuresCol="features", labelCol="is_class", weightCol="class_weight",
             rawPredictionCol="raw", predictionCol="hit",
             regParam=1.0 / (c * data.n), standardization=False, maxIter=max_iter, tol=tol,
-        ).fit(one)
+        ).fit(one))
 
     models = side_by_side(batches.sparkSession, [partial(fit_one, i) for i in range(len(data.labels))])
 

@@ -20,7 +20,7 @@ from earshot.operators.features import TermRules, english_stop_words
 from earshot.operators.lexicon import tag_messages
 from earshot.operators.phrases import phrase_table, tag_messages_by_words
 from earshot.plans import marts, reports
-from earshot.sources import tables
+from earshot.sources import facts, tables
 
 
 @dataclass(frozen=True)
@@ -160,8 +160,11 @@ def standing_reports(
 
 
 def run(spark: SparkSession, data: str, out: str, settings: Settings | None = None) -> dict[str, DataFrame]:
-    """Reads the three CSV tables of ``data`` and writes everything below ``out``.
+    """Reads the CSV tables of ``data`` and writes everything below ``out``.
 
+    Feedback, customers and products are needed; orders are only counted, where there are any. The scored
+    feedback and the daily themes are stored by month, the messages of a customer together.
+    ``quality_checks`` says whether rows, tiers and keys add up, ``project_metrics`` how much there is.
     Returns the stored tables by name.
     """
     settings = settings or Settings()
@@ -175,7 +178,9 @@ def run(spark: SparkSession, data: str, out: str, settings: Settings | None = No
         return spark.read.schema(df.schema).parquet(f"{out}/{name}")
 
     with_sentiment, sentiment = predict_sentiment(feedback, settings)
-    tagged = store(tag_aspects(with_sentiment, settings), "feedback_tagged")
+    tagged, came_in = quality.written_with(
+        tag_aspects(with_sentiment, settings), lambda df: store(df, "feedback_tagged"), "feedback_tagged"
+    )
     tables.write_json(aspect_comparison(tagged, settings), f"{out}/aspect_evaluation")
     with_topics, found, cached = discover_topics(tagged, settings)
     enriched = store(with_topics, "feedback_enriched")
@@ -194,14 +199,31 @@ def run(spark: SparkSession, data: str, out: str, settings: Settings | None = No
 
     plain = operational(enriched)
     daily, alerts = detect_issues(plain, settings)
-    daily, alerts = store(daily, "daily_theme_trends"), store(alerts, "emerging_issue_alerts")
+    daily = facts.write_by_month(daily, f"{out}/daily_theme_trends")
+    alerts = store(alerts, "emerging_issue_alerts")
     tables.write_json(alerts, f"{out}/emerging_issue_alerts_json")
     scored_plan = priority.score_feedback(plain, customers, settings.themes, alerts)
     quality.assert_no_truth(scored_plan)
-    scored = store(scored_plan, "feedback_final_scored")
+    scored, counted = quality.written_with(
+        facts.by_month(scored_plan), lambda df: facts.write_by_month(df, f"{out}/feedback_final_scored"),
+        "feedback_final_scored", **quality.tier_columns(),
+    )
+    lost = quality.orphans(scored, {"customer_id": customers, "product_id": products})
+    checks = quality.check_table(spark, quality.fact_checks(came_in["rows"], counted, lost))
+    tables.write_json(checks, f"{out}/quality_checks")
+    has_orders = tables.exists(spark, f"{data}/orders.csv")
+    orders = tables.read_csv(spark, f"{data}/orders.csv", tables.ORDERS).count() if has_orders else None
+    sizes = {
+        "feedback_interactions": counted.pop("rows"), "customers": customers.count(), "products": products.count(),
+        "orders": orders,
+    }
+    tables.write_json(quality.project_metrics(spark, sizes, counted), f"{out}/project_metrics")
+    history = facts.write_by_key(
+        scored.select(*reports.HISTORY_COLUMNS), f"{out}/customer_history", "customer_id", ("feedback_date", "feedback_id")
+    )
     tables.write_json(priority.explanation_cards(scored, settings.themes), f"{out}/explanation_cards")
     for name, mart in dashboard(scored, products, daily, alerts).items():
         tables.write_csv(mart, f"{out}/dashboard/{name}")
     for name, report in standing_reports(scored, customers, products, daily).items():
         tables.write_csv(report, f"{out}/reports/{name}")
-    return {"enriched": enriched, "daily": daily, "alerts": alerts, "scored": scored}
+    return {"enriched": enriched, "daily": daily, "alerts": alerts, "scored": scored, "history": history}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from earshot.catalogue import NEGATIVE, POSITIVE
 from earshot.functions.numbers import count_where, exact_mean, half_even, rate
 from earshot.operators.priority import urgent
+from earshot.sources.facts import last_day
 
 FACT_COLUMNS = (
     "feedback_id", "customer_id", "product_id", "channel", "feedback_date",
@@ -57,7 +58,7 @@ def executive(
     scored table is not stored yet, pass the unscored one: its last day then
     costs a one-column scan instead of a second scoring run.
     """
-    last = (scored if dates is None else dates).agg(F.max("feedback_date")).scalar()
+    last = last_day(scored if dates is None else dates)
     n_alerts = F.lit(0).cast("long") if alerts is None else alerts.agg(F.count(F.lit(1))).scalar()
 
     # one row per theme: everything that adds up, and the negatives to find the mode

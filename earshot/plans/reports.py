@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from earshot.catalogue import NEGATIVE
 from earshot.functions.numbers import count_where, exact_mean, half_away
+from earshot.sources.facts import from_day, last_day
 
 
 def negative() -> Column:
@@ -39,15 +40,15 @@ def worsening_products(
 
     Both periods come out of one pass with conditional counts. The recent one
     includes its first day, so it spans ``days`` + 1 calendar days. Reads only
-    base columns, so the unscored table will do.
+    base columns, so the unscored table will do; of a table stored by month, only the months concerned.
     """
-    last = scored.agg(F.max("feedback_date")).scalar()
+    last = last_day(scored)
     day = F.col("feedback_date")
     recent = day >= F.date_sub(last, days)
     counts = ("n_recent", "neg_recent", "n_prior", "neg_prior")
     # counted per product before the join, so the dimension meets no fact rows
     split = (
-        scored.where(day >= F.date_sub(last, 2 * days))
+        from_day(scored, F.date_sub(last, 2 * days))
         .groupBy("product_id")
         .agg(
             count_where(recent).alias("n_recent"),
@@ -113,6 +114,13 @@ def repeat_complainers(scored: DataFrame, customers: DataFrame, least: int = 3,
     )
 
 
+#: What the history of one customer shows, for a table stored by customer (``facts.write_by_key``).
+HISTORY_COLUMNS = (
+    "customer_id", "feedback_id", "feedback_date", "channel", "theme_label_primary", "predicted_sentiment",
+    "priority_tier", "priority_score",
+)
+
+
 def customer_360(scored: DataFrame, customer_id: object) -> DataFrame:
     """Everything one customer has sent, latest first; the id is a bound parameter."""
     return scored.sparkSession.sql(
@@ -183,9 +191,8 @@ def repeat_gap_days(scored: DataFrame) -> DataFrame:
 
 def theme_share_recent(daily: DataFrame, days: int = 45) -> DataFrame:
     """The last ``days`` days of the daily theme table."""
-    last = daily.agg(F.max("feedback_date")).scalar()
     return (
-        daily.where(F.col("feedback_date") >= F.date_sub(last, days))
+        from_day(daily, F.date_sub(last_day(daily), days))
         .select("feedback_date", "theme", "theme_label", "theme_share", "theme_count", "total_feedback")
         .orderBy("theme", "feedback_date")
     )

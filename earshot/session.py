@@ -63,6 +63,16 @@ def spread(df: DataFrame, key: str, split_bytes: int = 16 * 1024 * 1024) -> Data
     return df if size > cores * split_bytes else df.repartition(cores, key)
 
 
+def without_summary(model):
+    """A fitted model without its training summary.
+
+    The summary holds the session, which cannot travel with tasks once the session has observed a
+    query (``DataFrame.observe``). Read what is wanted of it before.
+    """
+    model._java_obj.setSummary(SparkSession.active()._jvm.scala.Option.empty())
+    return model
+
+
 def side_by_side(spark: SparkSession, jobs: Sequence[Callable[[], R]], threads: int = 4) -> list[R]:
     """Runs independent Spark jobs at the same time, so that short ones share the cores."""
     wrap = inheritable_thread_target(spark)

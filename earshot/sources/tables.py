@@ -66,7 +66,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: b
     rows = spark.read.schema(texts).csv(path, enforceSchema=False, mode="FAILFAST", **form)
 
     def checked(field: T.StructField) -> Column:
-        said = F.concat(F.lit(f"{field.name} is no {field.dataType.simpleString()}: "), F.col(f"`{field.name}`"))
+        said = F.concat(F.lit(f"CAST_INVALID_INPUT: {field.name} is no {field.dataType.simpleString()}: "), F.col(f"`{field.name}`"))
         return F.when(_misfit(field), F.raise_error(said)).otherwise(_cast(field)).alias(field.name)
 
     return rows.select(*[checked(f) for f in schema.fields])
@@ -115,6 +115,11 @@ def quarantine(spark: SparkSession, path: str, schema: T.StructType, aside: str,
     return rows.good
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def read_feedback(spark: SparkSession, path: str, aside: str | None = None) -> DataFrame:
     """The base feedback table with its list columns as arrays; bad lines fail, or go to ``aside``."""
     raw = read_csv(spark, path, FEEDBACK) if aside is None else quarantine(spark, path, FEEDBACK, aside)

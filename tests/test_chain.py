@@ -116,6 +116,20 @@ def test_pages_and_reports_are_written(spark, finished):
     assert spark.read.csv(f"{out}/reports/sentiment_trend_month", header=True).count() == 9
 
 
+def test_quality_and_metrics_are_written(spark, finished):
+    tables_, out = finished
+    checks = {r.check_name: (r.expected, r.actual, r.ok) for r in spark.read.json(f"{out}/quality_checks").collect()}
+    assert checks == {
+        "rows": (1600, 1600, True), "tiers": (1600, 1600, True),
+        "orphans customer_id": (0, 0, True), "orphans product_id": (0, 0, True),
+    }
+    metrics = spark.read.json(f"{out}/project_metrics").collect()
+    assert len(metrics) == 1 and metrics[0].asDict()["orders"] is None
+    assert (metrics[0].feedback_interactions, metrics[0].customers, metrics[0].products) == (1600, 60, 6)
+    assert sum(metrics[0].priority_distribution.asDict().values()) == 1600
+    assert tables_["history"].where("customer_id = 'C7'").count() == tables_["scored"].where("customer_id = 'C7'").count()
+
+
 def test_csv_round_trip_with_quotes_and_lists(spark, tmp_path):
     kind = "id string, text string, tags array<string>, pairs array<struct<theme:string,sentiment:string>>, d date"
     rows = [("1", 'He said "no", twice', ["a", "b"], [("a", "x")], START), ("2", None, [], [], None)]
