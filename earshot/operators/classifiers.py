@@ -19,7 +19,7 @@ from earshot.functions.numbers import half_even
 from earshot.operators.agreement import classification_report, confusion_matrix
 from earshot.operators.features import TermRules, TextFeatures, fit_features
 from earshot.operators.ranking import stratified_split
-from earshot.session import side_by_side, without_summary
+from earshot.session import scratch_dir, side_by_side, without_summary
 
 #: Adds ``predicted_sentiment`` and ``sentiment_confidence`` to rows of text.
 Scorer = Callable[[DataFrame], DataFrame]
@@ -141,8 +141,12 @@ def fit_svm(data: TrainingSet, c: float = 1.0, max_iter: int = 1000, tol: float
         names = [f"margin_{i}" for i in range(len(models))]
         out = margins(rows).withColumn("_margins", F.array(*names))
         out = out.withColumn("predicted_sentiment", _label_at(argmax(F.col("_margins")), data.labels))
-        out = out.withColumn("_top", F.array_max("_margins"))
-        return margin_confidence(out, "_top").drop("_top", "_margins", *names)
+        out = out.withColumn("_top", F.array_max("_margins")).drop("_margins", *names)
+        # the scale needs the smallest and the largest margin of the table: written once, the text is
+        # not cut into terms a second time for them
+        path = scratch_dir(rows.sparkSession, "svm-margins")
+        out.write.parquet(path)
+        return margin_confidence(rows.sparkSession.read.schema(out.schema).parquet(path), "_top").drop("_top")
 
     return score
 

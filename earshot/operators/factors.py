@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +38,10 @@ class Cells:
     idx: np.ndarray
     val: np.ndarray
     n: int
+    extra: dict[str, np.ndarray] = field(default_factory=dict)
 
     @classmethod
-    def of(cls, batch: pa.RecordBatch) -> Cells:
+    def of(cls, batch: pa.RecordBatch, extra: tuple[str, ...] = ()) -> Cells:
         idx, val = batch.column("idx"), batch.column("val")
         lengths = np.diff(idx.offsets.to_numpy())
         return cls(
@@ -48,6 +49,7 @@ class Cells:
             idx.flatten().to_numpy(zero_copy_only=False).astype(np.int64),
             val.flatten().to_numpy(zero_copy_only=False).astype(np.float64),
             len(lengths),
+            {name: batch.column(name).to_numpy(zero_copy_only=False) for name in extra},
         )
 
     def times(self, small: np.ndarray) -> np.ndarray:
@@ -78,11 +80,25 @@ BLOCK = 32
 Contribution = Callable[[Cells, np.ndarray, np.ndarray], None]
 
 
-def summed(rows: DataFrame, n_terms: int, rank: int, add: Contribution) -> tuple[np.ndarray, np.ndarray]:
+def few_tasks(rows: DataFrame, per_core: int = 2) -> DataFrame:
+    """The rows in at most ``per_core`` tasks for each core of the cluster, without moving any.
+
+    For tasks that each send on a block of sums: what they send then follows the cluster and
+    not the number of files.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.coalesce(max(1, per_core * cores))
+
+
+def summed(
+    rows: DataFrame, n_terms: int, rank: int, add: Contribution, extra: tuple[str, ...] = ()
+) -> tuple[np.ndarray, np.ndarray]:
     """Sums of per-document contributions: (terms x rank) and (rank x rank).
 
-    Each task adds up its own rows first and emits only the terms it saw; Spark
-    merges them by term id, again map-side first. Square rows have negative ids.
+    Each task adds up its own rows first and emits only the terms it saw; there are as many tasks as the
+    cluster has work for, however many partitions the rows have. Spark merges by term id,
+    again map-side first. Square rows have negative ids. ``extra`` columns of
+    numbers come along in ``Cells.extra``.
     """
 
     width = min(rank, BLOCK)
@@ -92,7 +108,7 @@ def summed(rows: DataFrame, n_terms: int, rank: int, add: Contribution) -> tuple
     def partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_term, square = np.zeros((n_terms, rank)), np.zeros((rank, rank))
         for batch in batches:
-            add(Cells.of(batch), by_term, square)
+            add(Cells.of(batch, extra), by_term, square)
         seen = np.flatnonzero(by_term.any(axis=1))
         keys = np.concatenate([seen, -1 - np.arange(rank)])
         values = np.concatenate([by_term[seen], square])
@@ -106,7 +122,7 @@ def summed(rows: DataFrame, n_terms: int, rank: int, add: Contribution) -> tuple
             )
 
     merged = (
-        rows.select("idx", "val")
+        few_tasks(rows.select("idx", "val", *extra))
         .mapInArrow(partials, ", ".join(["key long", "block int", *[f"{c} double" for c in names]]))
         .groupBy("key", "block")
         .agg(*[F.sum(c).alias(c) for c in names])

@@ -4,20 +4,20 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import partial, reduce
+from functools import reduce
 
 import numpy as np
 from pyspark import StorageLevel
-from pyspark.ml.clustering import LDA, KMeans, KMeansModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.clustering import LDA
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from earshot.operators.agreement import cluster_majority
 from earshot.operators.classifiers import argmax
-from earshot.operators.factors import nonnegative_factors, truncated_svd
+from earshot.operators import kmeans
+from earshot.operators.factors import Cells, nonnegative_factors, summed, truncated_svd
 from earshot.operators.features import TermRules, TextFeatures, fit_features, vector_rows
-from earshot.session import side_by_side
 
 #: Terms that count for topics.
 TOPIC_TERMS = TermRules(min_df=5, max_features=5_000, grams=1)
@@ -101,18 +101,29 @@ def lsa_embedding(data: Corpus, rank: int = 100, seed: int = 42) -> DataFrame:
 def by_kmeans(
     embedded: DataFrame, doc: str, embedding: str = "embedding", k: int = 10, restarts: int = 10, seed: int = 42
 ) -> Topics:
-    """KMeans on dense rows, the cheapest of several starts."""
-    points = embedded.select(doc, array_to_vector(F.col(embedding).cast("array<double>")).alias("point"))
-    points = points.persist(StorageLevel.MEMORY_AND_DISK)
+    """K-means on dense rows, the cheapest of several starts, all of which share their passes."""
+    points = embedded.select(doc, embedding).persist(StorageLevel.MEMORY_AND_DISK)
+    found = kmeans.fit(points, embedding, k, tuple(seed + i for i in range(restarts)))
+    points.unpersist()
+    return Topics(found.assign(embedded, doc, embedding), None, found.costs)
 
-    def start(i: int) -> KMeansModel:
-        return KMeans(k=k, featuresCol="point", predictionCol="topic", seed=seed + i).fit(points)
 
-    models = side_by_side(points.sparkSession, [partial(start, i) for i in range(restarts)])
-    best = min(models, key=lambda m: m.summary.trainingCost)
-    points.unpersist()
-    assigned = best.transform(points).select(doc, F.col("topic").cast("int").alias("topic"))
-    return Topics(assigned, None, tuple(m.summary.trainingCost for m in models))
+def _cluster_terms(data: Corpus, topics: Topics) -> DataFrame:
+    """(topic, term, weight): the TF-IDF rows of each cluster, summed where they lie.
+
+    Rows meet their topic by document; from there on only sums per term and topic move.
+    """
+    k = (topics.assigned.agg(F.max("topic")).first()[0] or 0) + 1
+    rows = data.rows.join(topics.assigned.select(data.doc, F.col("topic").cast("long").alias("topic")), data.doc)
+    rows = rows.where("topic IS NOT NULL")
+
+    def add(cells: Cells, by_term: np.ndarray, _square: np.ndarray) -> None:
+        np.add.at(by_term, (cells.idx, cells.extra["topic"][cells.row]), cells.val)
+
+    by_term, _ = summed(rows, len(data.terms), k, add, extra=("topic",))
+    at, topic = np.nonzero(by_term)
+    table = [(int(j), data.terms[i], float(by_term[i, j])) for i, j in zip(at, topic, strict=True)]
+    return data.docs.sparkSession.createDataFrame(table, "topic int, term string, weight double")
 
 
 def top_terms(data: Corpus, topics: Topics, n: int = 8) -> DataFrame:
@@ -131,12 +142,7 @@ def top_terms(data: Corpus, topics: Topics, n: int = 8) -> DataFrame:
         ]
         weighted = spark.createDataFrame(table, "topic int, term string, weight double")
     else:
-        cells = data.rows.join(topics.assigned.select(data.doc, "topic"), data.doc).select(
-            "topic", F.explode(F.arrays_zip("idx", "val")).alias("cell")
-        )
-        summed = cells.groupBy("topic", "cell.idx").agg(F.sum("cell.val").alias("weight"))
-        terms = data.features.table(data.docs.sparkSession).select("idx", "term")
-        weighted = summed.join(F.broadcast(terms), "idx").select("topic", "term", "weight")
+        weighted = _cluster_terms(data, topics)
     order = Window.partitionBy("topic").orderBy(F.col("weight").desc(), "term")
     return weighted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n).select(
         "topic", "rank", "term", "weight"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from earshot.checks import queries as q
 from earshot.checks import tables as t
-from earshot.operators import classifiers, factors, features, topics
+from earshot.operators import classifiers, factors, features, kmeans, topics
 from earshot.operators.agreement import purity
 
 RULES = features.TermRules(min_df=1, max_features=50, grams=1)
@@ -159,6 +159,77 @@ def test_embedding_clusters(corpus, truth):
     assert topics.top_terms(corpus, found, 2).count() <= 8
 
 
+@pytest.fixture(scope="module")
+def blobs(spark):
+    rng = np.random.default_rng(5)
+    data = np.concatenate([rng.normal(c, 0.4, (120, 6)) for c in rng.normal(0, 3, (7, 6))])
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(data)]
+    return data, spark.createDataFrame(rows, "doc_id long, embedding array<double>").repartition(6)
+
+
+def test_restarts_together_equal_single_runs(blobs):
+    data, rows = blobs
+    together = kmeans.fit(rows, "embedding", 7, tuple(range(10)))
+    alone = [kmeans.fit(rows, "embedding", 7, (seed,)) for seed in range(10)]
+    np.testing.assert_allclose(together.costs, [a.costs[0] for a in alone], rtol=1e-9)
+    assert together.passes == max(a.passes for a in alone) < sum(a.passes for a in alone) / 3
+    best = kmeans.distances(data, together.centres)
+    assert best.min(1).sum() == pytest.approx(min(together.costs), rel=1e-9)
+    assigned = {r.doc_id: r.topic for r in together.assign(rows, "doc_id", "embedding").collect()}
+    assert [assigned[i] for i in range(len(data))] == best.argmin(1).tolist()
+    # each centre is the mean of its points, up to the tolerance
+    means = np.array([data[best.argmin(1) == j].mean(0) for j in range(7)])
+    np.testing.assert_allclose(means, together.centres, atol=1e-3)
+
+
+def test_clusters_of_few_and_no_points(spark):
+    rows = spark.createDataFrame([(1, [0.0, 0.0]), (2, [0.0, 0.0]), (3, [4.0, 0.0])], "doc_id long, embedding array<float>")
+    found = kmeans.fit(rows, "embedding", 3, (1, 2))
+    assert min(found.costs) == 0.0
+    topic = {r.doc_id: r.topic for r in found.assign(rows, "doc_id", "embedding").collect()}
+    assert topic[1] == topic[2] != topic[3]
+    assert kmeans.fit(rows.limit(0), "embedding", 3, (1,)).passes == 0
+
+
+def test_sums_sent_do_not_grow_with_partitions(spark, matrix):
+    a, rows = matrix
+    cores = spark.sparkContext.defaultParallelism
+
+    def add(cells, by_term, square):
+        by_term[:, 0] += np.bincount(cells.idx, cells.val, minlength=12)
+
+    sent = []
+    for parts in (8 * cores, 32 * cores):
+        many = rows.repartition(parts)
+        assert factors.few_tasks(many).rdd.getNumPartitions() == 2 * cores
+        sent.append(factors.few_tasks(many.select("idx")).mapInArrow(lambda b: b, "idx array<int>").rdd.getNumPartitions())
+        np.testing.assert_allclose(factors.summed(many, 12, 3, add)[0][:, 0], a.sum(0))
+    assert sent[0] == sent[1]
+    assert factors.few_tasks(rows).rdd.getNumPartitions() == 5  # few partitions stay as they are
+
+
+def test_cluster_terms_shuffle_rows_and_sums_only(spark, corpus):
+    embedded = topics.lsa_embedding(corpus, 20)
+    found = topics.by_kmeans(embedded, "doc_id", k=4, restarts=2)
+    got = {(r.topic, r.term): r.weight for r in topics._cluster_terms(corpus, found).collect()}
+    cells = corpus.rows.join(found.assigned, "doc_id").select("topic", F.explode(F.arrays_zip("idx", "val")).alias("c"))
+    want = {
+        (r.topic, corpus.terms[r.idx]): r.w
+        for r in cells.groupBy("topic", "c.idx").agg(F.sum("c.val").alias("w")).collect()
+    }
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_svm_confidence_reads_the_text_once(reviews):
+    data = classifiers.training_set(reviews, "id", "text", "truth", features.TermRules(min_df=2, max_features=200))
+    scored = classifiers.fit_svm(data)(reviews)
+    data.release()
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "LocalTableScan" not in plan and "ExistingRDD" not in plan and "Python" not in plan  # margins from files alone
+    assert scored.columns == ["id", "text", "truth", "predicted_sentiment", "sentiment_confidence"]
+    assert scored.where("sentiment_confidence < 0.5 OR sentiment_confidence > 1").count() == 0
+
+
 def test_topic_contest(corpus, truth):
     contest = topics.compare(corpus, truth, 4, 20)
     assert contest.purity[contest.winner] == max(contest.purity.values())
