@@ -18,6 +18,12 @@ component on its lists; and in the end all documents of different components tha
 on a list are compared. All comparisons are exact, and no link between components can be
 lost: a pair in one component needs none, any other pair is compared if it shares a key.
 
+Before two sets are brought together their parity bitmaps are: a bit per shingle is flipped,
+so the bits in which two bitmaps differ are at most the shingles in which the sets do.
+A bitmap has two to four bits for each shingle of a document, so this is a small part of the
+traffic of whole sets, and it rules out almost all pairs that are not near. It never rules
+out one that is.
+
 The order comes from a table of ``2 ** BITS`` counters (a fixed size) of hashed shingle
 occurrences over all documents; collisions only change the order, never the result.
 """
@@ -44,8 +50,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BITS, BLOCK = 20, 1 << 12
 _SETS = pa.schema([
     ("doc_id", pa.int64()), ("n", pa.int64()), ("digest_a", pa.int64()), ("digest_b", pa.int64()),
+    *[(f"s{i}", pa.int64()) for i in range(4)], ("bitmap", pa.binary()),
     ("block", pa.int32()), ("part", pa.int32()), ("counts", pa.binary()),
 ])
+_SIGNS = [f"s{i}" for i in range(4)]
 _KEYS = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int32()), ("rest", pa.int32())])
 
 
@@ -89,8 +97,34 @@ def summed(values: np.ndarray, borders: np.ndarray) -> np.ndarray:
     return total[borders[1:]] - total[borders[:-1]]
 
 
+def parities(sets: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, borders of bytes, signs): the parity bitmap of each set, and its fold to 256 bits.
+
+    A bitmap has the least power of two of bits that is twice the set's size or more, 256 at least.
+    """
+    n = np.diff(borders)
+    bits = np.left_shift(1, np.ceil(np.log2(np.maximum(2 * n, 256))).astype(np.int64))
+    first = np.concatenate([[0], np.cumsum(bits)])
+    places = mixed(sets ^ np.uint64(0xC2B2AE3D27D4EB4F))
+    at = np.repeat(first[:-1], n) + (places & np.repeat(bits - 1, n).astype(np.uint64)).astype(np.int64)
+    flat = np.packbits((np.bincount(at, minlength=first[-1]) & 1).astype(np.uint8), bitorder="little")
+    row = np.repeat(np.arange(len(n)), n)
+    low = np.bincount(row * 256 + (places & np.uint64(255)).astype(np.int64), minlength=256 * len(n)) & 1
+    signs = np.packbits(low.astype(np.uint8), bitorder="little").view(np.int64).reshape(len(n), 4)
+    return flat, first // 8, signs
+
+
+def least_difference(one: bytes, two: bytes) -> int:
+    """Shingles in which two sets differ at least, from their parity bitmaps."""
+    a, b = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
+    if len(a) < len(b):
+        a, b = b, a
+    folded = np.bitwise_xor.reduce(a.reshape(-1, len(b)), axis=0) if len(a) > len(b) else a
+    return int(np.bitwise_count(folded ^ b).sum())
+
+
 def digests(docs: DataFrame, words: int) -> DataFrame:
-    """Per document its set size and digests; per task blocks of shingle occurrence counters."""
+    """Per document its set size, digests and bitmap; per task blocks of shingle occurrence counters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(1 << BITS, np.int64)
@@ -98,18 +132,26 @@ def digests(docs: DataFrame, words: int) -> DataFrame:
             sets, borders = shingle_sets(texts, words)
             table += np.bincount(sets >> np.uint64(64 - BITS), minlength=1 << BITS)
             a, b = summed(mixed(sets), borders), summed(mixed(sets ^ np.uint64(0x5851F42D4C957F2D)), borders)
+            flat, ends, signs = parities(sets, borders)
+            bitmaps = pa.Array.from_buffers(
+                pa.binary(), len(ids), [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(flat.tobytes())]
+            )
             none = pa.nulls(len(ids))
             columns = [pa.array(ids, pa.int64()), pa.array(np.diff(borders)), a.view(np.int64), b.view(np.int64)]
+            columns += [*np.ascontiguousarray(signs.T), bitmaps]
             columns += [none.cast(pa.int32()), none.cast(pa.int32()), none.cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_SETS)
         if table.any():
             part, blocks = TaskContext.get().partitionId() % 64, len(table) // BLOCK
             none = pa.nulls(blocks, pa.int64())
             counts = [np.minimum(c, 65535).astype(np.uint16).tobytes() for c in table.reshape(blocks, BLOCK)]
-            columns = [none] * 4 + [pa.array(range(blocks), pa.int32()), pa.array([part] * blocks, pa.int32())]
+            columns = [none] * 8 + [pa.nulls(blocks, pa.binary())] + [pa.array(range(blocks), pa.int32()), pa.array([part] * blocks, pa.int32())]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.binary())], schema=_SETS)
 
-    schema = "doc_id long, n long, digest_a long, digest_b long, block int, part int, counts binary"
+    schema = (
+        "doc_id long, n long, digest_a long, digest_b long, s0 long, s1 long, s2 long, s3 long, bitmap binary, "
+        "block int, part int, counts binary"
+    )
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
@@ -193,26 +235,56 @@ def join_keys(docs: DataFrame, words: int, percent: int, table: np.ndarray, boun
     return docs.select("doc_id", "text").mapInArrow(run, "key long, doc_id long, n int, rest int")
 
 
-def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """(doc_id, shingles) of the documents in ``ids``."""
+#: Shingles of sets that are broadcast; more are shuffled.
+BROADCAST_SHINGLES = 4_000_000
+
+
+def sets_of(rows: DataFrame, words: int, out: str) -> DataFrame:
+    """(ids of ``rows``, out): the shingles of the texts."""
+    keys = [c for c in rows.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, texts in text_batches(batches, 1 << 20):
+        for ids, texts in text_batches(batches, 1 << 20):
             sets, borders = shingle_sets(texts, words)
             lists = pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(sets.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), lists], names=["doc_id", "shingles"])
+            columns = [pa.array([i[key] for i in ids], pa.int64()) for key in keys]
+            yield pa.RecordBatch.from_arrays([*columns, lists], names=[*keys, out])
+
+    schema = ", ".join(f"{key} long" for key in keys)
+    return rows.select(F.struct(*keys).alias("ids"), "text").mapInArrow(run, f"{schema}, {out} array<long>")
+
+
+def possible(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose bitmaps do not rule out that they are similar."""
 
-    few = docs.select("doc_id", "text").join(sized_broadcast(ids), "doc_id", "left_semi")
-    return few.mapInArrow(run, "doc_id long, shingles array<long>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            sides = zip(batch.column("bitmap_a"), batch.column("bitmap_b"), strict=True)
+            apart = np.array([least_difference(x.as_py(), y.as_py()) for x, y in sides], np.int64)
+            near = pa.array((100 + percent) * apart <= (100 - percent) * total)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(near)
+
+    for side in ("a", "b"):
+        own = bitmaps.select(F.col("doc_id").alias(side), F.col("n").alias(f"n_{side}"), F.col("bitmap").alias(f"bitmap_{side}"))
+        pairs = pairs.join(own, side)
+    return pairs.mapInArrow(run, "a long, b long").distinct()
 
 
-def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar, by exact intersection."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = stored(sets_of(docs, stored(ids, "pair-ids"), words), "pair-sets")
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b"))
-    both = pairs.join(left, "a").join(right, "b")
+def verified(docs: DataFrame, bitmaps: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar, by exact intersection.
+
+    The texts of ``a`` become sets where they are read and travel to ``b`` at most once for each pair that is left; few
+    sets of ``b`` are sent to the texts instead.
+    """
+    pairs = stored(possible(pairs, bitmaps, percent), "near-pairs")
+    ends = stored(pairs.select("b").distinct(), "near-ends")
+    texts = docs.select("doc_id", "text")
+    left = texts.join(sized_broadcast(pairs), texts["doc_id"] == pairs["a"]).select("a", "b", "text")
+    right = texts.join(sized_broadcast(ends), texts["doc_id"] == ends["b"]).select("b", "text")
+    right = stored(sets_of(right, words, "of_b"), "near-sets")
+    right = sized_broadcast(right, F.sum(F.size("of_b") + 8), BROADCAST_SHINGLES)
+    both = sets_of(left, words, "of_a").join(right, "b")
     common = F.size(F.array_intersect("of_a", "of_b"))
     union = F.size("of_a") + F.size("of_b") - common
     return both.where(100 * common >= percent * union).select("a", "b").distinct()
@@ -240,14 +312,16 @@ def similar_groups(
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     mixed_rows = stored(digests(docs, words), "digests")
-    sizes = mixed_rows.where(F.col("block").isNull()).select("doc_id", "n", "digest_a", "digest_b")
+    sizes = mixed_rows.where(F.col("block").isNull()).select("doc_id", "n", "digest_a", "digest_b", *_SIGNS, "bitmap")
+    bitmaps = sizes.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     table = occurrence_table(mixed_rows.where(F.col("block").isNotNull()).select("block", "part", "counts"))
 
     # equal sets: one representative each
     key = ["n", "digest_a", "digest_b"]
     real = sizes.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     classes = real.groupBy(*key).agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")).where("rows > 1")
-    copies = real.join(classes.drop("rows"), key).where("doc_id <> first").select("doc_id", "first").distinct()
+    classes = sized_broadcast(stored(classes.drop("rows"), "classes"))
+    copies = real.join(classes, key).where("doc_id <> first").select("doc_id", "first").distinct()
     copies = stored(copies, "copies")
     # an id that also stands for a set of its own stays in the search
     alone = real.join(classes.select(*key, F.col("first").alias("doc_id")), [*key, "doc_id"], "left_semi")
@@ -258,19 +332,20 @@ def similar_groups(
 
     boundary = light_boundary(table, percent)
     rows = join_keys(chosen, words, percent, table, boundary)
-    head = F.min(F.struct("n", "doc_id")).alias("head")
-    lists = rows.groupBy("key").agg(head, F.max("rest").alias("most"), F.count("*").alias("length")).where("length > 1")
-    lists = lists.select("key", "most", F.col("head.n").alias("head_n"), F.col("head.doc_id").alias("head_id"))
+    lists = rows.groupBy("key").agg(F.min("n").alias("head_n"), F.max("rest").alias("most"), F.count("*").alias("length"))
+    lists = stored(lists.where("length > 1").drop("length"), "lists")
     useful = fits("n", "head_n", F.least("rest", "most"), percent)  # else not even the smallest set can be near
-    index = stored(rows.join(stored(lists, "lists"), "key").where(useful), "index")
+    index = stored(rows.join(lists, "key").where(useful).select("key", "doc_id", "n", "rest"), "index")
 
-    # first against the head of each list
-    near = index.where("doc_id <> head_id").where(fits("n", "head_n", F.least("n", "head_n"), percent))
+    # first against the head of each list, its smallest set
+    heads = index.groupBy("key").agg(F.min(F.struct("n", "doc_id")).alias("head"), F.count("*").alias("length"))
+    heads = heads.where("length > 1").select("key", F.col("head.n").alias("head_n"), F.col("head.doc_id").alias("head_id"))
+    near = index.join(stored(heads, "heads"), "key").where("doc_id <> head_id")
+    near = near.where(fits("n", "head_n", F.least("n", "head_n"), percent))
     pairs = favoured(near.select(F.col("doc_id").alias("a"), F.col("head_id").alias("b")), 1)
     same = copies.select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
-    links = stored(same.unionByName(verified(chosen, stored(pairs, "head-pairs"), words, percent)), "links")
+    links = stored(same.unionByName(verified(chosen, bitmaps, stored(pairs, "head-pairs"), words, percent)), "links")
     groups = stored(components(links), "groups")
-    index = index.select("key", "doc_id", "n", "rest")
 
     # then against a few of the largest group on each list, while that joins groups
     for turn in range(rounds):
@@ -278,7 +353,7 @@ def similar_groups(
         met = to_main(index, turn, percent)
         pairs = stored(favoured(met, few), "main-pairs")
         tried = pairs.select("a").distinct().count()
-        new = stored(verified(chosen, pairs, words, percent), "links")
+        new = stored(verified(chosen, bitmaps, pairs, words, percent), "links")
         joined = new.count()
         if joined:
             links = links.unionByName(new)
@@ -288,7 +363,7 @@ def similar_groups(
 
     # then whatever still meets on a list from different groups
     index = open_lists(index.select("key", "doc_id", "n", "rest"), groups)
-    links = links.unionByName(verified(chosen, crossings(index, percent), words, percent))
+    links = links.unionByName(verified(chosen, bitmaps, crossings(index, bitmaps, percent), words, percent))
     groups = components(links).select(F.col("id").alias("doc_id"), "component")
     found = sizes.select("doc_id", F.col("n").alias("n_shingles")).join(groups, "doc_id", "left")
     return found.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
@@ -338,21 +413,25 @@ def to_main(index: DataFrame, turn: int, percent: int) -> DataFrame:
     return met.select(F.col("doc_id").alias("a"), "b")
 
 
-def crossings(index: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different groups that meet on a list and are not ruled out by sizes and places.
+def crossings(index: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different groups that meet on a list and are not ruled out by sizes, places and signs.
 
     On each list the commonest group is set apart: pairs are formed only between the other
     documents, and between those and the commonest group, so a list of one large group
     and a few strangers costs its length times the few.
     """
+    signs = bitmaps.select("doc_id", "n", *_SIGNS).distinct()
+    index = stored(index.join(signs, ["doc_id", "n"]), "signed")
     few = index.where("component <> main").select(
         "key", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("rest").alias("rest_a"),
-        F.col("component").alias("group_a"),
+        F.col("component").alias("group_a"), *[F.col(c).alias(f"{c}_a") for c in _SIGNS],
     )
-    everyone = index.select("key", F.col("doc_id").alias("b"), "n", "rest", "component", "main")
+    everyone = index.select("key", F.col("doc_id").alias("b"), "n", "rest", "component", "main", *_SIGNS)
+    apart = sum(F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_a"))) for c in _SIGNS)
     met = few.join(everyone, "key").where(
         (F.col("group_a") != F.col("component"))
         & ((F.col("component") == F.col("main")) | (F.col("a") < F.col("b")))
         & fits("n_a", "n", F.least("rest_a", "rest", "n_a", "n"), percent)
+        & ((100 + percent) * apart <= (100 - percent) * (F.col("n_a") + F.col("n")))
     )
     return stored(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "crossings")

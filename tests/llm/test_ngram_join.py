@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from earshot.llm import ngram_join
@@ -91,3 +92,19 @@ def test_chains_of_links_are_one_component(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 200)] + [(500, 400), (400, 450)], "a long, b long")
     got = {r["id"]: r["component"] for r in components(links).collect()}
     assert got == {**{i: 1 for i in range(1, 201)}, **{i: 400 for i in (400, 450, 500)}}
+
+
+def test_bitmaps_never_rule_out_a_near_pair():
+    rng = np.random.default_rng(3)
+    for n in (1, 5, 120, 130, 1000, 5000):
+        base = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        for edits in (0, 1, n // 10, n):
+            other = np.concatenate([base[edits:], rng.integers(0, 1 << 63, edits // 2 + 1).astype(np.uint64)])
+            both = np.concatenate([np.sort(base), np.sort(other)])
+            flat, ends, signs = ngram_join.parities(both, np.array([0, len(base), len(both)]))
+            one, two = flat[ends[0]: ends[1]].tobytes(), flat[ends[1]: ends[2]].tobytes()
+            apart = len(set(base.tolist()) ^ set(other.tolist()))
+            least = ngram_join.least_difference(one, two)
+            assert least == ngram_join.least_difference(two, one) <= apart
+            assert np.bitwise_count((signs[0] ^ signs[1]).view(np.uint64)).sum() <= least
+            assert n < 1000 or edits < n or least > 0.3 * apart  # and it does rule out strangers
