@@ -57,15 +57,16 @@ def boilerplate(docs: DataFrame, sites: int, doc_id: str, text: str, site: str)
 
 
 def dedup_lines(
-    docs: DataFrame, sites: int = 8, doc_id: str = "doc_id", text: str = "text", site: str = "source"
+    docs: DataFrame, sites: int = 8, doc_id: str = "doc_id", text: str = "text", site: str = "source",
+    lines_out: str = "n_lines", removed_out: str = "n_removed",
 ) -> DataFrame:
-    """``docs`` with cross-site boilerplate lines removed, plus ``n_lines`` and ``n_removed``.
+    """``docs`` with cross-site boilerplate lines removed, plus ``lines_out`` and ``removed_out``.
 
     A line is a text between line feeds; blanks around it do not count, case does.
     Blank lines are never boilerplate. Null and empty texts are returned as they are; a
     null site is no site; occurrences in one document count once; rows that share an id
     (null included, last in order) keep or lose a line together; all columns of ``docs``
-    are kept, and ``n_lines`` and ``n_removed`` replace columns of those names.
+    are kept, whatever their names, and the two counts replace columns of their names.
     """
     found = stored(boilerplate(docs, sites, doc_id, text, site), "boilerplate")
     keep = found.select("line", F.col("doc_id").alias("keep_id"), F.col("place").alias("keep_place"))
@@ -74,20 +75,22 @@ def dedup_lines(
     hits = hits.select("doc_id", "line", stays.alias("stays"))
     drop = hits.groupBy("doc_id").agg(F.collect_set(F.struct("line", "stays")).alias("drop"))
     drop = stored(drop.withColumnRenamed("doc_id", "drop_id"), "line-drops")
-
-    own = F.col(doc_id).cast("long")
-    plain = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     drop = sized_broadcast(drop, F.sum(F.size("drop")))
-    joined = docs.select(*plain).join(drop, own.eqNullSafe(F.col("drop_id")), "left")
-    lines = F.split(F.col(text), "\n", -1)
+
+    # the caller's columns go by number until the end, so that none can meet a name used here
+    own = [f"_in{i}" for i in range(len(docs.columns))]
+    at = dict(zip(docs.columns, own, strict=True))
+    joined = docs.toDF(*own).join(drop, F.col(at[doc_id]).cast("long").eqNullSafe(F.col("drop_id")), "left")
+    lines = F.split(F.col(at[text]), "\n", -1)
     stay = F.filter(
         lines,
         lambda line, i: ~F.exists("drop", lambda d: d["line"].eqNullSafe(line_hash(line)) & (d["stays"] != i)),
     )
     changed = F.col("drop").isNotNull()
-    joined = joined.withColumn("_stay", F.when(changed, stay))
+    joined = joined.withColumn("stay", F.when(changed, stay))
+    cleaned = F.when(changed, F.array_join("stay", "\n")).otherwise(F.col(at[text]))
     return joined.select(
-        *[F.when(changed, F.array_join("_stay", "\n")).otherwise(F.col(c)).alias(c) if c == text else F.col(c) for c in plain],
-        F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-        F.when(changed, F.size(lines) - F.size("_stay")).otherwise(0).cast("long").alias("n_removed"),
+        *[(cleaned if c == text else F.col(at[c])).alias(c) for c in docs.columns if c not in (lines_out, removed_out)],
+        F.when(F.col(at[text]).isNull(), 0).otherwise(F.size(lines)).cast("long").alias(lines_out),
+        F.when(changed, F.size(lines) - F.size("stay")).otherwise(0).cast("long").alias(removed_out),
     )

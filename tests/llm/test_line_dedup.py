@@ -51,3 +51,27 @@ def test_keeps_all_columns_and_uses_no_python(spark):
     df = dedup_lines(rows(spark, [(1, "a", "b", "c")]))
     assert df.columns == ["doc_id", "text", "source", "n_lines", "n_removed"]
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_names_used_inside_do_not_clash(spark):
+    names = ("drop", "drop_id", "stay", "_stay", "line", "keep_id", "place", "site", "first", "n_removed", "_in0")
+    data = [(i, f"own {i}\nshared", f"s{i}", *names) for i in range(1, 5)]
+    schema = "doc_id long, text string, source string, " + ", ".join(f"`{n}` string" for n in names)
+    df = spark.createDataFrame(data, schema)
+    kept = dedup_lines(df, sites=3, removed_out="gone")
+    assert kept.columns == [*df.columns, "n_lines", "gone"]
+    for r in kept.collect():
+        assert tuple(r[n] for n in names) == names
+        assert (r.text, r.n_lines, r.gone) == ((f"own {r.doc_id}\nshared", 2, 0) if r.doc_id == 1 else (f"own {r.doc_id}", 2, 1))
+
+
+def test_the_pipeline_stage_keeps_the_callers_counts(spark, sf_dir):
+    from corpus_pipeline import drop_boilerplate
+
+    data = [(i, f"own {i}\nshared", f"s{i}", 100 + i, "mine", 7) for i in range(1, 12)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string, n_lines long, n_removed string, n_chars long")
+    got = drop_boilerplate(spark, df, sf_dir)
+    assert got.columns == df.columns
+    rows = {r.doc_id: r for r in got.collect()}
+    assert all(r.n_lines == 100 + i and r.n_removed == "mine" for i, r in rows.items())
+    assert rows[1].n_chars == 7 and rows[5].n_chars == len("own 5")
