@@ -23,6 +23,14 @@ from earshot.llm.queries import LEAST_QUALITY, packed, quality_model
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that score under the least quality."""
     model = quality_model(docs, table(spark, sf_dir, "labels"))
@@ -31,8 +39,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes cross-site boilerplate lines; drops documents of which nothing else is left."""
-    cleaned = line_dedup.dedup_lines(docs)
-    changed = F.col("n_removed") > 0
+    n_lines, n_removed = unused(docs, "n_lines"), unused(docs, "n_removed")
+    cleaned = line_dedup.dedup_lines(docs, lines_out=n_lines, removed_out=n_removed)
+    changed = F.col(n_removed) > 0
     cleaned = cleaned.where(~changed | (F.trim(F.translate("text", "\n\r\t", "   ")) != ""))
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
