@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 import sys
 
 import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +62,14 @@ class Shipped:
         return self._value
 
 
+def give_back() -> None:
+    """Returns memory that a task no longer uses to the system; Python workers live on for later tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit words (the finaliser of splitmix64)."""
     z = values.astype(np.uint64, copy=True)

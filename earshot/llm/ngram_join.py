@@ -40,12 +40,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from earshot.llm.common import mixed, sized_broadcast, stored
+from earshot.llm.common import give_back, mixed, sized_broadcast, stored
 from earshot.llm.components import components
 from earshot.llm.words import text_batches, word_numbers
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Characters of text that are worked on at once.
+RUN = 1 << 18
 #: log2 of the number of occurrence counters, and how many travel in one row.
 BITS, BLOCK = 20, 1 << 12
 _SETS = pa.schema([
@@ -128,7 +130,7 @@ def digests(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(1 << BITS, np.int64)
-        for ids, texts in text_batches(batches, 1 << 20):
+        for ids, texts in text_batches(batches, RUN):
             sets, borders = shingle_sets(texts, words)
             table += np.bincount(sets >> np.uint64(64 - BITS), minlength=1 << BITS)
             a, b = summed(mixed(sets), borders), summed(mixed(sets ^ np.uint64(0x5851F42D4C957F2D)), borders)
@@ -147,6 +149,7 @@ def digests(docs: DataFrame, words: int) -> DataFrame:
             counts = [np.minimum(c, 65535).astype(np.uint16).tobytes() for c in table.reshape(blocks, BLOCK)]
             columns = [none] * 8 + [pa.nulls(blocks, pa.binary())] + [pa.array(range(blocks), pa.int32()), pa.array([part] * blocks, pa.int32())]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.binary())], schema=_SETS)
+        give_back()
 
     schema = (
         "doc_id long, n long, digest_a long, digest_b long, s0 long, s1 long, s2 long, s3 long, bitmap binary, "
@@ -208,7 +211,7 @@ def join_keys(docs: DataFrame, words: int, percent: int, table: np.ndarray, boun
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = shared.value
-        for ids, texts in text_batches(batches, 1 << 20):
+        for ids, texts in text_batches(batches, RUN):
             sets, borders = shingle_sets(texts, words)
             n = np.diff(borders)
             row = np.repeat(np.arange(len(texts)), n)
@@ -231,12 +234,13 @@ def join_keys(docs: DataFrame, words: int, percent: int, table: np.ndarray, boun
                 pa.array(np.concatenate(keys).view(np.int64)), pa.array(ids, pa.int64()).take(pa.array(at)),
                 pa.array(n[at].astype(np.int32)), pa.array(np.concatenate(rest).astype(np.int32)),
             ], schema=_KEYS)
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, "key long, doc_id long, n int, rest int")
 
 
 #: Shingles of sets that are broadcast; more are shuffled.
-BROADCAST_SHINGLES = 4_000_000
+BROADCAST_SHINGLES = 1_000_000
 
 
 def sets_of(rows: DataFrame, words: int, out: str) -> DataFrame:
@@ -244,11 +248,12 @@ def sets_of(rows: DataFrame, words: int, out: str) -> DataFrame:
     keys = [c for c in rows.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in text_batches(batches, 1 << 20):
+        for ids, texts in text_batches(batches, RUN):
             sets, borders = shingle_sets(texts, words)
             lists = pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(sets.view(np.int64)))
             columns = [pa.array([i[key] for i in ids], pa.int64()) for key in keys]
             yield pa.RecordBatch.from_arrays([*columns, lists], names=[*keys, out])
+        give_back()
 
     schema = ", ".join(f"{key} long" for key in keys)
     return rows.select(F.struct(*keys).alias("ids"), "text").mapInArrow(run, f"{schema}, {out} array<long>")
