@@ -537,6 +537,34 @@ ORACLES.update(
                  FROM (SELECT doc_id, aspect, min(ord) AS o, arg_max(sentiment, ord) AS sentiment
                        FROM word_hits WHERE aspect IS NOT NULL GROUP BY ALL) GROUP BY 1) USING (doc_id)"""),
         "stream_emerging": ORACLES["emerging_daily"],
+        "explain_cards_stored": ORACLES["explain_cards"],
+        "dominant_truth": sql("""
+    SELECT doc_id, CASE truth WHEN 'negative' THEN 'insult' WHEN 'positive' THEN 'praise' ELSE 'rights' END AS dominant_true_theme FROM doc_truth"""),
+        "lexicon_file": """
+    SELECT CAST(row_number() OVER (ORDER BY phrase) AS INTEGER) AS ord, phrase, theme,
+           CASE WHEN theme = 'PROMO' THEN 'positive' ELSE 'negative' END AS sentiment
+    FROM (SELECT DISTINCT lower(p_brand || ' ' || p_type) AS phrase, p_type AS theme FROM part)""",
+        "cluster_top_terms": sql(f"""
+    SELECT topic, CAST(rank AS INTEGER) AS rank, term, {_six('weight')} FROM (
+      SELECT topic, term, weight, row_number() OVER (PARTITION BY topic ORDER BY weight DESC, term) AS rank
+      FROM (SELECT CASE lang WHEN 'de' THEN 0 WHEN 'en' THEN 1 WHEN 'es' THEN 2 WHEN 'fr' THEN 3 END AS topic, term, sum(weight) AS weight
+            FROM weighted JOIN (SELECT doc_id, lang FROM documents) USING (doc_id) GROUP BY 1, 2))
+    WHERE rank <= 5 AND topic IS NOT NULL"""),
+        "kmeans_given_start": """
+    WITH cells AS MATERIALIZED (
+      SELECT vec_id, unnest(generate_series(1, len(embedding))) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings),
+    c0 AS (SELECT topic, i, x FROM cells JOIN (
+      SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS topic FROM embeddings ORDER BY vec_id LIMIT 10) USING (vec_id)),
+    n0 AS MATERIALIZED (SELECT vec_id, arg_min(topic, (d, topic)) AS topic FROM (
+      SELECT vec_id, topic, sum((a.x - c.x) * (a.x - c.x)) AS d FROM cells a JOIN c0 c USING (i) GROUP BY ALL) GROUP BY 1),
+    c1 AS (SELECT c.topic, c.i, coalesce(m.x, c.x) AS x FROM c0 c LEFT JOIN (
+      SELECT topic, i, avg(x) AS x FROM cells JOIN n0 USING (vec_id) GROUP BY ALL) m ON m.topic = c.topic AND m.i = c.i),
+    n1 AS MATERIALIZED (SELECT vec_id, arg_min(topic, (d, topic)) AS topic FROM (
+      SELECT vec_id, topic, sum((a.x - c.x) * (a.x - c.x)) AS d FROM cells a JOIN c1 c USING (i) GROUP BY ALL) GROUP BY 1),
+    c2 AS (SELECT c.topic, c.i, coalesce(m.x, c.x) AS x FROM c1 c LEFT JOIN (
+      SELECT topic, i, avg(x) AS x FROM cells JOIN n1 USING (vec_id) GROUP BY ALL) m ON m.topic = c.topic AND m.i = c.i)
+    SELECT vec_id, CAST(arg_min(topic, (d, topic)) AS INTEGER) AS topic FROM (
+      SELECT vec_id, topic, sum((a.x - c.x) * (a.x - c.x)) AS d FROM cells a JOIN c2 c USING (i) GROUP BY ALL) GROUP BY 1""",
         "worsening_products_stored": ORACLES["worsening_products"],
         "theme_share_45d_stored": ORACLES["theme_share_45d"],
         "mart_executive_stored": ORACLES["mart_executive"],

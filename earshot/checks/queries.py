@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +15,7 @@ from earshot.checks import tables as t
 from earshot.functions import numbers, text as tx
 from earshot.functions.labels import label_or_code, lookup, majority_label
 from earshot.operators import (
-    agreement, classifiers, features, history, lexicon, priority, quality, ranking, topics, trends, valence,
+    agreement, classifiers, features, history, kmeans, lexicon, priority, quality, ranking, topics, trends, valence,
 )
 from earshot.operators import phrases as phrases_of
 from earshot.plans import marts, reports
@@ -763,6 +764,55 @@ def topics_kmeans(spark, sf_dir):
     return topics.by_kmeans(rows, "vec_id", k=10).assigned
 
 
+@query
+def kmeans_given_start(spark, sf_dir):
+    """Two rounds from the ten smallest ids, then the nearest centre of every vector."""
+    rows = t.read(spark, sf_dir, "embeddings")
+    first = rows.orderBy("vec_id").limit(10).select("embedding").collect()
+    start = np.array([r[0] for r in first], float)
+    found = kmeans.fit(rows, "embedding", len(first), (0,), max_iter=3, tol=0.0, start=start)
+    return found.assign(rows, "vec_id", "embedding")
+
+
+@query
+def cluster_top_terms(spark, sf_dir):
+    """Top terms of given clusters, the languages of the documents."""
+    data = _corpus(spark, sf_dir)
+    number = {"de": 0, "en": 1, "es": 2, "fr": 3}
+    given = t.documents(spark, sf_dir).select("doc_id", lookup(F.col("lang"), number).alias("topic"))
+    found = topics.top_terms(data, topics.Topics(given, None), n=5)
+    return found.select("topic", "rank", "term", *six("weight"))
+
+
+@query
+def dominant_truth(spark, sf_dir):
+    rows = t.labelled_documents(spark, sf_dir)
+    return rows.select("doc_id", F.get("true_aspect_sentiments", 0)["theme"].alias("dominant_true_theme"))
+
+
+@query
+def explain_cards_stored(spark, sf_dir):
+    """The cards as a JSON report, written and read back."""
+    from earshot.sources.tables import write_json
+
+    cards, path = explain_cards(spark, sf_dir), scratch_dir(spark, "cards")
+    write_json(cards, path)
+    return spark.read.schema(cards.schema).json(path)
+
+
+@query
+def lexicon_file(spark, sf_dir):
+    """A lexicon file with a phrase for each brand and type, read back in the order of the file."""
+    from earshot.sources.tables import lexicon_frame, read_lexicon
+
+    phrase = F.lower(F.concat_ws(" ", "p_brand", "p_type"))
+    meaning = F.concat_ws(":", "p_type", F.when(F.col("p_type") == "PROMO", "positive").otherwise("negative"))
+    pairs = t.read(spark, sf_dir, "part").select(F.struct(phrase.alias("k"), meaning.alias("v")).alias("e")).distinct()
+    path = scratch_dir(spark, "lexicon-file")  # one small object, as written by hand
+    pairs.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list("e")))).alias("value")).write.text(path)
+    return lexicon_frame(spark, read_lexicon(spark, path))
+
+
 # --- streaming ------------------------------------------------------------------------
 
 

@@ -69,20 +69,23 @@ def spread_centres(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
 
 def fit(
     points: DataFrame, vector: str, k: int, seeds: tuple[int, ...], max_iter: int = 100, tol: float = 1e-4,
-    sample: int = 4096,
+    sample: int = 4096, start: np.ndarray | None = None,
 ) -> Clusters:
     """Lloyd's rounds for all ``seeds`` together, until no centre moves by more than ``tol``.
 
     Starting centres are drawn from the ``sample`` points of smallest hash, a bound of the start only:
     every round and every cost covers all points. A centre without points stays where it is.
-    A start whose centres have come to rest takes no part in later passes.
+    A start whose centres have come to rest takes no part in later passes. ``start`` gives the centres (k x
+    dimensions) to begin with instead.
     """
     vectors = points.select(F.col(vector).cast("array<double>").alias("v"))
-    drawn = vectors.orderBy(F.xxhash64("v"), "v").limit(sample).collect()
-    if not drawn:
-        return Clusters(np.zeros((k, 1)), tuple(0.0 for _ in seeds), 0)
-    start = np.array([r[0] for r in drawn])
-    centres = np.stack([spread_centres(start, k, seed) for seed in seeds])
+    if start is not None:
+        centres = np.stack([np.asarray(start, float) for _ in seeds])
+    else:
+        drawn = vectors.orderBy(F.xxhash64("v"), "v").limit(sample).collect()
+        if not drawn:
+            return Clusters(np.zeros((k, 1)), tuple(0.0 for _ in seeds), 0)
+        centres = np.stack([spread_centres(np.array([r[0] for r in drawn]), k, seed) for seed in seeds])
     costs, moving, passes = np.full(len(seeds), np.inf), list(range(len(seeds))), 0
     width = centres.shape[2]
     while moving:

@@ -13,7 +13,7 @@ from earshot.plans import reports
 SF = "/root/testdata/sf0.001"
 FITTED = {
     "tfidf_features", "sentiment_logreg", "sentiment_svm", "sentiment_champion", "topics_nmf", "topics_lda",
-    "lsa_embedding", "topic_top_terms", "topics_champion", "topics_kmeans", "stream_theme_counts",
+    "lsa_embedding", "topic_top_terms", "topics_champion", "topics_kmeans", "stream_theme_counts", "kmeans_given_start",
 }
 
 
