@@ -41,10 +41,13 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, not yet existing folder for this run.
 
     On a cluster it lies under ``spark.checkpoint.dir``, which all executors
-    share. Only where that is unset (laptop, tests) is it a local temp folder.
+    share; without that setting nothing can be shared there, and this fails. On a single
+    machine (laptop, tests) it is a local temp folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="earshot-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
