@@ -10,7 +10,8 @@ probability that one MinHash value agrees. A band is one value, and there are as
 as make a window that holds the notice collide with probability ``certainty``.
 Windows that collide are compared shingle by shingle.
 
-Only documents with one of a few telling words are cut into windows: the words are
+Texts are cut into windows a run of words at a time, so a task's memory follows the run and the
+text itself. Only documents with one of a few telling words are cut into windows: the words are
 chosen so that every shingle of every notice has one, hence no match is lost. Only
 DataFrame operations; the notices, an argument, are the only side shipped to tasks.
 """
@@ -108,13 +109,29 @@ def grams_of(words: Column) -> Column:
     return F.when(F.size(words) >= SHINGLE, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
 
 
-def windows_of(words: Column, size: int) -> Column:
-    """(size, start, run) of the overlapping windows for notices of ``size`` words."""
+#: Words of a text that are cut into windows at once.
+CHUNK = 16_384
+
+
+def chunks_of(words: Column, longest: int) -> Column:
+    """(begin, n, words): runs of ``CHUNK`` words, each with what windows that start in it need beyond it."""
+
+    def one(begin: Column) -> Column:
+        own = F.slice(words, begin + 1, CHUNK + longest)
+        return F.struct(begin.alias("begin"), F.size(words).alias("n"), own.alias("words"))
+
+    return F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - 1, F.lit(0)), F.lit(CHUNK)), one)
+
+
+def windows_of(chunk: Column, size: int) -> Column:
+    """(size, start, run) of the overlapping windows for notices of ``size`` words that start in a chunk."""
     step = step_of(size)
-    starts = F.sequence(F.lit(0), F.greatest(F.size(words) - size, F.lit(0)), F.lit(step))
+    first = F.ceil(chunk["begin"] / F.lit(step)).cast("int") * step
+    last = F.least(chunk["begin"] + (CHUNK - 1), F.greatest(chunk["n"] - size, F.lit(0)))
+    starts = F.when(first <= last, F.sequence(first, F.greatest(first, last), F.lit(step))).otherwise(F.array().cast("array<int>"))
 
     def one(start: Column) -> Column:
-        run = F.slice(words, start + 1, size + step)
+        run = F.slice(chunk["words"], start - chunk["begin"] + 1, size + step)
         return F.struct(F.lit(size).alias("size"), start.alias("start"), run.alias("run"))
 
     return F.transform(starts, one)
@@ -159,16 +176,18 @@ def scan(
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = rows.where(bind(F.lower(F.col("text")), telling)).select("doc_id", text_words(F.col("text")).alias("words"))
-    rows = rows.where(F.arrays_overlap("words", F.array(*map(F.lit, marks))))
-
-    def windows(words: Column) -> Column:
-        """All windows of all sizes, as (size, start, grams)."""
-        every = [windows_of(words, size) for size in sorted(sizes)]
-        held = F.array(*map(F.lit, marks))
+    held = F.array(*map(F.lit, marks))
+    rows = rows.where(F.arrays_overlap("words", held))
+    longest = max(size + step_of(size) for size in sizes)
+    rows = rows.select("doc_id", F.explode(bind(F.col("words"), lambda words: chunks_of(words, longest))).alias("chunk"))
+    rows = rows.where(F.arrays_overlap("chunk.words", held))
+
+    def windows(chunk: Column) -> Column:
+        """All windows of all sizes that start in a chunk, as (size, start, run)."""
+        every = [windows_of(chunk, size) for size in sorted(sizes)]
         return F.filter(F.concat(*every), lambda w: F.arrays_overlap(w["run"], held) & (F.size(w["run"]) >= SHINGLE))
 
-    cut = rows.select("doc_id", F.explode(bind(F.col("words"), windows)).alias("window"))
-
+    cut = rows.select("doc_id", F.explode(windows(F.col("chunk"))).alias("window"))
 
     def banded(window: Column) -> Column:
         """The window's shingles with each of its bands; the shingles are made once."""

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from earshot.llm import license_scan
 from earshot.llm.license_scan import NOTICES, bands_needed, notice_words, scan, shingles, step_of, telling_words
 
 
@@ -73,3 +74,21 @@ def test_defined_cases(spark):
 def test_uses_no_python(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     assert "Python" not in scan(docs)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_chunks_change_no_match(spark, monkeypatch):
+    words = [f"w{i % 97}" for i in range(900)]
+    for at in (0, 60, 61, 64, 130, 333, 620, 880):
+        words[at:at] = license_scan.NOTICES["mit-grant" if at % 2 else "apache-2.0"].split()
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[5:400])), (3, "too short"), (4, license_scan.NOTICES["mit"])], "doc_id long, text string")
+    whole = sorted(map(tuple, license_scan.scan(docs).collect()))
+    assert whole
+    for chunk in (7, 64, 100):
+        monkeypatch.setattr(license_scan, "CHUNK", chunk)
+        assert sorted(map(tuple, license_scan.scan(docs).collect())) == whole
+
+
+def test_a_very_long_text(spark):
+    text = "filler words of no meaning " * 450_000 + license_scan.NOTICES["apache-2.0"]  # 12 MB
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [r.license_id for r in license_scan.scan(docs).collect()] == ["apache-2.0"]
