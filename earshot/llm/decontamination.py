@@ -12,9 +12,11 @@ contaminated by an item of n words if some run of its words lies within
   Windows at a small edit distance meet again and again and write nearly the same, so
   edit distance becomes Hamming distance.
 * Hashes of a few sampled places of that writing are looked up among those of the items.
-  The number of repetitions, each with a walk and a sample of its own, is chosen so that
-  a run at the greatest allowed distance is met with probability ``recall``; the
-  chances of a repetition are measured on randomly edited items.
+  The number of repetitions, each with a walk and a sample of its own, is chosen for items
+  of about one size so that a run at the greatest allowed distance is met with probability
+  ``recall``; the chances of a repetition are measured on randomly edited items of that size.
+* Items of sizes that would need more than ``most`` repetitions are not hashed: all their
+  windows are candidates.
 * Every candidate is verified by the exact edit distance.
 
 The items travel to the tasks in slices of bounded size; documents are not shuffled.
@@ -96,7 +98,7 @@ def best_run(item: np.ndarray, region: np.ndarray) -> tuple[int, int, int]:
 class Finder:
     """The passages of a slice of the benchmark, ready to be looked for."""
 
-    def __init__(self, items: list[tuple[int, str]], edits: float, recall: float, sampled: int):
+    def __init__(self, items: list[tuple[int, str]], edits: float, recall: float, sampled: int, most: int = 400):
         kept = [(i, w) for i, w in ((i, words_of(t)) for i, t in items) if w]
         self.ids = [i for i, _ in kept]
         self.vocabulary: dict[str, int] = {}
@@ -107,7 +109,11 @@ class Finder:
         self.sizes = np.array([len(w) for w in self.items], np.int64)
         self.allowed = np.floor(edits * self.sizes + 1e-9).astype(np.int64)
         self.blocks = self._blocks()
-        self.picks = self._repetitions(recall, sampled)
+        #: Repetitions of each item, and of each size; 0 where all windows are verified.
+        self.needs = self._repetitions(recall, sampled, most)
+        self.need_of = np.zeros(int(self.sizes.max(initial=0)) + 1, np.int64)
+        self.need_of[self.sizes] = self.needs
+        self.picks = list(np.random.default_rng(12).random((int(self.needs.max(initial=0)), sampled)))
         self.tables = [self._table(seed, picks) for seed, picks in enumerate(self.picks)]
 
     def _padded(self, rows: list[np.ndarray]) -> np.ndarray:
@@ -130,30 +136,36 @@ class Finder:
             out[length] = np.array([r[0] for r in rows], np.uint64), np.array([r[1:] for r in rows], np.int64)
         return out
 
-    def _repetitions(self, recall: float, sampled: int) -> list[np.ndarray]:
-        """Sampled places of each repetition; as many as ``recall`` asks for."""
+    def _repetitions(self, recall: float, sampled: int, most: int, drawn: int = 100, tries: int = 48) -> np.ndarray:
+        """Repetitions that ``recall`` asks of each item, 0 where that is more than ``most``.
+
+        Sizes within a quarter of an octave count as one and are judged by ``drawn`` items.
+        """
         rng = np.random.default_rng(11)
-        if not self.items:
-            return []
-        some = [int(i) for i in rng.integers(0, len(self.items), 100)]
-        changed = [edited(self.items[i], int(self.allowed[i]), rng, len(self.vocabulary)) for i in some]
-        originals = [self.items[i] for i in some]
-        # the window has the item's size, whatever the edits did to the length
-        sizes = self.sizes[some]
-        changed = [np.resize(np.append(c, np.zeros(len(o), np.int64)), len(o)) for c, o in zip(changed, originals, strict=True)]
-        tries, met, a, b = 48, np.zeros(len(some)), self._padded(originals), self._padded(changed)
-        for seed in range(tries):
-            picks = rng.random(sampled)
-            met += walk(a, sizes, 1000 + seed, picks) == walk(b, sizes, 1000 + seed, picks)
-        missed, need = 1 - (met + 0.25) / (tries + 0.5), 1
-        while (missed ** need).mean() > 1 - recall and need < 400:
-            need += 1
-        return [rng.random(sampled) for _ in range(need)]
+        needs = np.zeros(len(self.items), np.int64)
+        classes = np.floor(4 * np.log2(np.maximum(self.sizes, 1)) + 0.5)
+        for one in np.unique(classes):
+            of_class = np.flatnonzero(classes == one)
+            some = rng.choice(of_class, drawn)
+            originals = [self.items[i] for i in some]
+            changed = [edited(self.items[i], int(self.allowed[i]), rng, len(self.vocabulary)) for i in some]
+            # the window has the item's size, whatever the edits did to the length
+            changed = [np.resize(np.append(c, np.zeros(len(o), np.int64)), len(o)) for c, o in zip(changed, originals, strict=True)]
+            met, a, b = np.zeros(drawn), self._padded(originals), self._padded(changed)
+            for seed in range(tries):
+                picks = rng.random(sampled)
+                met += walk(a, self.sizes[some], 1000 + seed, picks) == walk(b, self.sizes[some], 1000 + seed, picks)
+            missed, need = 1 - (met + 0.25) / (tries + 0.5), 1
+            while need <= most and (missed ** need).mean() > 1 - recall:
+                need += 1
+            needs[of_class] = need if need <= most else 0
+        return needs
 
     def _table(self, seed: int, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        keys = walk(self._padded(self.items), self.sizes, seed, picks)
+        due = np.flatnonzero(self.needs > seed)
+        keys = walk(self._padded([self.items[i] for i in due]), self.sizes[due], seed, picks)
         order = np.argsort(keys, kind="stable")
-        return keys[order], order
+        return keys[order], due[order]
 
     def find(self, texts: list[str]) -> Iterator[tuple[int, int, int, int, int]]:
         """(text, item, distance, first word, last word), the best run of each text and item."""
@@ -164,18 +176,20 @@ class Finder:
             parts.append(np.array([*map(number, words_of(text), repeat(0)), 0], np.int64))
             borders.append(borders[-1] + len(parts[-1]))
         ids, borders = np.concatenate(parts), np.array(borders)
-        starts, sizes = self._windows(ids)
-        met: set[tuple[int, int]] = set()
+        starts, sizes, met = self._windows(ids)
         for at in range(0, len(starts), 20_000):
             met |= self._candidates(ids, borders, starts[at: at + 20_000], sizes[at: at + 20_000])
         yield from self._verified(ids, borders, sorted((item, start) for start, item in met))
 
-    def _windows(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct (start, size) of the windows around unedited blocks; a start may lie outside the text."""
+    def _windows(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, set[tuple[int, int]]]:
+        """Distinct (start, size) of the windows around unedited blocks, and (start, item) where none is hashed.
+
+        A start may lie outside the text.
+        """
         known = ids != 0
         breaks = np.flatnonzero(~known)
         run = breaks[np.searchsorted(breaks, np.arange(len(ids)))] - np.arange(len(ids))
-        found = []
+        found, met = [], set()
         for length, (keys, rows) in self.blocks.items():
             at = np.flatnonzero(run >= length)
             codes = gram(ids, at, length)
@@ -184,23 +198,31 @@ class Finder:
             many = high[hit] - low[hit]
             entry = np.repeat(low[hit] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
             item, offset = rows[entry, 0], rows[entry, 1]
-            start, k = np.repeat(at[hit], many) - offset, self.allowed[item]
+            start = np.repeat(at[hit], many) - offset
+            hashed = self.needs[item] > 0
+            met.update(zip(start[~hashed].tolist(), item[~hashed].tolist(), strict=True))
+            start, item = start[hashed], item[hashed]
+            k = self.allowed[item]
             spread = np.repeat(start - k, 2 * k + 1)
             spread += np.arange(len(spread)) - np.repeat(np.cumsum(2 * k + 1) - (2 * k + 1), 2 * k + 1)
             found.append(np.column_stack([spread, np.repeat(self.sizes[item], 2 * k + 1)]))
         both = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
-        return both[:, 0], both[:, 1]
+        return both[:, 0], both[:, 1], met
 
     def _candidates(self, ids, borders, starts, sizes) -> set[tuple[int, int]]:
         places = starts[:, None] + np.arange(int(sizes.max(initial=1)))
         inside = (np.arange(places.shape[1]) < sizes[:, None]) & (places >= 0) & (places < len(ids))
         rows = np.where(inside, ids[np.clip(places, 0, len(ids) - 1)], -1)
         met = set()
+        needs = self.need_of[sizes]
         for seed, (picks, (keys, order)) in enumerate(zip(self.picks, self.tables, strict=True)):
-            codes = walk(rows, sizes, seed, picks)
+            due = np.flatnonzero(needs > seed)
+            if not len(due):
+                break
+            codes = walk(rows[due], sizes[due], seed, picks)
             low, high = np.searchsorted(keys, codes, "left"), np.searchsorted(keys, codes, "right")
-            for row in np.flatnonzero(high > low).tolist():
-                met.update((int(starts[row]), int(item)) for item in order[low[row]: high[row]])
+            for hit in np.flatnonzero(high > low).tolist():
+                met.update((int(starts[due[hit]]), int(item)) for item in order[low[hit]: high[hit]])
         return met
 
     def _verified(self, ids, borders, met) -> Iterator[tuple[int, int, int, int, int]]:

@@ -90,3 +90,31 @@ def test_defined_cases(spark):
 def test_repetitions_follow_the_recall():
     items = [(1, " ".join(f"a{i}" for i in range(40)))]
     assert len(Finder(items, 0.2, 0.999, 4).picks) > len(Finder(items, 0.2, 0.9, 4).picks)
+
+
+def test_every_size_has_its_own_repetitions():
+    rng = random.Random(5)
+    items = [(i, " ".join(f"w{rng.randrange(90)}" for _ in range(8 if i else 200))) for i in range(60)]
+    finder = Finder(items, 0.2, 0.99, 4)
+    assert finder.needs[0] != finder.needs[1] and finder.needs.min() > 0
+    assert len(finder.tables) == finder.needs.max()
+    assert [len(order) for _, order in finder.tables] == [int((finder.needs > s).sum()) for s in range(len(finder.tables))]
+
+
+@pytest.mark.parametrize("most", [0, 14, 23])
+def test_items_beyond_the_repetitions_are_verified_directly(most):
+    docs, items = corpus(7, 0.2)
+    finder, texts = Finder(items, 0.2, 0.99, 3, most=most), [t for _, t in docs]
+    got = {(docs[t][0], finder.ids[i]): d for t, i, d, _, _ in finder.find(texts)}
+    want = {}
+    for i, text in docs:
+        for j, item in items:
+            a, b = words_of(item), words_of(text)
+            d = distance(a, b)
+            if b and d <= int(0.2 * len(a) + 1e-9):
+                want[i, j] = d
+    assert set(got) <= set(want) and all(want[k] == d for k, d in got.items())
+    beyond = {finder.ids[i] for i in range(len(items)) if not finder.needs[i]}
+    assert {k for k in want if k[1] in beyond} <= set(got) and len(got) >= 0.98 * len(want)
+    assert {len(items[i][1].split()) for i in beyond} == {0: {6, 14, 25, 40, 70}, 14: {25, 40, 70}, 23: {70}}[most]
+    assert most or got == want
