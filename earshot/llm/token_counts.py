@@ -6,9 +6,10 @@ crosses between them, and a text may be cut there without changing a token. For
 models served here that is so before every run of blanks and around every line
 feed; ``CutCounter`` proves it on the vocabulary when it loads the file.
 
-Tier one is a table of the lengths of frequent pre-tokens, shipped to all tasks. Tier
-two is a cache in each Python worker, filled by encoding what tier one misses. Neither
-changes a count, and no pre-token is ever shuffled.
+Tier one is a table of the lengths of frequent pre-tokens of the whole corpus, shipped
+to all tasks. Tier two is a cache in each Python worker, bounded by characters and filled
+by encoding what tier one misses. Neither changes a count. Only the few names that are
+frequent within a task leave it; the pre-tokens themselves are never shuffled.
 """
 
 from __future__ import annotations
@@ -45,13 +46,16 @@ def pre_tokens(text: str) -> list[str]:
 
 
 class CutCounter(dict):
-    """pre-token -> number of tokens, encoding what it does not know yet."""
+    """pre-token -> number of tokens, encoding what it does not know yet.
 
-    def __init__(self, path: str, frequent: dict[str, int], keep: int = 400_000):
+    What was encoded is kept up to ``keep`` characters, an entry counting for 64 more.
+    """
+
+    def __init__(self, path: str, frequent: dict[str, int], keep: int = 32 << 20):
         import sentencepiece
 
         super().__init__(frequent)
-        self.frequent, self.keep = frequent, keep
+        self.frequent, self.keep, self.held = frequent, keep, 0
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.cut = can_be_cut(path)
 
@@ -60,10 +64,13 @@ class CutCounter(dict):
             n = 1
         else:
             n = len(self.model.encode(name)) - (name[0] == "\n")  # less the blank put before a text
-        if len(self) >= len(self.frequent) + self.keep:
+        self.held += len(name) + 64
+        if self.held > self.keep:
             self.clear()
             self.update(self.frequent)
-        self[name] = n
+            self.held = len(name) + 64
+        if self.held <= self.keep:
+            self[name] = n
         return n
 
     def count(self, text: str | None) -> int:
@@ -96,19 +103,35 @@ def can_be_cut(path: str) -> bool:
 
 
 def frequent_lengths(
-    docs: DataFrame, path: str, text: str = "text", rows: int = 400, chars: int = 20_000, entries: int = 50_000
+    docs: DataFrame, path: str, text: str = "text", entries: int = 50_000, longest: int = 64
 ) -> dict[str, int]:
-    """Lengths of the commonest pre-tokens of a few texts: tier one.
+    """Lengths of the ``entries`` commonest pre-tokens of all texts: tier one.
 
-    A bounded sample (``rows`` texts, ``chars`` characters each, ``entries`` names) is
-    enough, since a name that is absent here is merely encoded by the worker that meets it.
+    Each task counts its whole texts in a table of at most eight times ``entries`` names,
+    the rarest half of which goes when it is full, and hands on the names that make up
+    one in ``entries`` of its pre-tokens; a name with that share of the corpus has it in
+    some task. Names over ``longest`` characters, of which bytes would fill the table, and
+    names met once in a task are left to the workers' caches.
     """
-    sample = docs.where(F.length(text) > 0).select(F.left(F.col(text), F.lit(chars)).alias("text")).limit(rows)
-    seen: Counter[str] = Counter()
-    for row in sample.collect():
-        seen.update(pre_tokens(row["text"]))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter[str] = Counter()
+        total = 0
+        for batch in batches:
+            for value in batch["text"]:
+                names = pre_tokens(value)
+                total += len(names)
+                seen.update(names)
+                if len(seen) > 8 * entries:
+                    seen = Counter(dict(c for c in seen.most_common(4 * entries) if len(c[0]) <= longest))
+        rows = [(k, n) for k, n in seen.items() if n > 1 and n * entries >= total and len(k) <= longest]
+        yield pd.DataFrame(rows, columns=["name", "n"])
+
+    full = docs.select(F.col(text).alias("text")).where(F.length("text") > 0)
+    counts = full.mapInPandas(run, "name string, n long").groupBy("name").agg(F.sum("n").alias("n"))
+    rows = counts.orderBy(F.desc("n"), "name").limit(entries).collect()  # short names
     counter = CutCounter(path, {})
-    return {name: counter[name] for name, n in seen.most_common(entries) if n > 1}
+    return {r["name"]: counter[r["name"]] for r in rows}
 
 
 def token_counts(
@@ -117,7 +140,8 @@ def token_counts(
     """(doc_id, n_bytes, n_tokens, over_limit) of every row.
 
     Null text counts as empty, an empty text has no bytes and no tokens; null ids,
-    repeated rows and very long texts are kept as they are; other columns are ignored.
+    repeated rows and very long texts are kept as they are; other columns are ignored;
+    an empty table gives no rows.
     """
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, path, text))
 

@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from earshot.llm.queries import tokenizer_file
-from earshot.llm.token_counts import CutCounter, can_be_cut, token_counts
+from earshot.llm.token_counts import CutCounter, can_be_cut, frequent_lengths, token_counts
 
 PATH = "piece_bpe_32k.model"
 
@@ -15,7 +15,7 @@ def counters():
     import sentencepiece
 
     path = tokenizer_file(PATH)
-    return CutCounter(path, {"the": CutCounter(path, {})["the"]}, keep=40), sentencepiece.SentencePieceProcessor(model_file=path)
+    return CutCounter(path, {"the": CutCounter(path, {})["the"]}, keep=2000), sentencepiece.SentencePieceProcessor(model_file=path)
 
 
 ODD = [
@@ -49,3 +49,23 @@ def test_query_columns_and_nulls(spark):
     want = [(i, len((t or "").encode()), own.count(t), own.count(t) > 4096) for i, t, _ in rows]
     assert got == sorted(want, key=str)
     assert token_counts(docs.limit(0), tokenizer_file(PATH)).count() == 0
+
+
+def test_the_first_tier_is_of_the_whole_corpus(spark):
+    rows = [(i, "alpha beta " * 3) for i in range(900)] + [(i, "tail " * 9000 + "é" * 70 + " " + "é" * 70) for i in (900, 901)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    path = tokenizer_file(PATH)
+    assert {"alpha", "beta", "tail"} <= set(frequent_lengths(docs, path))
+    assert set(frequent_lengths(docs, path, entries=1)) == {"tail"}
+    own = CutCounter(path, {})
+    assert all(frequent_lengths(docs, path)[k] == own[k] for k in ("alpha", "tail"))
+    assert not any("é" in k for k in frequent_lengths(docs, path))
+    assert frequent_lengths(docs.limit(0), path) == {}
+
+
+def test_the_cache_is_bounded_by_characters():
+    counter = CutCounter(tokenizer_file(PATH), {"a": 1}, keep=5000)
+    for i in range(300):
+        counter.count(f"{i} " + "xy" * 1500 + str(i))
+        assert sum(len(k) + 64 for k in counter if k != "a") <= 5000 and counter["a"] == 1
+    assert counter.count("z" * 9000) == len(counter.model.encode("z" * 9000))
