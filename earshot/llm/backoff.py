@@ -1,18 +1,22 @@
-"""N-gram scores of documents from the counts of all their n-grams, keyed by word hashes.
-
-A text is ``order`` - 1 start marks, its words and an end mark. With c the counts over
-all documents, a word w after the ``order`` - 1 tokens h before it scores c(hw) / c(h);
-the end mark counts for c(h) but is not scored. Every word keeps its own 64-bit number
-and every n-gram its counts, those seen once included, so an n-gram of a document is
-always in the table and nothing backs off. A document's score is the sum of the logarithms.
-
-* One shuffle counts and joins: a document's distinct n-grams are dealt by the hash of
-  the context h, where the rows of a context add up to c(h) and those of an n-gram to
-  c(hw), and stay beside the document they came from.
-* The commonest n-grams and contexts are shipped with their exact counts. An n-gram found
-  there with its context is scored where the text is read; one with only its context
-  there is dealt by its own hash, so that no context collects many rows in one task. How
-  many are shipped, and which, changes no result.
+"""Stupid-backoff scores of documents, from counts of all n-grams of the other documents.
+
+A text is ``order`` - 1 start marks and its words. With c the counts over all *other*
+texts, a word w after the ``order`` - 1 tokens h before it scores c(hw) / c(h) if hw
+occurs there, and ``discount`` times its score after one token less if not. After no token
+it scores c(w) / N, N being the number of words. A word that occurs nowhere else counts as
+met once, at one more discount. A text's score is the sum of the logarithms.
+
+Every word keeps its own 64-bit number, and n-grams of every order their counts, those
+met once included. Three steps, two shuffles:
+
+* Tasks cut their texts into chunks of bounded size. A chunk's distinct n-grams of all
+  orders are merged with their counts, so that a common n-gram, or one of thousands of
+  copies, leaves a chunk once. Sorted by hash they go to the ranges of the hash space as
+  blocks of differences in as few bytes as these need.
+* Each range adds up its part of the count table and answers every block with the totals
+  of its n-grams.
+* The answers meet the texts of their chunk. The n-grams are exploded again and joined to
+  the totals; the counts of the text itself are taken off, and its scores are summed.
 
 Logarithms are rounded to millionths and summed as integers, so the order of rows
 changes no bit.
@@ -21,25 +25,26 @@ changes no bit.
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+import pyarrow.compute as pc
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from earshot.llm.common import Shipped, mixed
-from earshot.llm.lm_scores import batches_of, merged, micro_log
+from earshot.llm.common import give_back, mixed
 from earshot.llm.words import text_batches, word_numbers
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-START, END = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9FB21C651E98DF25)
+START = np.uint64(0x2545F4914F6CDD1D)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-#: In ``held``: the row's context is counted in the shuffle; the row is a document's own.
-OPEN, OWN = 0, -1
+#: Rows on the way: a chunk's texts (bucket is null) and its blocks. A chunk's number is negative.
+BLOCKS = "route long, chunk long, bucket long, keys binary, counts binary, doc_id long, text string"
+ANSWERS = "chunk long, bucket long, counts binary, doc_id long, text string"
+SCORES = "doc_id long, n_words long, n_backed_off long, log_score_micro long"
 
 
 def followed(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -47,159 +52,201 @@ def followed(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
     return mixed(contexts * _ODD + words)
 
 
-def tokens(numbers: np.ndarray, borders: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, word, context) of every word, and of the end mark of every text with words."""
+def grams(numbers: np.ndarray, borders: np.ndarray, order: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """(text of every word, [(context, context and word) of every word, for order 1, 2, ...])."""
     sizes = np.diff(borders)
-    some = np.flatnonzero(sizes)
-    lengths = sizes[some] + order
-    place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    last = place == np.repeat(lengths, lengths) - 1
-    all_tokens = np.full(len(place), START, np.uint64)
-    all_tokens[(place >= order - 1) & ~last] = numbers
-    all_tokens[last] = END
-    at = np.flatnonzero(place >= order - 1)
-    context = np.zeros(len(at), np.uint64)
-    for back in range(order - 1, 0, -1):
-        context = followed(context, all_tokens[at - back])
-    return np.repeat(some, lengths)[at], all_tokens[at], context
-
-
-class Counted:
-    """Sorted keys with their counts and the rounded logarithms of these."""
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, logs: np.ndarray):
-        order = np.argsort(keys)
-        self.keys, self.counts, self.logs = keys[order], counts[order], logs[order]
-
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place, whether it is there)."""
-        if not len(self.keys):
-            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-        place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return place, self.keys[place] == keys
-
-
-def largest(keys: np.ndarray, counts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(keys) <= most:
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(len(numbers)) - np.repeat(borders[:-1], sizes)
+    before = []
+    for back in range(1, order):
+        token = np.full(len(numbers), START, np.uint64)
+        token[back:] = np.where(place[back:] >= back, numbers[:-back], START)
+        before.append(token)
+    out = []
+    for n in range(1, order + 1):
+        context = np.zeros(len(numbers), np.uint64)
+        for back in range(n - 1, 0, -1):
+            context = followed(context, before[back - 1])
+        out.append((context, followed(context, numbers)))
+    return row, out
+
+
+def opening(order: int) -> np.ndarray:
+    """Contexts that are no n-grams: none at all, and start marks alone."""
+    out = [np.zeros(1, np.uint64)]
+    for _ in range(order - 1):
+        out.append(followed(out[-1], np.full(1, START, np.uint64)))
+    return np.concatenate(out)
+
+
+def chunk_counts(borders: np.ndarray, each: list, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct n-grams and contexts of a chunk, with their counts."""
+    keys, counts = np.unique(np.concatenate([gram for _, gram in each]), return_counts=True)
+    sizes = np.diff(borders)
+    if not sizes.any():
         return keys, counts
-    best = np.argpartition(-counts, most)[:most]
-    return keys[best], counts[best]
+    keys = np.append(keys, opening(order))
+    counts = np.concatenate([counts, [sizes.sum()], np.full(order - 1, np.count_nonzero(sizes))])
+    by_key = np.argsort(keys, kind="stable")
+    return keys[by_key], counts[by_key]
 
 
-def commonest(docs: DataFrame, keys_of: Callable, text: str, most: int, flush: int = 2 << 20) -> Counted:
-    """About the ``most`` commonest keys of all texts, with exact counts.
+def narrow(values: np.ndarray) -> bytes:
+    """Unsigned numbers in as few bytes each as the largest needs, all lowest bytes first."""
+    width = max(1, -(-int(values.max(initial=0)).bit_length() // 8))
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + planes.T.tobytes()
 
-    The first pass only names them: each task keeps the largest counts of its texts in a
-    bounded table. The second counts the named ones in every text.
-    """
-    spark = docs.sparkSession
-    texts_only = docs.select(F.lit(0).alias("none"), F.col(text).alias("text"))
-
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, held = [], 0
-        for _, texts in text_batches(batches):
-            keys, counts = np.unique(keys_of(*word_numbers(texts)), return_counts=True)
-            parts.append((keys, counts))
-            held += len(keys)
-            if held >= flush:
-                parts = [largest(*merged(parts), 4 * most)]
-                held = len(parts[0][0])
-        if parts:
-            yield from batches_of(*largest(*merged(parts), most))
-
-    named = texts_only.mapInArrow(name, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    keys = named.orderBy(F.desc("n"), "key").limit(most).select("key").toPandas()["key"].to_numpy(np.int64)
-    none = np.zeros(len(keys), np.int64)
-    shared = Shipped(spark, Counted(keys.view(np.uint64), none, none))  # ``most`` keys
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
-        counts = np.zeros(len(table.keys), np.int64)
-        for _, texts in text_batches(batches):
-            place, there = table.find(keys_of(*word_numbers(texts)))
-            counts += np.bincount(place[there], minlength=len(counts))
-        some = np.flatnonzero(counts)
-        if len(some):
-            yield from batches_of(table.keys[some], counts[some])
-
-    exact = texts_only.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    rows = exact.withColumn("log", micro_log(F.col("n"))).toPandas()  # ``most`` rows
-    keys, counts, logs = (rows[c].to_numpy(np.int64) for c in ("key", "n", "log"))
-    return Counted(keys.view(np.uint64), counts, logs)
-
-
-def exploded(docs: DataFrame, shared: Shipped, order: int, doc_id: str, text: str) -> DataFrame:
-    """A document's distinct n-grams that are not scored at once, and a row of its own.
-
-    (route, word, doc_id, n, held, direct): ``held`` is the context's count if it was
-    shipped; the row of its own has the number of words in ``n`` and the score so far in ``direct``.
-    """
+
+def widened(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(raw, np.uint8, offset=1).reshape(raw[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : raw[0]] = planes.T
+    return out.view("<u8").ravel().astype(np.uint64)
+
+
+def ranges(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The range of the hash space of each key; ascending with the keys."""
+    return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def exploded(rows: DataFrame, order: int, buckets: int, chunk_chars: int) -> DataFrame:
+    """``BLOCKS``: texts with the number of their chunk, and the chunk's n-grams by range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
-        for ids, texts in text_batches(batches, 1 << 20):
+        schema = pa.schema([
+            ("route", pa.int64()), ("chunk", pa.int64()), ("bucket", pa.int64()), ("keys", pa.binary()),
+            ("counts", pa.binary()), ("doc_id", pa.int64()), ("text", pa.string()),
+        ])
+        task = TaskContext.get().partitionId()
+        for ordinal, (ids, texts) in enumerate(text_batches(batches, chunk_chars)):
             numbers, borders = word_numbers(texts)
-            row, word, context = tokens(numbers, borders, order)
-            gram, real = followed(context, word), word != END
-            (c, common), (g, there) = table.find(context), table.find(gram)
-            ready = common & there & real
-            direct = np.zeros(len(texts), np.int64)
-            np.add.at(direct, row[ready], table.logs[g[ready]] - table.logs[c[ready]])
-            keys = pa.array(ids, pa.int64())
-            own = keys.fill_null(0).to_numpy().view(np.uint64)
-            yield pa.RecordBatch.from_pydict({
-                "route": mixed(followed(own, np.arange(len(texts), dtype=np.uint64))).view(np.int64),
-                "word": pa.nulls(len(texts), pa.int64()), "doc_id": keys, "n": np.diff(borders).astype(np.int64),
-                "held": np.full(len(texts), OWN), "direct": direct,
-            })
-
-            left = np.flatnonzero(~ready & (real | ~common))
-            left = left[np.lexsort((gram[left], row[left]))]
-            new = np.ones(len(left), bool)
-            new[1:] = (row[left][1:] != row[left][:-1]) | (gram[left][1:] != gram[left][:-1])
-            at = left[new]
-            held = np.full(len(at), OPEN)
-            held[common[at]] = table.counts[c[at[common[at]]]]
-            yield pa.RecordBatch.from_pydict({
-                "route": np.where(common[at], gram[at], context[at]).view(np.int64), "word": word[at].view(np.int64),
-                "doc_id": keys.take(pa.array(row[at])), "n": np.diff(np.append(np.flatnonzero(new), len(left))),
-                "held": held, "direct": np.zeros(len(at), np.int64),
-            })
-
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "route long, word long, doc_id long, n long, held long, direct long")
+            keys, counts = chunk_counts(borders, grams(numbers, borders, order)[1], order)
+            # a chunk that a repeated task cuts otherwise gets another number, so that no answer is mistaken
+            own = mixed(np.array([(task << 32) + ordinal], np.uint64) + (keys * counts.astype(np.uint64)).sum(dtype=np.uint64))
+            chunk = int((own | np.uint64(1 << 63)).view(np.int64)[0])
+            for at in range(0, len(texts), 2000):
+                n = len(texts[at: at + 2000])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([chunk] * n), pa.array([chunk] * n), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()),
+                    pa.nulls(n, pa.binary()), pa.array(ids[at: at + n], pa.int64()), pa.array(texts[at: at + n], pa.string()),
+                ], schema=schema)
+            place = ranges(keys, buckets)
+            cuts = np.flatnonzero(np.diff(place, prepend=-1)) if len(keys) else np.empty(0, np.int64)
+            ends = np.append(cuts[1:], len(keys))
+            for at in range(0, len(cuts), 500):
+                some = list(zip(cuts[at: at + 500].tolist(), ends[at: at + 500].tolist(), strict=True))
+                home = place[cuts[at: at + 500]]
+                first = [(int(b) << 64) // buckets & ~0xFFFFFFFF for b in home]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(home), pa.array([chunk] * len(some)), pa.array(home),
+                    pa.array([narrow(np.diff(keys[a:b], prepend=np.uint64(f))) for (a, b), f in zip(some, first, strict=True)], pa.binary()),
+                    pa.array([narrow(counts[a:b]) for a, b in some], pa.binary()),
+                    pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.string()),
+                ], schema=schema)
+        give_back()
+
+    return rows.mapInArrow(run, BLOCKS)
+
+
+def answered(blocks: DataFrame, buckets: int) -> DataFrame:
+    """``ANSWERS``: totals of the n-grams of every block, in the block's order; texts pass."""
+
+    def run(block: pa.Table) -> pa.Table:
+        kept = block.select(["chunk", "bucket", "counts", "doc_id", "text"])
+        home = block["bucket"][0].as_py()
+        if home is None:
+            return kept
+        first = np.uint64((home << 64) // buckets & ~0xFFFFFFFF)
+        keys = [np.cumsum(widened(raw), dtype=np.uint64) + first for raw in block["keys"].to_pylist()]
+        counts = np.concatenate([widened(raw) for raw in block["counts"].to_pylist()])
+        _, place = np.unique(np.concatenate(keys), return_inverse=True)
+        totals = np.zeros(int(place.max()) + 1, np.uint64)
+        np.add.at(totals, place, counts)
+        each = np.split(totals[place], np.cumsum([len(k) for k in keys])[:-1])
+        return kept.set_column(2, "counts", pa.array([narrow(t) for t in each], pa.binary()))
+
+    return blocks.groupBy("route").applyInArrow(run, ANSWERS)
+
+
+def micro(counts: np.ndarray) -> np.ndarray:
+    return np.floor(np.log(counts) * 1e6 + 0.5).astype(np.int64)
+
+
+def chunk_scores(texts: list, totals: np.ndarray, order: int, discount: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words, words that back off, score in millionths) of each text of a chunk."""
+    numbers, borders = word_numbers(texts)
+    row, each = grams(numbers, borders, order)
+    keys, _ = chunk_counts(borders, each, order)
+    if len(keys) != len(totals):
+        raise RuntimeError("a chunk of texts was cut otherwise on a second run: store the table before scoring it")
+    sizes, width = np.diff(borders), len(keys)
+    score, depth = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
+    open_ = np.ones(len(numbers), bool)
+    step = micro(np.array([discount]))[0]
+
+    def others(n: int) -> np.ndarray:
+        """How often the first n tokens of the n-grams of order n + 1 occur in other texts."""
+        if n == 0:
+            return words - sizes[row]
+        context = np.searchsorted(keys, each[n][0])
+        pair = row * width + context
+        at = np.minimum(np.searchsorted(pairs[n], pair), len(pairs[n]) - 1)
+        own = np.where(pairs[n][at] == pair, own_counts[n][at], 1)  # start marks alone: once in every text
+        return totals[context] - own
+
+    totals = totals.astype(np.int64)
+    words = int(totals[np.searchsorted(keys, np.uint64(0))]) if width else 0
+    pairs, own_counts, seen = {}, {}, {}
+    for n in range(1, order + 1):
+        gram = np.searchsorted(keys, each[n - 1][1])
+        pairs[n], place, own_counts[n] = np.unique(row * width + gram, return_inverse=True, return_counts=True)
+        seen[n] = totals[gram] - own_counts[n][place]
+    for n in range(order, 0, -1):
+        here = np.flatnonzero(open_ & (seen[n] > 0))
+        score[here] = micro(seen[n][here]) - micro(others(n - 1)[here]) + (order - n) * step
+        depth[here] = order - n
+        open_[here] = False
+    if open_.any():
+        rest = np.flatnonzero(open_)
+        score[rest] = order * step - micro(np.maximum(others(0)[rest], 1))
+        depth[rest] = order
+    total, backed = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+    np.add.at(total, row, score)
+    np.add.at(backed, row, depth > 0)
+    return sizes, backed, total
 
 
 def ngram_scores(
-    docs: DataFrame, order: int = 3, shipped: int = 131_072, doc_id: str = "doc_id", text: str = "text",
+    docs: DataFrame, order: int = 3, discount: float = 0.4, doc_id: str = "doc_id", text: str = "text",
+    chunk_chars: int = 6 << 20, bucket_bytes: int = 6 << 20,
 ) -> DataFrame:
-    """(doc_id, n_words, log_score_micro, mean_log_score): natural logarithms; the mean is per word.
-
-    The counts are those of ``docs`` itself. Null, empty and blank texts have no words, a
-    score of 0 and no mean; rows that share a ``doc_id`` (null included) are scored
-    together; other columns are ignored; an empty table gives no rows.
+    """(doc_id, n_words, n_backed_off, log_score_micro, mean_log_score): natural logarithms; the mean is per word.
+
+    The counts are those of the other rows of ``docs``, equal texts in other rows included;
+    ``n_backed_off`` words were not met after their ``order`` - 1 predecessors there.
+    Null, empty and blank texts have no words, a score of 0 and no mean; of rows that share
+    a ``doc_id`` (null included) the sums are given; a very long text is a chunk of its own;
+    other columns are ignored; an empty table gives no rows. ``chunk_chars`` and
+    ``bucket_bytes`` bound the memory of a task and change no result.
     """
-    if order < 2:
-        raise ValueError("order out of range")
-
-    def keys_of(numbers: np.ndarray, borders: np.ndarray) -> np.ndarray:
-        _, word, context = tokens(numbers, borders, order)
-        real = word != END
-        return np.append(context, followed(context[real], word[real]))
-
-    table = commonest(docs, keys_of, text, shipped)
-    rows = exploded(docs, Shipped(docs.sparkSession, table), order, doc_id, text)
-    # sorted once for both windows
-    rows = rows.repartition("route").sortWithinPartitions("route", "word")
-    here = F.sum(F.when(F.col("held") == OPEN, F.col("n"))).over(W.partitionBy("route"))
-    rows = rows.withColumn("before", F.when(F.col("held") == OPEN, here).otherwise(F.col("held")))
-    rows = rows.withColumn("seen", F.sum("n").over(W.partitionBy("route", "word")))
-    own, end = F.col("held") == OWN, F.col("word") == F.lit(int(END.astype(np.int64)))
-    each = F.when(own, F.col("direct")).when(end, F.lit(0)).otherwise(
-        F.col("n") * (micro_log(F.col("seen")) - micro_log(F.col("before")))
-    )
-    summed = rows.groupBy("doc_id").agg(
-        F.sum(F.when(own, F.col("n"))).alias("n_words"), F.sum(each).alias("log_score_micro")
-    )
+    if order < 1 or not 0 < discount <= 1:
+        raise ValueError("order or discount out of range")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(1, -(-size // bucket_bytes))
+
+    def score(chunk: pa.Table) -> pa.Table:
+        texts = chunk.filter(pc.is_null(chunk["bucket"]))
+        blocks = chunk.filter(pc.is_valid(chunk["bucket"])).sort_by("bucket")
+        totals = np.concatenate([np.empty(0, np.uint64), *map(widened, blocks["counts"].to_pylist())])
+        sums = chunk_scores(texts["text"].to_pylist(), totals, order, discount)
+        give_back()
+        return pa.table([texts["doc_id"].combine_chunks(), *(pa.array(s, pa.int64()) for s in sums)],
+                        names=["doc_id", "n_words", "n_backed_off", "log_score_micro"])
+
+    answers = answered(exploded(rows, order, buckets, chunk_chars), buckets)
+    scored = answers.groupBy("chunk").applyInArrow(score, SCORES)
+    summed = scored.groupBy("doc_id").agg(*(F.sum(c).alias(c) for c in ("n_words", "n_backed_off", "log_score_micro")))
     mean = F.col("log_score_micro") / F.lit(1e6) / F.nullif("n_words", F.lit(0))
     return summed.withColumn("mean_log_score", mean)
