@@ -7,12 +7,15 @@ it scores c(w) / N, N being the number of words. A word that occurs nowhere else
 met once, at one more discount. A text's score is the sum of the logarithms.
 
 Every word keeps its own 64-bit number, and n-grams of every order their counts, those
-met once included. Three steps, two shuffles:
+met once included. An n-gram is keyed by the ranks of its words where all of them are
+among the ``shipped`` commonest, and by a hash otherwise; ranks leave far smaller
+differences between sorted keys than hashes do, and which words have one changes no
+result. Three steps, two shuffles:
 
 * Tasks cut their texts into chunks of bounded size. A chunk's distinct n-grams of all
   orders are merged with their counts, so that a common n-gram, or one of thousands of
-  copies, leaves a chunk once. Sorted by hash they go to the ranges of the hash space as
-  blocks of differences in as few bytes as these need.
+  copies, leaves a chunk once. Sorted, they go to the ranges of the key space as blocks of
+  differences in as few bytes as these need.
 * Each range adds up its part of the count table and answers every block with the totals
   of its n-grams.
 * The answers meet the texts of their chunk. The n-grams are exploded again and joined to
@@ -24,6 +27,7 @@ changes no bit.
 
 from __future__ import annotations
 
+import struct
 import sys
 from collections.abc import Iterator
 
@@ -34,49 +38,103 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import give_back, mixed
+from earshot.llm.common import Shipped, give_back, mixed
+from earshot.llm.lm_scores import counted
 from earshot.llm.words import text_batches, word_numbers
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-START = np.uint64(0x2545F4914F6CDD1D)
-_ODD = np.uint64(0x9E3779B97F4A7C15)
-#: Rows on the way: a chunk's texts (bucket is null) and its blocks. A chunk's number is negative.
-BLOCKS = "route long, chunk long, bucket long, keys binary, counts binary, doc_id long, text string"
-ANSWERS = "chunk long, bucket long, counts binary, doc_id long, text string"
+_ODD, _START = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x2545F4914F6CDD1D)
+_HASHED = np.uint64(1 << 63)
+#: Bits of a rank; three ranks make a key. Rank 0 is a word without one, 1 the start mark.
+BITS, START, FIRST = 17, 1, 2
+#: Rows on the way: a chunk's texts (block is null) and its blocks. A chunk's number is negative.
+BLOCKS = "route long, chunk long, block long, first long, keys binary, counts binary"
+ANSWERS = "chunk long, block long, counts binary"
 SCORES = "doc_id long, n_words long, n_backed_off long, log_score_micro long"
 
 
-def followed(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """The number of each context with one more word."""
-    return mixed(contexts * _ODD + words)
+def packed(raw: bytes) -> bytes:
+    return struct.pack("<I", len(raw)) + pa.compress(raw, "zstd", asbytes=True)
 
 
-def grams(numbers: np.ndarray, borders: np.ndarray, order: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+def unpacked(raw: bytes) -> bytes:
+    return pa.decompress(raw[4:], struct.unpack_from("<I", raw)[0], "zstd", asbytes=True)
+
+
+class Ranks:
+    """Ranks of common words, and how the keys made of them are spread over ranges."""
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray):
+        """``words`` from the commonest on."""
+        order = np.argsort(words)
+        self.words, self.ranks = words[order], order + FIRST
+        weights = np.concatenate([[0.5, counts.max(initial=1)], counts]).astype(np.float64)
+        self.share = weights / weights.sum()
+        self.before = np.cumsum(self.share) - self.share
+
+    def of(self, words: np.ndarray) -> np.ndarray:
+        if not len(self.words):
+            return np.zeros(len(words), np.int64)
+        place = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        return np.where(self.words[place] == words, self.ranks[place], 0)
+
+    def ranges(self, keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+        """(number of words or 4 for a hash, range) of sorted keys; a key has one range wherever it is met.
+
+        Keys of ranks are spread as if words were independent.
+        """
+        kind = 1 + np.searchsorted(np.array([1 << BITS, 1 << 2 * BITS, 1 << 63], np.uint64), keys, "right")
+        at = np.empty(len(keys))
+        at[kind == 1] = keys[kind == 1] / (1 << BITS)
+        at[kind == 4] = (keys[kind == 4] - _HASHED) / float(1 << 63)
+        for n in (2, 3):
+            some = keys[kind == n]
+            inner = np.zeros(len(some))
+            for back in range(n):
+                rank = (some >> np.uint64(BITS * back) & np.uint64((1 << BITS) - 1)).astype(np.int64)
+                inner = self.before[rank] + self.share[rank] * inner
+            at[kind == n] = inner
+        return kind, np.clip((at * buckets).astype(np.int64), 0, buckets - 1)
+
+
+def grams(
+    numbers: np.ndarray, borders: np.ndarray, order: int, ranks: Ranks
+) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
     """(text of every word, [(context, context and word) of every word, for order 1, 2, ...])."""
     sizes = np.diff(borders)
     row = np.repeat(np.arange(len(sizes)), sizes)
     place = np.arange(len(numbers)) - np.repeat(borders[:-1], sizes)
-    before = []
+    tokens, known = [numbers], [ranks.of(numbers)]
     for back in range(1, order):
-        token = np.full(len(numbers), START, np.uint64)
-        token[back:] = np.where(place[back:] >= back, numbers[:-back], START)
-        before.append(token)
-    out = []
-    for n in range(1, order + 1):
-        context = np.zeros(len(numbers), np.uint64)
-        for back in range(n - 1, 0, -1):
-            context = followed(context, before[back - 1])
-        out.append((context, followed(context, numbers)))
-    return row, out
+        token, rank = np.full(len(numbers), _START, np.uint64), np.full(len(numbers), START, np.int64)
+        inside = place[back:] >= back
+        token[back:][inside], rank[back:][inside] = numbers[:-back][inside], known[0][:-back][inside]
+        tokens.append(token)
+        known.append(rank)
+
+    def key(last: int, first: int) -> np.ndarray:
+        """Keys of the tokens from ``first`` words back to ``last`` words back."""
+        total, ranked, dense = np.zeros(len(numbers), np.uint64), np.zeros(len(numbers), np.uint64), np.ones(len(numbers), bool)
+        for back in range(first, last - 1, -1):
+            total = mixed(total * _ODD + tokens[back])
+            ranked = (ranked << np.uint64(BITS)) + known[back].astype(np.uint64)
+            dense &= known[back] > 0
+        if first - last >= 3:
+            dense[:] = False
+        return np.where(dense, ranked, total | _HASHED)
+
+    empty = np.zeros(len(numbers), np.uint64)
+    return row, [(key(1, n - 1) if n > 1 else empty, key(0, n - 1)) for n in range(1, order + 1)]
 
 
 def opening(order: int) -> np.ndarray:
     """Contexts that are no n-grams: none at all, and start marks alone."""
-    out = [np.zeros(1, np.uint64)]
-    for _ in range(order - 1):
-        out.append(followed(out[-1], np.full(1, START, np.uint64)))
-    return np.concatenate(out)
+    out, total, ranked = [0], np.zeros(1, np.uint64), 0
+    for n in range(1, order):
+        total, ranked = mixed(total * _ODD + _START), (ranked << BITS) + START
+        out.append(ranked if n <= 3 else int((total | _HASHED)[0]))
+    return np.array(out, np.uint64)
 
 
 def chunk_counts(borders: np.ndarray, each: list, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,88 +153,85 @@ def narrow(values: np.ndarray) -> bytes:
     """Unsigned numbers in as few bytes each as the largest needs, all lowest bytes first."""
     width = max(1, -(-int(values.max(initial=0)).bit_length() // 8))
     planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
-    return bytes([width]) + planes.T.tobytes()
+    return bytes([width]) + packed(planes.T.tobytes())
 
 
 def widened(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(raw, np.uint8, offset=1).reshape(raw[0], -1)
+    planes = np.frombuffer(unpacked(raw[1:]), np.uint8).reshape(raw[0], -1)
     out = np.zeros((planes.shape[1], 8), np.uint8)
     out[:, : raw[0]] = planes.T
     return out.view("<u8").ravel().astype(np.uint64)
 
 
-def ranges(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """The range of the hash space of each key; ascending with the keys."""
-    return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-
-
-def exploded(rows: DataFrame, order: int, buckets: int, chunk_chars: int) -> DataFrame:
+def exploded(rows: DataFrame, order: int, ranks: Shipped, buckets: int, chunk_chars: int) -> DataFrame:
     """``BLOCKS``: texts with the number of their chunk, and the chunk's n-grams by range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([
-            ("route", pa.int64()), ("chunk", pa.int64()), ("bucket", pa.int64()), ("keys", pa.binary()),
-            ("counts", pa.binary()), ("doc_id", pa.int64()), ("text", pa.string()),
-        ])
-        task = TaskContext.get().partitionId()
+        task, table = TaskContext.get().partitionId(), ranks.value
         for ordinal, (ids, texts) in enumerate(text_batches(batches, chunk_chars)):
             numbers, borders = word_numbers(texts)
-            keys, counts = chunk_counts(borders, grams(numbers, borders, order)[1], order)
+            keys, counts = chunk_counts(borders, grams(numbers, borders, order, table)[1], order)
             # a chunk that a repeated task cuts otherwise gets another number, so that no answer is mistaken
             own = mixed(np.array([(task << 32) + ordinal], np.uint64) + (keys * counts.astype(np.uint64)).sum(dtype=np.uint64))
-            chunk = int((own | np.uint64(1 << 63)).view(np.int64)[0])
-            for at in range(0, len(texts), 2000):
-                n = len(texts[at: at + 2000])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([chunk] * n), pa.array([chunk] * n), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()),
-                    pa.nulls(n, pa.binary()), pa.array(ids[at: at + n], pa.int64()), pa.array(texts[at: at + n], pa.string()),
-                ], schema=schema)
-            place = ranges(keys, buckets)
-            cuts = np.flatnonzero(np.diff(place, prepend=-1)) if len(keys) else np.empty(0, np.int64)
+            chunk = int((own | _HASHED).view(np.int64)[0])
+            for at in range(0, len(texts), 5000):
+                part = pa.record_batch([pa.array(ids[at: at + 5000], pa.int64()), pa.array(texts[at: at + 5000], pa.string())], ["doc_id", "text"])
+                with pa.BufferOutputStream() as out:
+                    with pa.ipc.new_stream(out, part.schema) as writer:
+                        writer.write_batch(part)
+                    raw = packed(out.getvalue().to_pybytes())
+                yield blocks([chunk], chunk, None, [None], [raw], [None])
+            if not len(keys):
+                continue
+            kind, place = table.ranges(keys, buckets)
+            cuts = np.flatnonzero(np.diff(kind * buckets + place, prepend=-1))
             ends = np.append(cuts[1:], len(keys))
             for at in range(0, len(cuts), 500):
-                some = list(zip(cuts[at: at + 500].tolist(), ends[at: at + 500].tolist(), strict=True))
-                home = place[cuts[at: at + 500]]
-                first = [(int(b) << 64) // buckets & ~0xFFFFFFFF for b in home]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(home), pa.array([chunk] * len(some)), pa.array(home),
-                    pa.array([narrow(np.diff(keys[a:b], prepend=np.uint64(f))) for (a, b), f in zip(some, first, strict=True)], pa.binary()),
-                    pa.array([narrow(counts[a:b]) for a, b in some], pa.binary()),
-                    pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.string()),
-                ], schema=schema)
+                a, b = cuts[at: at + 500], ends[at: at + 500]
+                yield blocks(
+                    place[a], chunk, np.arange(at, at + len(a)), keys[a].view(np.int64),
+                    [narrow(np.diff(keys[i:j], prepend=keys[i])) for i, j in zip(a.tolist(), b.tolist(), strict=True)],
+                    [narrow(counts[i:j]) for i, j in zip(a.tolist(), b.tolist(), strict=True)],
+                )
         give_back()
 
+    def blocks(route, chunk, block, first, keys, counts) -> pa.RecordBatch:
+        n = len(keys)
+        number = pa.nulls(n, pa.int64()) if block is None else pa.array(block, pa.int64())
+        return pa.record_batch([
+            pa.array(route, pa.int64()), pa.array([chunk] * n, pa.int64()), number, pa.array(first, pa.int64()),
+            pa.array(keys, pa.binary()), pa.array(counts, pa.binary()),
+        ], ["route", "chunk", "block", "first", "keys", "counts"])
+
     return rows.mapInArrow(run, BLOCKS)
 
 
-def answered(blocks: DataFrame, buckets: int) -> DataFrame:
-    """``ANSWERS``: totals of the n-grams of every block, in the block's order; texts pass."""
+def answered(rows: DataFrame) -> DataFrame:
+    """``ANSWERS``: totals of the n-grams of every block, in the block's order; texts pass in ``counts``."""
 
-    def run(block: pa.Table) -> pa.Table:
-        kept = block.select(["chunk", "bucket", "counts", "doc_id", "text"])
-        home = block["bucket"][0].as_py()
-        if home is None:
-            return kept
-        first = np.uint64((home << 64) // buckets & ~0xFFFFFFFF)
-        keys = [np.cumsum(widened(raw), dtype=np.uint64) + first for raw in block["keys"].to_pylist()]
-        counts = np.concatenate([widened(raw) for raw in block["counts"].to_pylist()])
+    def run(group: pa.Table) -> pa.Table:
+        if group["block"][0].as_py() is None:
+            return pa.table([group["chunk"], group["block"], group["keys"]], ["chunk", "block", "counts"])
+        firsts = group["first"].to_numpy().view(np.uint64)
+        keys = [np.cumsum(widened(raw), dtype=np.uint64) + f for raw, f in zip(group["keys"].to_pylist(), firsts, strict=True)]
+        counts = np.concatenate([widened(raw) for raw in group["counts"].to_pylist()])
         _, place = np.unique(np.concatenate(keys), return_inverse=True)
         totals = np.zeros(int(place.max()) + 1, np.uint64)
         np.add.at(totals, place, counts)
         each = np.split(totals[place], np.cumsum([len(k) for k in keys])[:-1])
-        return kept.set_column(2, "counts", pa.array([narrow(t) for t in each], pa.binary()))
+        return group.select(["chunk", "block"]).append_column("counts", pa.array([narrow(t) for t in each], pa.binary()))
 
-    return blocks.groupBy("route").applyInArrow(run, ANSWERS)
+    return rows.groupBy("route").applyInArrow(run, ANSWERS)
 
 
 def micro(counts: np.ndarray) -> np.ndarray:
     return np.floor(np.log(counts) * 1e6 + 0.5).astype(np.int64)
 
 
-def chunk_scores(texts: list, totals: np.ndarray, order: int, discount: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def chunk_scores(texts: list, totals: np.ndarray, order: int, ranks: Ranks, discount: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words, words that back off, score in millionths) of each text of a chunk."""
     numbers, borders = word_numbers(texts)
-    row, each = grams(numbers, borders, order)
+    row, each = grams(numbers, borders, order, ranks)
     keys, _ = chunk_counts(borders, each, order)
     if len(keys) != len(totals):
         raise RuntimeError("a chunk of texts was cut otherwise on a second run: store the table before scoring it")
@@ -219,7 +274,7 @@ def chunk_scores(texts: list, totals: np.ndarray, order: int, discount: float) -
 
 def ngram_scores(
     docs: DataFrame, order: int = 3, discount: float = 0.4, doc_id: str = "doc_id", text: str = "text",
-    chunk_chars: int = 6 << 20, bucket_bytes: int = 6 << 20,
+    shipped: int = 65_536, chunk_chars: int = 6 << 20, bucket_bytes: int = 6 << 20,
 ) -> DataFrame:
     """(doc_id, n_words, n_backed_off, log_score_micro, mean_log_score): natural logarithms; the mean is per word.
 
@@ -227,25 +282,31 @@ def ngram_scores(
     ``n_backed_off`` words were not met after their ``order`` - 1 predecessors there.
     Null, empty and blank texts have no words, a score of 0 and no mean; of rows that share
     a ``doc_id`` (null included) the sums are given; a very long text is a chunk of its own;
-    other columns are ignored; an empty table gives no rows. ``chunk_chars`` and
-    ``bucket_bytes`` bound the memory of a task and change no result.
+    other columns are ignored; an empty table gives no rows. ``shipped`` bounds a broadcast,
+    ``chunk_chars`` and ``bucket_bytes`` the memory of a task; none changes a result.
     """
-    if order < 1 or not 0 < discount <= 1:
-        raise ValueError("order or discount out of range")
+    if order < 1 or not 0 < discount <= 1 or not 0 <= shipped < (1 << BITS) - FIRST:
+        raise ValueError("order, discount or shipped out of range")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // bucket_bytes))
 
+    # (word, count) merged map-side; ``shipped`` rows come to the driver
+    common = counted(rows, lambda numbers, borders: numbers, "text").orderBy(F.desc("n"), "key").limit(shipped).toPandas()
+    words = common["key"].to_numpy(np.int64).view(np.uint64)
+    ranks = Shipped(docs.sparkSession, Ranks(words, common["n"].to_numpy(np.int64)))
+
     def score(chunk: pa.Table) -> pa.Table:
-        texts = chunk.filter(pc.is_null(chunk["bucket"]))
-        blocks = chunk.filter(pc.is_valid(chunk["bucket"])).sort_by("bucket")
+        blocks = chunk.filter(pc.is_valid(chunk["block"])).sort_by("block")
         totals = np.concatenate([np.empty(0, np.uint64), *map(widened, blocks["counts"].to_pylist())])
-        sums = chunk_scores(texts["text"].to_pylist(), totals, order, discount)
+        raws = chunk.filter(pc.is_null(chunk["block"]))["counts"].to_pylist()
+        texts = pa.concat_tables([pa.ipc.open_stream(unpacked(raw)).read_all() for raw in raws])
+        sums = chunk_scores(texts["text"].to_pylist(), totals, order, ranks.value, discount)
         give_back()
         return pa.table([texts["doc_id"].combine_chunks(), *(pa.array(s, pa.int64()) for s in sums)],
                         names=["doc_id", "n_words", "n_backed_off", "log_score_micro"])
 
-    answers = answered(exploded(rows, order, buckets, chunk_chars), buckets)
+    answers = answered(exploded(rows, order, ranks, buckets, chunk_chars))
     scored = answers.groupBy("chunk").applyInArrow(score, SCORES)
     summed = scored.groupBy("doc_id").agg(*(F.sum(c).alias(c) for c in ("n_words", "n_backed_off", "log_score_micro")))
     mean = F.col("log_score_micro") / F.lit(1e6) / F.nullif("n_words", F.lit(0))

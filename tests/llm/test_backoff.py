@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from earshot.llm.backoff import narrow, ngram_scores, ranges, widened
+from earshot.llm.backoff import BITS, Ranks, narrow, ngram_scores, widened
 from earshot.llm.queries import QUERIES
 
 
@@ -62,12 +62,14 @@ ROWS = [
 ]
 
 
-@pytest.mark.parametrize("order, chunk, bucket", [(3, 6 << 20, 6 << 20), (3, 1, 90), (1, 100, 1000), (2, 200, 3000), (4, 300, 700)])
-def test_equals_plain_counts(spark, order, chunk, bucket):
+@pytest.mark.parametrize("order, shipped, chunk, bucket", [
+    (3, 65_536, 6 << 20, 6 << 20), (3, 4, 1, 90), (3, 0, 100, 500), (1, 3, 100, 1000), (2, 5, 200, 3000), (4, 6, 300, 700), (5, 100, 90, 90),
+])
+def test_equals_plain_counts(spark, order, shipped, chunk, bucket):
     docs = spark.createDataFrame(
-        [(i, t, 0, 0) for i, t in ROWS], "doc_id long, text string, chunk long, bucket long"
+        [(i, t, 0, 0) for i, t in ROWS], "doc_id long, text string, chunk long, block long"
     ).repartition(3)
-    rows = ngram_scores(docs, order, chunk_chars=chunk, bucket_bytes=bucket).collect()
+    rows = ngram_scores(docs, order, shipped=shipped, chunk_chars=chunk, bucket_bytes=bucket).collect()
     assert {r["doc_id"]: [r["n_words"], r["n_backed_off"], r["log_score_micro"]] for r in rows} == plain(ROWS, order)
     assert all((r["mean_log_score"] is None) == (r["n_words"] == 0) for r in rows) and len(rows) == 11
     assert ngram_scores(docs.limit(0), order).count() == 0
@@ -100,10 +102,17 @@ def test_blocks_come_back_as_they_were():
     for top in (1, 200, 70_000, 2**40, 2**64 - 1):
         values = rng.integers(0, top, 50, dtype=np.uint64, endpoint=True)
         assert (widened(narrow(values)) == values).all()
-    keys = np.sort(rng.integers(0, 2**64 - 1, 500, dtype=np.uint64))
+    ranks = Ranks(rng.permutation(1000).astype(np.uint64), np.arange(1000, 0, -1))
+    assert (np.sort(ranks.of(np.arange(1000, dtype=np.uint64))) == np.arange(2, 1002)).all()
+    some = rng.integers(1, 1002, (3, 5000)).astype(np.uint64)
+    shift = np.uint64(BITS)
+    pairs = (some[0] << shift) + some[1]
+    hashes = rng.integers(2**63, 2**64 - 1, 5000, dtype=np.uint64)
+    keys = np.unique(np.concatenate([some[0], pairs, (pairs << shift) + some[2], hashes]))
     for buckets in (1, 3, 977):
-        place = ranges(keys, buckets)
-        assert (np.diff(place) >= 0).all() and place.min() >= 0 and place.max() < buckets
+        kind, place = ranks.ranges(keys, buckets)
+        assert set(kind) == {1, 2, 3, 4} and place.min() >= 0 and place.max() < buckets
+        assert (np.diff(kind * buckets + place) >= 0).all()
 
 
 def test_two_shuffles_carry_the_counts(spark, sf_dir):
