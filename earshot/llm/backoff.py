@@ -38,8 +38,8 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import Shipped, give_back, mixed
-from earshot.llm.lm_scores import counted
+from earshot.llm.common import Shipped, give_back, mixed, stored
+from earshot.llm.lm_scores import batches_of, merged
 from earshot.llm.words import text_batches, word_numbers
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -100,8 +100,8 @@ class Ranks:
 
 def grams(
     numbers: np.ndarray, borders: np.ndarray, order: int, ranks: Ranks
-) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-    """(text of every word, [(context, context and word) of every word, for order 1, 2, ...])."""
+) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(text of every word, [keys of the n-grams that end in each word, for order 1, 2, ...])."""
     sizes = np.diff(borders)
     row = np.repeat(np.arange(len(sizes)), sizes)
     place = np.arange(len(numbers)) - np.repeat(borders[:-1], sizes)
@@ -113,19 +113,15 @@ def grams(
         tokens.append(token)
         known.append(rank)
 
-    def key(last: int, first: int) -> np.ndarray:
-        """Keys of the tokens from ``first`` words back to ``last`` words back."""
+    def key(n: int) -> np.ndarray:
         total, ranked, dense = np.zeros(len(numbers), np.uint64), np.zeros(len(numbers), np.uint64), np.ones(len(numbers), bool)
-        for back in range(first, last - 1, -1):
+        for back in range(n - 1, -1, -1):
             total = mixed(total * _ODD + tokens[back])
             ranked = (ranked << np.uint64(BITS)) + known[back].astype(np.uint64)
             dense &= known[back] > 0
-        if first - last >= 3:
-            dense[:] = False
-        return np.where(dense, ranked, total | _HASHED)
+        return np.where(dense & (n <= 3), ranked, total | _HASHED)
 
-    empty = np.zeros(len(numbers), np.uint64)
-    return row, [(key(1, n - 1) if n > 1 else empty, key(0, n - 1)) for n in range(1, order + 1)]
+    return row, [key(n) for n in range(1, order + 1)]
 
 
 def opening(order: int) -> np.ndarray:
@@ -139,7 +135,7 @@ def opening(order: int) -> np.ndarray:
 
 def chunk_counts(borders: np.ndarray, each: list, order: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct n-grams and contexts of a chunk, with their counts."""
-    keys, counts = np.unique(np.concatenate([gram for _, gram in each]), return_counts=True)
+    keys, counts = np.unique(np.concatenate(each), return_counts=True)
     sizes = np.diff(borders)
     if not sizes.any():
         return keys, counts
@@ -163,6 +159,43 @@ def widened(raw: bytes) -> np.ndarray:
     return out.view("<u8").ravel().astype(np.uint64)
 
 
+def common_words(rows: DataFrame, most: int, flush: int = 2 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers, counts) of at most ``most`` of the commonest words of all texts, from the commonest on.
+
+    Every task counts all its words in a bounded table and hands on its ``most`` commonest.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
+
+        def largest(most: int) -> tuple[np.ndarray, np.ndarray]:
+            words, counts = merged(parts)
+            best = np.argsort(-counts, kind="stable")[:most]
+            return words[best], counts[best]
+
+        for _, texts in text_batches(batches):
+            parts.append(np.unique(word_numbers(texts)[0], return_counts=True))
+            held += len(parts[-1][0])
+            if held >= flush:
+                parts = [largest(max(most, flush // 2))]
+                held = len(parts[0][0])
+        if parts:
+            words, counts = largest(most)
+            yield from batches_of(words[counts > 1], counts[counts > 1])
+
+    named = rows.select(F.lit(0).alias("none"), "text").mapInArrow(run, "key long, n long")
+    named = stored(named.groupBy("key").agg(F.sum("n").alias("n")), "common-words")
+    step = F.floor(F.log2("n") * 8)
+    level, total = 0, 0
+    for row in named.groupBy(step.alias("level")).count().orderBy(F.desc("level")).collect():  # a few hundred levels
+        total += row["count"]
+        if total > most:
+            level = row["level"] + 1
+            break
+    rows = named.where(step >= level).orderBy(F.desc("n"), "key").toPandas()  # ``most`` at most
+    return rows["key"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.int64)
+
+
 def exploded(rows: DataFrame, order: int, ranks: Shipped, buckets: int, chunk_chars: int) -> DataFrame:
     """``BLOCKS``: texts with the number of their chunk, and the chunk's n-grams by range."""
 
@@ -231,35 +264,38 @@ def micro(counts: np.ndarray) -> np.ndarray:
 def chunk_scores(texts: list, totals: np.ndarray, order: int, ranks: Ranks, discount: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words, words that back off, score in millionths) of each text of a chunk."""
     numbers, borders = word_numbers(texts)
+    sizes = np.diff(borders)
+    if not len(numbers):
+        return sizes, np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
     row, each = grams(numbers, borders, order, ranks)
-    keys, _ = chunk_counts(borders, each, order)
+    keys, place = np.unique(np.concatenate([*each, opening(order)]), return_inverse=True)
+    del each
     if len(keys) != len(totals):
         raise RuntimeError("a chunk of texts was cut otherwise on a second run: store the table before scoring it")
-    sizes, width = np.diff(borders), len(keys)
+    totals, width = totals.astype(np.int64), len(keys)
+    words, *first_contexts = totals[place[order * len(numbers):]]
+    seen = []
+    for n in range(order):
+        gram = place[n * len(numbers): (n + 1) * len(numbers)]
+        _, pair, own = np.unique(row * width + gram, return_inverse=True, return_counts=True)
+        seen.append(totals[gram] - own[pair])
+    del place, keys
+    first = borders[:-1][sizes > 0]
     score, depth = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
     open_ = np.ones(len(numbers), bool)
     step = micro(np.array([discount]))[0]
 
     def others(n: int) -> np.ndarray:
-        """How often the first n tokens of the n-grams of order n + 1 occur in other texts."""
+        """How often the n tokens before each word occur in other texts: as the n-gram of the word before."""
         if n == 0:
             return words - sizes[row]
-        context = np.searchsorted(keys, each[n][0])
-        pair = row * width + context
-        at = np.minimum(np.searchsorted(pairs[n], pair), len(pairs[n]) - 1)
-        own = np.where(pairs[n][at] == pair, own_counts[n][at], 1)  # start marks alone: once in every text
-        return totals[context] - own
-
-    totals = totals.astype(np.int64)
-    words = int(totals[np.searchsorted(keys, np.uint64(0))]) if width else 0
-    pairs, own_counts, seen = {}, {}, {}
-    for n in range(1, order + 1):
-        gram = np.searchsorted(keys, each[n - 1][1])
-        pairs[n], place, own_counts[n] = np.unique(row * width + gram, return_inverse=True, return_counts=True)
-        seen[n] = totals[gram] - own_counts[n][place]
+        out = np.roll(seen[n - 1], 1)
+        out[first] = first_contexts[n - 1] - 1  # start marks alone: once in every text
+        return out
+
     for n in range(order, 0, -1):
-        here = np.flatnonzero(open_ & (seen[n] > 0))
-        score[here] = micro(seen[n][here]) - micro(others(n - 1)[here]) + (order - n) * step
+        here = np.flatnonzero(open_ & (seen[n - 1] > 0))
+        score[here] = micro(seen[n - 1][here]) - micro(others(n - 1)[here]) + (order - n) * step
         depth[here] = order - n
         open_[here] = False
     if open_.any():
@@ -274,7 +310,7 @@ def chunk_scores(texts: list, totals: np.ndarray, order: int, ranks: Ranks, disc
 
 def ngram_scores(
     docs: DataFrame, order: int = 3, discount: float = 0.4, doc_id: str = "doc_id", text: str = "text",
-    shipped: int = 65_536, chunk_chars: int = 6 << 20, bucket_bytes: int = 6 << 20,
+    shipped: int = 65_536, chunk_chars: int = 4 << 20, bucket_bytes: int = 4 << 20,
 ) -> DataFrame:
     """(doc_id, n_words, n_backed_off, log_score_micro, mean_log_score): natural logarithms; the mean is per word.
 
@@ -291,10 +327,8 @@ def ngram_scores(
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // bucket_bytes))
 
-    # (word, count) merged map-side; ``shipped`` rows come to the driver
-    common = counted(rows, lambda numbers, borders: numbers, "text").orderBy(F.desc("n"), "key").limit(shipped).toPandas()
-    words = common["key"].to_numpy(np.int64).view(np.uint64)
-    ranks = Shipped(docs.sparkSession, Ranks(words, common["n"].to_numpy(np.int64)))
+    words, counts = common_words(rows, shipped)
+    ranks = Shipped(docs.sparkSession, Ranks(words, counts))
 
     def score(chunk: pa.Table) -> pa.Table:
         blocks = chunk.filter(pc.is_valid(chunk["block"])).sort_by("block")

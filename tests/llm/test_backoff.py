@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from earshot.llm.backoff import BITS, Ranks, narrow, ngram_scores, widened
+from earshot.llm.backoff import BITS, Ranks, common_words, narrow, ngram_scores, widened
 from earshot.llm.queries import QUERIES
 
 
@@ -119,3 +119,10 @@ def test_two_shuffles_carry_the_counts(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     plan = ngram_scores(docs)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 3 and "Join" not in plan  # the third adds up a document's rows
+
+
+def test_common_words_are_bounded(spark):
+    docs = spark.createDataFrame([(i, "a " * 9 + "b " * 5 + "c c d d " + f"e{i}") for i in range(4)], "doc_id long, text string")
+    assert [len(common_words(docs, most)[0]) for most in (0, 1, 2, 3, 100)] == [0, 1, 2, 3, 4]  # of equals in a task, the smaller number
+    assert common_words(docs, 100)[1].tolist() == [36, 20, 8, 8]
+    assert len(common_words(docs.limit(0), 5)[0]) == 0
