@@ -37,13 +37,15 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import Shipped, mixed
+from earshot.llm.common import Shipped, give_back, mixed
 from earshot.llm.words import text_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _WORD = re.compile(r"\w+")
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
+#: Characters of text that are worked on at once.
+RUN = 4 << 20
 MATCHES = "doc_id long, item_id long, distance int, item_words int, first_word long, last_word long"
 
 
@@ -305,13 +307,14 @@ def matches(
     def of(finder_of) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             finder = finder_of.value
-            for ids, texts in text_batches(batches, 16 << 20):
+            for ids, texts in text_batches(batches, RUN):
                 found = [(ids[t], finder.ids[i], d, len(finder.items[i]), a, b) for t, i, d, a, b in finder.find(texts)]
                 if found:
                     names = [c.split()[0] for c in MATCHES.split(", ")]
                     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
                     columns = [pa.array(c, t) for c, t in zip(zip(*found, strict=True), kinds, strict=True)]
                     yield pa.RecordBatch.from_arrays(columns, names=names)
+            give_back()
 
         return rows.mapInArrow(run, MATCHES)
 
@@ -333,13 +336,14 @@ def contaminated(
                 values = [t or "" for t in batch]
                 while at < len(values):
                     end, size = at, 0
-                    while end < len(values) and size < (16 << 20):
+                    while end < len(values) and size < RUN:
                         size += len(values[end]) + 64
                         end += 1
                     for found in finder.find(values[at:end]):
                         flags[at + found[0]] = True
                     at = end
                 yield pd.Series(flags)
+            give_back()
 
         return run(text)
 

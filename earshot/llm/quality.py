@@ -24,7 +24,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm.common import Shipped
+from earshot.llm.common import Shipped, give_back
 from earshot.llm.words import text_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -90,6 +90,7 @@ def document_frequencies(docs: DataFrame, buckets: int, text: str = "text") -> t
             total[buckets] += len(texts)
         if total[buckets]:
             yield pa.RecordBatch.from_pydict({"bucket": np.arange(buckets + 1, dtype=np.int32), "n": total})
+        give_back()
 
     parts = docs.select(F.lit(0).alias("none"), F.col(text)).mapInArrow(run, "bucket int, n long")
     rows = parts.groupBy("bucket").agg(F.sum("n").alias("n")).collect()  # buckets + 1 rows at most
@@ -202,6 +203,7 @@ def score_of(text: Column, model: Model) -> Column:
                 rows = features(trigram_counts(part, buckets), style_rates(part), fitted.weights)
                 scores.append(vote(latent(rows, fitted.axes), fitted))
             yield pd.Series(np.clip(np.concatenate(scores), 0.0, 1.0))
+        give_back()
 
     return run(F.coalesce(text, F.lit("")))
 
