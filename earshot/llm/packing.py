@@ -27,6 +27,8 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from earshot.llm.common import give_back
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PIECES = (
@@ -43,6 +45,24 @@ _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 _CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
 
+class Kept(dict):
+    """string -> ids, emptied before it holds more than ``keep`` bytes; an entry counts for 160 more."""
+
+    def __init__(self, keep: int):
+        super().__init__()
+        self.keep, self.held = keep, 0
+
+    def put(self, name: str, ids: bytes) -> None:
+        size = len(name) + len(ids) + 160
+        if size > self.keep:
+            return
+        if self.held + size > self.keep:
+            self.clear()
+            self.held = 0
+        self[name] = ids
+        self.held += size
+
+
 class WordEncoder:
     """Ids of whole texts from ids of words, exactly as the tokenizer file gives them.
 
@@ -50,15 +70,15 @@ class WordEncoder:
     the ids of a text are those of its words in turn. Words of plain characters are
     cut and looked up piece by piece; every other word (combining marks, foreign
     scripts, the special strings) goes through the whole tokenizer. Both tables are
-    caches: emptied when full, they only save time.
+    caches of ``keep`` bytes each: emptied when full, they only save time.
     """
 
-    def __init__(self, path: str, keep: int = 300_000):
+    def __init__(self, path: str, keep: int = 16 << 20):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.keep, self.words, self.pieces = keep, {"": b""}, {}
+        self.words, self.pieces = Kept(keep), Kept(keep)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
         hidden = (b for b in range(256) if b not in visible)
@@ -67,9 +87,7 @@ class WordEncoder:
     def piece(self, piece: str) -> bytes:
         name = piece.encode().decode("latin-1").translate(self.byte_names)
         ids = np.array([t.id for t in self.model.tokenize(name)], "<u4").tobytes()
-        if len(self.pieces) >= self.keep:
-            self.pieces.clear()
-        self.pieces[piece] = ids
+        self.pieces.put(piece, ids)
         return ids
 
     def word(self, word: str) -> bytes:
@@ -78,10 +96,7 @@ class WordEncoder:
             ids = b"".join([known.get(p) or self.piece(p) for p in _CUT.findall(word.lower())])
         else:
             ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self.words) >= self.keep:
-            self.words.clear()
-            self.words[""] = b""
-        self.words[word] = ids
+        self.words.put(word, ids)
         return ids
 
     def __call__(self, text: str) -> bytes:
@@ -211,5 +226,7 @@ def pack(
         if pool:
             made += close()
         yield from out.rest()
+        del encode, pool
+        give_back()
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, PIECES)

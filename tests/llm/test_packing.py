@@ -16,7 +16,7 @@ def encoders():
     from tokenizers import Tokenizer
 
     path = tokenizer_file("word_bpe_49k.json")
-    return WordEncoder(path, keep=50), Tokenizer.from_file(path)
+    return WordEncoder(path, keep=1000), Tokenizer.from_file(path)
 
 
 ODD = [
@@ -39,6 +39,14 @@ def test_ids_of_any_text(encoders, text):
     assert np.frombuffer(own(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_caches_are_bounded_by_bytes(encoders):
+    own, library = encoders
+    words = [f"{'x' * (i % 1500)}{i}y" for i in range(3000)]
+    assert np.frombuffer(own(" ".join(words)), "<u4").tolist() == library.encode(" ".join(words), add_special_tokens=False).ids
+    for kept in (own.words, own.pieces):
+        assert kept.held == sum(len(k) + len(v) + 160 for k, v in kept.items()) <= 1000
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(1, 100), min_size=1, max_size=60))
 def test_no_window_overflows(sizes):
