@@ -46,19 +46,29 @@ _CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-
 
 
 class Kept(dict):
-    """string -> ids, emptied before it holds more than ``keep`` bytes; an entry counts for 160 more."""
+    """string -> ids, at most ``keep`` bytes; an entry counts for 160 more.
+
+    Half of the room is for the entries put last. When it is full they become the older
+    half, whose entries return when asked for; so common strings stay.
+    """
 
     def __init__(self, keep: int):
         super().__init__()
-        self.keep, self.held = keep, 0
+        self.room, self.held, self.older = keep // 2, 0, {}
+
+    def again(self, name: str) -> bytes | None:
+        ids = self.older.get(name)
+        if ids is not None:
+            self.put(name, ids)
+        return ids
 
     def put(self, name: str, ids: bytes) -> None:
         size = len(name) + len(ids) + 160
-        if size > self.keep:
+        if size > self.room:
             return
-        if self.held + size > self.keep:
+        if self.held + size > self.room:
+            self.older, self.held = dict(self), 0
             self.clear()
-            self.held = 0
         self[name] = ids
         self.held += size
 
@@ -70,10 +80,10 @@ class WordEncoder:
     the ids of a text are those of its words in turn. Words of plain characters are
     cut and looked up piece by piece; every other word (combining marks, foreign
     scripts, the special strings) goes through the whole tokenizer. Both tables are
-    caches of ``keep`` bytes each: emptied when full, they only save time.
+    caches of ``keep`` bytes each, which only save time.
     """
 
-    def __init__(self, path: str, keep: int = 16 << 20):
+    def __init__(self, path: str, keep: int = 64 << 20):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -85,12 +95,16 @@ class WordEncoder:
         self.byte_names = {b: 256 + i for i, b in enumerate(hidden)}
 
     def piece(self, piece: str) -> bytes:
+        if (ids := self.pieces.again(piece)) is not None:
+            return ids
         name = piece.encode().decode("latin-1").translate(self.byte_names)
         ids = np.array([t.id for t in self.model.tokenize(name)], "<u4").tobytes()
         self.pieces.put(piece, ids)
         return ids
 
     def word(self, word: str) -> bytes:
+        if (ids := self.words.again(word)) is not None:
+            return ids
         if _PLAIN.fullmatch(word) and not any(s in word for s in self.specials):
             known = self.pieces
             ids = b"".join([known.get(p) or self.piece(p) for p in _CUT.findall(word.lower())])

@@ -44,7 +44,8 @@ def test_caches_are_bounded_by_bytes(encoders):
     words = [f"{'x' * (i % 1500)}{i}y" for i in range(3000)]
     assert np.frombuffer(own(" ".join(words)), "<u4").tolist() == library.encode(" ".join(words), add_special_tokens=False).ids
     for kept in (own.words, own.pieces):
-        assert kept.held == sum(len(k) + len(v) + 160 for k, v in kept.items()) <= 1000
+        assert kept.held == sum(len(k) + len(v) + 160 for k, v in kept.items()) <= 500
+        assert sum(len(k) + len(v) + 160 for k, v in kept.older.items()) <= 500
 
 
 @settings(max_examples=100, deadline=None)
