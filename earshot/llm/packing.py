@@ -83,7 +83,7 @@ class WordEncoder:
     caches of ``keep`` bytes each, which only save time.
     """
 
-    def __init__(self, path: str, keep: int = 64 << 20):
+    def __init__(self, path: str, keep: int = 128 << 20):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
