@@ -9,6 +9,7 @@ another in the message, whatever lies between two words. So ``app`` is not found
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -17,10 +18,14 @@ from pyspark.sql import functions as F
 from earshot.functions.labels import lookup
 from earshot.functions.text import WORDS, bind, tokens
 from earshot.operators.lexicon import aspects_of, themes_of
+from earshot.session import scratch_dir
 
 #: Rows of a phrase table that are broadcast; a longer one is joined by a shuffle.
 BROADCAST_PHRASES = 500_000
 
+#: Characters of messages whose hits one task gathers, so that its memory does not grow with the table.
+TASK_CHARS = 6_000_000
+
 
 def phrase_table(
     lexicon: DataFrame, aspects: Mapping[str, str | None] | None = None, pattern: str = WORDS
@@ -30,9 +35,11 @@ def phrase_table(
     Phrases of the same words are one: it keeps its first place and its last meaning. A
     phrase without a word matches nothing and is left out. Without ``aspects`` all aspects are null.
     """
-    words = lexicon.select("ord", "theme", "sentiment", tokens(F.col("phrase"), pattern).alias("words"))
+    # equal rows first, by hash: only different ones are cut into words and sorted
+    rows = lexicon.groupBy("phrase", "theme", "sentiment").agg(F.min("ord").alias("ord"), F.max("ord").alias("last"))
+    words = rows.select("ord", "last", "theme", "sentiment", tokens(F.col("phrase"), pattern).alias("words"))
     merged = words.where(F.size("words") > 0).groupBy("words").agg(
-        F.min("ord").alias("ord"), F.max_by(F.struct("theme", "sentiment"), F.col("ord")).alias("meaning")
+        F.min("ord").alias("ord"), F.max_by(F.struct("theme", "sentiment"), F.col("last")).alias("meaning")
     )
     known = {theme: aspect for theme, aspect in (aspects or {}).items() if aspect is not None}
     aspect = lookup(F.col("meaning.theme"), known) if known else F.lit(None).cast("string")
@@ -46,9 +53,23 @@ def _small(table: DataFrame, most: int) -> DataFrame:
     return F.broadcast(table) if table.agg(F.count(F.lit(1))).first()[0] <= most else table
 
 
+def by_key(messages: DataFrame, keys: Sequence[str], text: str, task_chars: int = TASK_CHARS) -> DataFrame:
+    """(keys, text), rows of equal keys in one task, in as many tasks as the text asks for.
+
+    The messages are written once: their length is measured on what is read again.
+    """
+    path = scratch_dir(messages.sparkSession, "messages")
+    rows = messages.select(*keys, text)
+    rows.write.parquet(path)
+    rows = messages.sparkSession.read.schema(rows.schema).parquet(path)
+    chars = rows.agg(F.sum(F.length(text))).first()[0] or 0
+    cores = messages.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(cores, math.ceil(chars / task_chars)), *keys)
+
+
 def word_hits(
     messages: DataFrame, keys: Sequence[str], text: str, phrases: DataFrame, pattern: str = WORDS,
-    broadcast_rows: int = BROADCAST_PHRASES,
+    broadcast_rows: int = BROADCAST_PHRASES, task_chars: int = TASK_CHARS,
 ) -> DataFrame:
     """(keys, ord, phrase, theme, sentiment, aspect): the phrases of each message, each once.
 
@@ -56,9 +77,10 @@ def word_hits(
     Starts that begin no phrase fall at the first join, against the phrases' first
     words; from the others n-grams are cut in the lengths that follow their first word,
     and the second join looks these up. Both joins are by equality: up to
-    ``broadcast_rows`` phrases the messages are not shuffled, beyond that Spark shuffles
-    by word and by phrase. Rows that share their keys count as one message.
+    ``broadcast_rows`` phrases only the messages are shuffled, by their keys, beyond that Spark also
+    shuffles by word and by phrase. Rows that share their keys count as one message.
     """
+    messages = by_key(messages, keys, text, task_chars)
     longest = phrases.agg(F.max("length")).first()[0] or 1
     starts = phrases.groupBy(F.col("first").alias("_first")).agg(F.collect_set("length").alias("_lengths"))
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from earshot.catalogue import Phrase
-from earshot.operators.phrases import phrase_table, tag_messages_by_words, word_hits
+from earshot.operators.phrases import by_key, phrase_table, tag_messages_by_words, word_hits
 from earshot.plans import chain
 from earshot.sources.tables import lexicon_frame
 
@@ -87,3 +87,24 @@ def test_the_chain_takes_the_mode(spark):
         chain.tag_aspects(messages, chain.Settings(phrase_match="fuzzy"))
     plain = chain.tag_aspects(messages.select("feedback_id", F.lit("nothing").alias("text")), chain.Settings())
     assert plain.first()["n_aspects_detected"] == 0
+
+
+def test_tasks_grow_in_number_with_the_text(spark):
+    messages = spark.range(3000).selectExpr("id % 1000 AS id", "'the late delivery' AS text")
+    cores = spark.sparkContext.defaultParallelism
+    assert by_key(messages, ["id"], "text").rdd.getNumPartitions() == cores
+    rows = by_key(messages, ["id"], "text", task_chars=1000)
+    assert rows.rdd.getNumPartitions() == 51  # 3000 x 17 characters
+    where = rows.select("id", F.spark_partition_id().alias("part")).distinct()
+    assert where.count() == 1000  # the rows of a key lie together
+    phrases = phrase_table(lexicon_frame(spark, LEXICON), ASPECTS)
+    hits = word_hits(messages, ["id"], "text", phrases, task_chars=1000)
+    assert hits.count() == hits.distinct().count() == 2000  # "late" and "late delivery" of each key
+
+
+def test_equal_phrases_are_merged_before_they_are_cut(spark):
+    rows = [(3, "late", "a", "neutral"), (1, "late", "a", "neutral"), (2, "LATE", "b", "neutral"), (None, "app", "c", None), (5, None, "d", "x")]
+    table = phrase_table(spark.createDataFrame(rows * 2, "ord int, phrase string, theme string, sentiment string"))
+    assert {tuple(r)[:1] + tuple(r)[3:5] for r in table.collect()} == {("late", 1, "a"), ("app", None, None)}
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[phrase" in plan
