@@ -30,6 +30,18 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+#: Columns up to which a product goes column by column; wider ones read whole rows of the dense side.
+NARROW = 16
+
+
+def add_products(to: np.ndarray, of: np.ndarray, val: np.ndarray, dense: np.ndarray, into: np.ndarray) -> None:
+    """into[t] += the sum of val * dense[of] over the cells of each t; ``to`` is in ascending order."""
+    dense = np.ascontiguousarray(dense)
+    borders = np.flatnonzero(np.diff(to, prepend=-1, append=-1)).tolist()
+    for a, b in zip(borders, borders[1:]):
+        into[to[a]] += val[a:b] @ dense[of[a:b]]
+
+
 @dataclass(frozen=True)
 class Cells:
     """A batch of sparse rows as flat arrays."""
@@ -53,7 +65,11 @@ class Cells:
         )
 
     def times(self, small: np.ndarray) -> np.ndarray:
-        """rows @ small, one column at a time to stay within O(cells) memory."""
+        """rows @ small: a wide one row by row, a narrow one column by column, in O(cells) memory."""
+        if small.shape[1] > NARROW:
+            out = np.zeros((self.n, small.shape[1]))
+            add_products(self.row, self.idx, self.val, small, out)
+            return out
         out = np.empty((self.n, small.shape[1]))
         for j in range(small.shape[1]):
             out[:, j] = np.bincount(self.row, self.val * small[self.idx, j], minlength=self.n)
@@ -61,6 +77,11 @@ class Cells:
 
     def add_transposed(self, dense: np.ndarray, into: np.ndarray) -> None:
         """into += rows.T @ dense."""
+        if dense.shape[1] > NARROW:
+            kind = np.uint16 if len(into) <= 1 << 16 else np.int64  # short numbers are sorted by digits
+            order = np.argsort(self.idx.astype(kind), kind="stable")
+            add_products(self.idx[order], self.row[order], self.val[order], dense, into)
+            return
         for j in range(dense.shape[1]):
             into[:, j] += np.bincount(self.idx, self.val * dense[self.row, j], minlength=len(into))
 

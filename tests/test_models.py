@@ -276,3 +276,26 @@ def test_class_weights_are_balanced(reviews):
     weighted, n = classifiers.with_class_weights(reviews, "truth", ("negative", "neutral", "positive"))
     got = {r.truth: r.w for r in weighted.groupBy("truth").agg(F.sum("class_weight").alias("w")).collect()}
     assert n == 240 and all(abs(w - 80) < 1e-9 for w in got.values())
+
+
+@pytest.mark.parametrize("width", [1, factors.NARROW, factors.NARROW + 1, 110])
+def test_products_of_any_width(width):
+    rng = np.random.default_rng(3)
+    a = rng.random((40, 30)) * (rng.random((40, 30)) < 0.2)
+    a[[0, 7, 39]] = 0.0  # empty rows at both ends and within
+    a[:, [0, 29]] = 0.0
+    row, idx = np.nonzero(a)
+    cells = factors.Cells(row, idx, a[row, idx], len(a))
+    small, dense, into = rng.random((30, width)), rng.random((40, width)), np.ones((30, width))
+    assert np.allclose(cells.times(small), a @ small)
+    cells.add_transposed(dense, into)
+    assert np.allclose(into, 1.0 + a.T @ dense)
+    none = factors.Cells(row[:0], idx[:0], row[:0].astype(float), 2)
+    assert none.times(small).shape == (2, width) and not none.times(small).any()
+
+
+def test_wide_products_read_rows_of_the_dense_side(monkeypatch):
+    cells = factors.Cells(np.array([0, 1, 1]), np.array([2, 0, 2]), np.array([1.0, 2.0, 3.0]), 2)
+    monkeypatch.setattr(np, "bincount", None)  # the way column by column
+    cells.times(np.ones((3, 110)))
+    cells.add_transposed(np.ones((2, 110)), np.zeros((3, 110)))
