@@ -55,21 +55,16 @@ def english_stop_words() -> tuple[str, ...]:
 def term_frequencies(docs: DataFrame, text: str, rules: TermRules) -> DataFrame:
     """(term, df, cf): documents that hold a term, and its occurrences.
 
-    Each document emits its terms and, marked, its distinct terms. Both are
-    merged by term map-side, so the shuffle carries one row per term and task
-    and never (document, term) pairs.
+    Each document emits two lists, its terms and its distinct terms, which are taken
+    apart without a row made for each term. Both are merged by term map-side, so the
+    shuffle carries one row per term and task and never (document, term) pairs.
     """
-    marked = bind(
-        rules.terms(F.col(text)),
-        lambda words: F.concat(
-            F.transform(words, lambda w: F.struct(w.alias("term"), F.lit(0).alias("first"))),
-            F.transform(F.array_distinct(words), lambda w: F.struct(w.alias("term"), F.lit(1).alias("first"))),
-        ),
-    )
+    lists = bind(rules.terms(F.col(text)), lambda words: F.array(words, F.array_distinct(words)))
     return (
-        docs.select(F.explode(marked).alias("m"))
-        .groupBy("m.term")
-        .agg(F.sum("m.first").alias("df"), F.sum(1 - F.col("m.first")).alias("cf"))
+        docs.select(F.posexplode(lists).alias("first", "terms"))
+        .select("first", F.explode("terms").alias("term"))
+        .groupBy("term")
+        .agg(F.sum("first").alias("df"), F.sum(1 - F.col("first")).alias("cf"))
     )
 
 

@@ -299,3 +299,13 @@ def test_wide_products_read_rows_of_the_dense_side(monkeypatch):
     monkeypatch.setattr(np, "bincount", None)  # the way column by column
     cells.times(np.ones((3, 110)))
     cells.add_transposed(np.ones((2, 110)), np.zeros((3, 110)))
+
+
+def test_terms_are_counted_without_a_row_made_for_each(spark):
+    docs = spark.createDataFrame([("aa bb aa",), (None,), ("",), ("bb cc",), ("aa bb aa",)], "text string")
+    found = features.term_frequencies(docs, "text", features.TermRules(grams=2))
+    assert found.columns == ["term", "df", "cf"]
+    assert {tuple(r) for r in found.collect()} == {
+        ("aa", 2, 4), ("bb", 3, 3), ("cc", 1, 1), ("aa bb", 2, 2), ("bb aa", 2, 2), ("bb cc", 1, 1),
+    }
+    assert "named_struct" not in found._jdf.queryExecution().optimizedPlan().toString()
