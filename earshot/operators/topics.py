@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 import numpy as np
 from pyspark import StorageLevel
@@ -37,8 +37,16 @@ class Corpus:
     def terms(self) -> tuple[str, ...]:
         return self.features.terms
 
+    @cached_property
+    def counted(self) -> DataFrame:
+        """(doc, counts): kept for the rounds of LDA and for what it assigns, so that no text is cut again."""
+        docs = self.docs.select(self.doc, self.text)
+        return self.features.counts(docs, self.text).drop(self.text).persist(StorageLevel.MEMORY_AND_DISK)
+
     def release(self) -> None:
         self.rows.unpersist()
+        if "counted" in self.__dict__:
+            self.counted.unpersist()
 
 
 def corpus(docs: DataFrame, doc: str, text: str, rules: TermRules = TOPIC_TERMS) -> Corpus:
@@ -74,14 +82,11 @@ def by_lda(
     A batch holds ``share`` of the corpus, at any size of it, so the number of
     rounds is ``passes / share`` and does not grow with the corpus.
     """
-    counted = data.features.counts(data.docs.select(data.doc, data.text), data.text).drop(data.text)
-    counted = counted.persist(StorageLevel.MEMORY_AND_DISK)
     model = LDA(
         k=k, featuresCol="counts", maxIter=math.ceil(passes / share), optimizer="online",
         subsamplingRate=share, learningOffset=10.0, learningDecay=0.7, seed=seed,
-    ).fit(counted)
-    counted.unpersist()
-    out = model.transform(data.features.counts(data.docs.select(data.doc, data.text), data.text))
+    ).fit(data.counted)
+    out = model.transform(data.counted)
     found = vector_to_array("topicDistribution")
     # a document without any known term belongs to all topics alike
     alike = F.array_repeat(F.lit(1.0 / k), k)

@@ -149,6 +149,11 @@ def test_lda_topics(corpus, truth):
     assert all(abs(sum(r.weights) - 1) < 1e-6 and r.topic == int(np.argmax(r.weights)) for r in rows)
 
 
+def test_lda_assigns_without_cutting_the_text_again(corpus):
+    plan = topics.by_lda(corpus, 2, passes=1).assigned._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("regexp_extract_all") > plan.index("InMemoryRelation")  # only below what is kept
+
+
 def test_embedding_clusters(corpus, truth):
     embedded = topics.lsa_embedding(corpus, 20)
     assert len(embedded.first().embedding) == 20
