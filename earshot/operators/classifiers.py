@@ -68,9 +68,10 @@ class TrainingSet:
 
         Every task of every round sends back a dense gradient (classes x
         features), which only pays off over enough rows. Merging partitions
-        moves no data; a large set keeps all of its partitions.
+        moves no data; the tasks of a large set follow the cluster, not the set.
         """
-        return self.rows.coalesce(max(1, math.ceil(self.n / rows_per_task)))
+        cores = self.rows.sparkSession.sparkContext.defaultParallelism
+        return self.rows.coalesce(max(1, min(math.ceil(self.n / rows_per_task), 2 * cores)))
 
     def release(self) -> None:
         self.rows.unpersist()

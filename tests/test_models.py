@@ -314,3 +314,12 @@ def test_terms_are_counted_without_a_row_made_for_each(spark):
         ("aa", 2, 4), ("bb", 3, 3), ("cc", 1, 1), ("aa bb", 2, 2), ("bb aa", 2, 2), ("bb cc", 1, 1),
     }
     assert "named_struct" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tasks_of_a_round_follow_the_cluster(spark):
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(0, 500, numPartitions=5 * cores)
+    large = classifiers.TrainingSet(rows, 10_000_000, None, "text", ("a",))
+    assert large.batches().rdd.getNumPartitions() == 2 * cores
+    assert large.batches().count() == 500
+    assert classifiers.TrainingSet(rows, 500, None, "text", ("a",)).batches().rdd.getNumPartitions() == 1
