@@ -405,10 +405,15 @@ def open_lists(index: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def to_main(index: DataFrame, turn: int, percent: int) -> DataFrame:
-    """(a, b): documents outside the commonest group of a list, with a member of that group; another each turn."""
+    """(a, b): documents outside the commonest group of a list, with a member of that group; another each turn.
+
+    Every other turn, the first included, takes a member with the fewest shingles before the list's own, where
+    edited copies have theirs: it is near the middle of the group, and what is near any member is near it most often.
+    """
     chance = F.xxhash64("doc_id", "key", F.lit(turn))
+    edits = F.lit(0) if turn % 2 else F.col("n") - F.col("rest")
     inside = index.where("component = main").groupBy("key").agg(
-        F.min(F.struct(chance.alias("chance"), "doc_id", "n", "rest")).alias("inside")
+        F.min(F.struct(edits.alias("edits"), chance.alias("chance"), "doc_id", "n", "rest")).alias("inside")
     )
     inside = inside.select(
         "key", F.col("inside.doc_id").alias("b"), F.col("inside.n").alias("n_b"), F.col("inside.rest").alias("rest_b")

@@ -108,3 +108,10 @@ def test_bitmaps_never_rule_out_a_near_pair():
             assert least == ngram_join.least_difference(two, one) <= apart
             assert np.bitwise_count((signs[0] ^ signs[1]).view(np.uint64)).sum() <= least
             assert n < 1000 or edits < n or least > 0.3 * apart  # and it does rule out strangers
+
+
+def test_the_first_turn_meets_members_near_the_middle(spark):
+    rows = [(1, d, 100, 100 - e, 7 if d < 50 else d, 7) for d, e in [(1, 9), (2, 0), (3, 5), (4, 7), (50, 3), (51, 1)]]
+    index = spark.createDataFrame(rows, "key long, doc_id long, n int, rest int, component long, main long")
+    for turn in (0, 2):
+        assert sorted(tuple(r) for r in ngram_join.to_main(index, turn, 80).collect()) == [(50, 2), (51, 2)]
