@@ -20,14 +20,17 @@ import heapq
 import re
 import sys
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.llm.common import give_back
+from earshot.llm.words import text_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -39,6 +42,9 @@ _ARROW = pa.schema([
     ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary()),
 ])
 
+#: Characters of text that are encoded at once.
+RUN = 1 << 20
+
 #: Characters whose case, normal form and class no library version disputes.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 #: The tokenizer file's own cut of a lower-cased word, over those characters.
@@ -46,31 +52,29 @@ _CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-
 
 
 class Kept(dict):
-    """string -> ids, at most ``keep`` bytes; an entry counts for 160 more.
+    """string -> ids as ``make`` gives them, at most ``keep`` bytes; an entry counts for 160 more.
 
     Half of the room is for the entries put last. When it is full they become the older
     half, whose entries return when asked for; so common strings stay.
     """
 
-    def __init__(self, keep: int):
+    def __init__(self, keep: int, make: Callable[[str], bytes]):
         super().__init__()
-        self.room, self.held, self.older = keep // 2, 0, {}
+        self.room, self.held, self.older, self.make = keep // 2, 0, {}, make
 
-    def again(self, name: str) -> bytes | None:
+    def __missing__(self, name: str) -> bytes:
         ids = self.older.get(name)
-        if ids is not None:
-            self.put(name, ids)
-        return ids
-
-    def put(self, name: str, ids: bytes) -> None:
+        if ids is None:
+            ids = self.make(name)
         size = len(name) + len(ids) + 160
         if size > self.room:
-            return
+            return ids
         if self.held + size > self.room:
             self.older, self.held = dict(self), 0
             self.clear()
         self[name] = ids
         self.held += size
+        return ids
 
 
 class WordEncoder:
@@ -80,47 +84,60 @@ class WordEncoder:
     the ids of a text are those of its words in turn. Words of plain characters are
     cut and looked up piece by piece; every other word (combining marks, foreign
     scripts, the special strings) goes through the whole tokenizer. Both tables are
-    caches of ``keep`` bytes each, which only save time.
+    caches of ``keep`` bytes each, which only save time; they hold no reference to the
+    encoder, so that they go with it at once.
     """
 
     def __init__(self, path: str, keep: int = 128 << 20):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.words, self.pieces = Kept(keep), Kept(keep)
-        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        tokenizer = Tokenizer.from_file(path)
+        tokenize, encode = tokenizer.model.tokenize, tokenizer.encode
         visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
         hidden = (b for b in range(256) if b not in visible)
-        self.byte_names = {b: 256 + i for i, b in enumerate(hidden)}
-
-    def piece(self, piece: str) -> bytes:
-        if (ids := self.pieces.again(piece)) is not None:
-            return ids
-        name = piece.encode().decode("latin-1").translate(self.byte_names)
-        ids = np.array([t.id for t in self.model.tokenize(name)], "<u4").tobytes()
-        self.pieces.put(piece, ids)
-        return ids
-
-    def word(self, word: str) -> bytes:
-        if (ids := self.words.again(word)) is not None:
-            return ids
-        if _PLAIN.fullmatch(word) and not any(s in word for s in self.specials):
-            known = self.pieces
-            ids = b"".join([known.get(p) or self.piece(p) for p in _CUT.findall(word.lower())])
-        else:
-            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        self.words.put(word, ids)
-        return ids
+        byte_names = {b: 256 + i for i, b in enumerate(hidden)}
+        specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        special = re.compile("|".join(map(re.escape, specials)) or "(?!)").search
+        shortest = min(map(len, specials), default=0)
+
+        def of_piece(piece: str) -> bytes:
+            # visible ASCII characters are their own names
+            name = piece if piece.isascii() else piece.encode().decode("latin-1").translate(byte_names)
+            return np.array([t.id for t in tokenize(name)], "<u4").tobytes()
+
+        def of_word(word: str) -> bytes:
+            plain = word.isascii() and word.isprintable() or _PLAIN.fullmatch(word)
+            if plain and (len(word) < shortest or not special(word)):
+                if word.isalpha():  # the cut takes a run of letters whole
+                    return pieces[word.lower()]
+                return b"".join([pieces[p] for p in _CUT.findall(word.lower())])
+            return np.array(encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+        self.pieces = pieces = Kept(keep, of_piece)
+        self.words = Kept(keep, of_word)
 
     def __call__(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids, joined."""
-        known = self.words.get
-        out = []
-        for word in text.replace("\n", " ").split(" "):
-            ids = known(word)
-            out.append(self.word(word) if ids is None else ids)
-        return b"".join(out)
+        return self.many([text])[0]
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text.
+
+        A word is looked up once for all texts given, so that most of the work is on
+        arrays and few lookups go all over the caches.
+        """
+        lists = pc.split_pattern(pa.array([t.replace("\n", " ") for t in texts], pa.large_string()), " ")
+        words = lists.flatten().dictionary_encode()
+        ids = [self.words[word] for word in words.dictionary.to_numpy(zero_copy_only=False)]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts = np.cumsum(lengths) - lengths
+        codes = words.indices.to_numpy()
+        length = lengths[codes]
+        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(length)])
+        places = np.arange(ends[-1]) + np.repeat(starts[codes] - ends[:-1], length)
+        found = np.frombuffer(b"".join(ids), "<u4")[places]
+        borders = ends[lists.offsets.to_numpy()].tolist()
+        return [found[i:j].tobytes() for i, j in pairwise(borders)]
 
 
 def differencing(sizes: list[int], ways: int) -> tuple[list[int], int]:
@@ -193,7 +210,8 @@ def pack(
 ) -> DataFrame:
     """Pieces of all documents with their place in a sequence.
 
-    ``encoder()`` is called once a task and gives the function text -> joined ids.
+    ``encoder()`` is called once a task and gives the function text -> joined ids; if that has
+    a method ``many``, texts -> list of joined ids, it is called for some texts at a time.
     Returns ``PIECES``: ids [start, start + length) of a document lie at ``offset`` of
     ``sequence_id``; every id lies in exactly one piece.
 
@@ -220,9 +238,10 @@ def pack(
                 offsets[place] += length
             return len(offsets)
 
-        for batch in batches:
-            for doc, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encode(content.as_py() or "") + end
+        many = getattr(encode, "many", None) or (lambda texts: [encode(text) for text in texts])
+        for docs_in, texts in text_batches(batches, RUN):
+            for doc, ids in zip(docs_in, many(texts), strict=True):
+                ids += end
                 total = len(ids) // 4
                 start = 0
                 while total - start >= capacity:
@@ -240,7 +259,7 @@ def pack(
         if pool:
             made += close()
         yield from out.rest()
-        del encode, pool
+        del encode, many, pool
         give_back()
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, PIECES)

@@ -48,6 +48,28 @@ def test_caches_are_bounded_by_bytes(encoders):
         assert sum(len(k) + len(v) + 160 for k, v in kept.older.items()) <= 500
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(max_size=30), max_size=8))
+def test_ids_of_several_texts(encoders, texts):
+    own, library = encoders
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in own.many(texts)]
+    assert got == [library.encode(text, add_special_tokens=False).ids for text in texts]
+
+
+def test_a_word_is_looked_up_once_for_many_texts():
+    asked = []
+
+    class Asked(dict):
+        def __missing__(self, word):
+            asked.append(word)
+            return word.encode().ljust(4, b"_")
+
+    own = WordEncoder(tokenizer_file("word_bpe_49k.json"))
+    own.words = Asked()
+    assert own.many(["a b\na", "", "b a"]) == [b"a___b___a___", b"____", b"b___a___"]
+    assert sorted(asked) == ["", "a", "b"]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(1, 100), min_size=1, max_size=60))
 def test_no_window_overflows(sizes):
