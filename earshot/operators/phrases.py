@@ -15,6 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from earshot.catalogue import UNCLASSIFIED
 from earshot.functions.labels import lookup
 from earshot.functions.text import WORDS, bind, tokens
 from earshot.operators.lexicon import aspects_of, themes_of
@@ -53,23 +54,33 @@ def _small(table: DataFrame, most: int) -> DataFrame:
     return F.broadcast(table) if table.agg(F.count(F.lit(1))).first()[0] <= most else table
 
 
+def _written(rows: DataFrame, label: str) -> DataFrame:
+    """``rows`` on disk; what was shuffled to make them is given up as soon as they are there."""
+    spark = rows.sparkSession
+    path = scratch_dir(spark, label)
+    rows.write.parquet(path)
+    # shuffle files go when the driver collects the plan that wrote them, which may be long after
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _tasks(rows: DataFrame, text: str, task_chars: int) -> int:
+    chars = rows.agg(F.sum(F.length(text))).first()[0] or 0
+    return max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(chars / task_chars))
+
+
 def by_key(messages: DataFrame, keys: Sequence[str], text: str, task_chars: int = TASK_CHARS) -> DataFrame:
     """(keys, text), rows of equal keys in one task, in as many tasks as the text asks for.
 
     The messages are written once: their length is measured on what is read again.
     """
-    path = scratch_dir(messages.sparkSession, "messages")
-    rows = messages.select(*keys, text)
-    rows.write.parquet(path)
-    rows = messages.sparkSession.read.schema(rows.schema).parquet(path)
-    chars = rows.agg(F.sum(F.length(text))).first()[0] or 0
-    cores = messages.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(max(cores, math.ceil(chars / task_chars)), *keys)
+    rows = _written(messages.select(*keys, text), "messages")
+    return rows.repartition(_tasks(rows, text, task_chars), *keys)
 
 
 def word_hits(
     messages: DataFrame, keys: Sequence[str], text: str, phrases: DataFrame, pattern: str = WORDS,
-    broadcast_rows: int = BROADCAST_PHRASES, task_chars: int = TASK_CHARS,
+    broadcast_rows: int = BROADCAST_PHRASES, task_chars: int | None = TASK_CHARS,
 ) -> DataFrame:
     """(keys, ord, phrase, theme, sentiment, aspect): the phrases of each message, each once.
 
@@ -78,9 +89,11 @@ def word_hits(
     words; from the others n-grams are cut in the lengths that follow their first word,
     and the second join looks these up. Both joins are by equality: up to
     ``broadcast_rows`` phrases only the messages are shuffled, by their keys, beyond that Spark also
-    shuffles by word and by phrase. Rows that share their keys count as one message.
+    shuffles by word and by phrase. Rows that share their keys count as one message. Without
+    ``task_chars`` the messages lie by key already and are taken as they lie.
     """
-    messages = by_key(messages, keys, text, task_chars)
+    if task_chars is not None:
+        messages = by_key(messages, keys, text, task_chars)
     longest = phrases.agg(F.max("length")).first()[0] or 1
     starts = phrases.groupBy(F.col("first").alias("_first")).agg(F.collect_set("length").alias("_lengths"))
 
@@ -98,22 +111,32 @@ def word_hits(
 
 
 def tag_messages_by_words(
-    messages: DataFrame, key: str, phrases: DataFrame, text: str = "text", pattern: str = WORDS
+    messages: DataFrame, key: str, phrases: DataFrame, text: str = "text", pattern: str = WORDS,
+    task_chars: int = TASK_CHARS,
 ) -> DataFrame:
     """Adds detected_aspects, n_aspects_detected and inferred_themes, as ``lexicon.tag_messages`` does.
 
-    The hits of a message, at most one per phrase, are gathered by its key and joined back to it;
-    null keys meet each other.
+    The hits of a message, at most one per phrase, are turned into aspects and themes where they
+    are found. Messages are dealt by their key in the same way, so that neither hits nor tags
+    are shuffled to meet them. Null keys meet each other. Messages that are nothing but key and text are not made twice.
     """
-    hits = word_hits(messages.select(F.col(key).alias("_key"), F.col(text).alias("_text")), ["_key"], "_text", phrases, pattern)
+    kept = _written(messages.select(F.col(key).alias("_id"), F.col(text).alias("_text")), "messages")
+    tasks = _tasks(kept, "_text", task_chars)
+    # a struct equals itself whether or not its field is null, so that a plain equality joins it
+    dealt = kept.select(F.struct("_id").alias("_key"), "_text").repartition(tasks, "_key")
+    hits = word_hits(dealt, ["_key"], "_text", phrases, pattern, task_chars=None)
     entry = F.struct("ord", "phrase", "theme", "sentiment", "aspect")
-    listed = hits.groupBy("_key").agg(F.array_sort(F.collect_list(entry)).alias("_found"))
-    joined = messages.join(listed, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
-    kind = listed.schema["_found"].dataType
-    tagged = joined.withColumn("_hits", F.coalesce("_found", F.array().cast(kind)))
-    tagged = tagged.withColumn("detected_aspects", aspects_of(F.col("_hits")))
+    listed = hits.groupBy("_key").agg(F.array_sort(F.collect_list(entry)).alias("_hits"))
+    tags = listed.select("_key", aspects_of(F.col("_hits")).alias("_aspects"), themes_of(F.col("_hits")).alias("_themes"))
+    whole = messages
+    if sorted(messages.columns) == sorted((key, text)):
+        whole = kept.select(F.col("_id").alias(key), F.col("_text").alias(text)).select(*messages.columns)
+    rows = whole.withColumn("_key", F.struct(F.col(key).alias("_id"))).repartition(tasks, "_key")
+    none = F.array().cast(tags.schema["_aspects"].dataType)
     return (
-        tagged.withColumn("n_aspects_detected", F.size("detected_aspects"))
-        .withColumn("inferred_themes", themes_of(F.col("_hits")))
-        .drop("_hits", "_found")
+        rows.join(tags, "_key", "left").drop("_key")
+        .withColumn("detected_aspects", F.coalesce("_aspects", none))
+        .withColumn("n_aspects_detected", F.size("detected_aspects"))
+        .withColumn("inferred_themes", F.coalesce("_themes", F.array(F.lit(UNCLASSIFIED))))
+        .drop("_aspects", "_themes")
     )

@@ -108,3 +108,23 @@ def test_equal_phrases_are_merged_before_they_are_cut(spark):
     assert {tuple(r)[:1] + tuple(r)[3:5] for r in table.collect()} == {("late", 1, "a"), ("app", None, None)}
     plan = table._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate(keys=[phrase" in plan
+
+
+def test_hits_are_not_shuffled_to_their_messages(spark):
+    phrases = phrase_table(lexicon_frame(spark, LEXICON), ASPECTS)
+    for rows in (MESSAGES, [(*r, "own") for r in MESSAGES]):
+        messages = spark.createDataFrame(rows, "id long, text string, own string" if len(rows[0]) == 3 else "id long, text string")
+        plan = tag_messages_by_words(messages, "id", phrases)._jdf.queryExecution().executedPlan().toString()
+        dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(_key" in line or "Exchange hashpartitioning(coalesce(_key" in line]
+        assert len(dealt) == 2 and all("REPARTITION_BY_NUM" in line for line in dealt)  # texts once, rows once
+
+
+def test_messages_of_key_and_text_are_made_once(spark):
+    phrases = phrase_table(lexicon_frame(spark, LEXICON), ASPECTS)
+    made = spark.range(40).groupBy(F.when(F.col("id") % 10 > 0, F.col("id") % 10).alias("id")).agg(F.concat(F.lit("late "), F.max("id")).alias("text"))
+    tagged = tag_messages_by_words(made.select("text", "id"), "id", phrases)
+    assert "Range" not in tagged._jdf.queryExecution().optimizedPlan().toString()
+    assert tagged.columns == ["text", "id", "detected_aspects", "n_aspects_detected", "inferred_themes"]
+    rows = {r.id: r for r in tagged.collect()}
+    assert rows.keys() == {None, *range(1, 10)} and rows[None].text == "late 30" and rows[7].text == "late 37"
+    assert {(r.n_aspects_detected, *r.inferred_themes) for r in rows.values()} == {(1, "ship")}
