@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.catalogue import UNCLASSIFIED
@@ -27,6 +27,10 @@ BROADCAST_PHRASES = 500_000
 #: Characters of messages whose hits one task gathers, so that its memory does not grow with the table.
 TASK_CHARS = 6_000_000
 
+#: Characters of messages that are looked up at a time in a phrase table that is not broadcast, so that the disk that
+#: their n-grams and hits are shuffled through does not grow with the table.
+ROUND_CHARS = 400_000_000
+
 
 def phrase_table(
     lexicon: DataFrame, aspects: Mapping[str, str | None] | None = None, pattern: str = WORDS
@@ -54,19 +58,25 @@ def _small(table: DataFrame, most: int) -> DataFrame:
     return F.broadcast(table) if table.agg(F.count(F.lit(1))).first()[0] <= most else table
 
 
-def _written(rows: DataFrame, label: str) -> DataFrame:
-    """``rows`` on disk; what was shuffled to make them is given up as soon as they are there."""
-    spark = rows.sparkSession
-    path = scratch_dir(spark, label)
+def _write(rows: DataFrame, path: str) -> None:
+    """Writes ``rows``; what was shuffled to make them is given up as soon as they are there."""
     rows.write.parquet(path)
     # shuffle files go when the driver collects the plan that wrote them, which may be long after
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(rows.schema).parquet(path)
+    rows.sparkSession.sparkContext._jvm.System.gc()
+
+
+def _written(rows: DataFrame, label: str) -> DataFrame:
+    path = scratch_dir(rows.sparkSession, label)
+    _write(rows, path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
 
+def _chars(rows: DataFrame, text: str) -> int:
+    return rows.agg(F.sum(F.length(text))).first()[0] or 0
 
-def _tasks(rows: DataFrame, text: str, task_chars: int) -> int:
-    chars = rows.agg(F.sum(F.length(text))).first()[0] or 0
-    return max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(chars / task_chars))
+
+def _tasks(spark: SparkSession, chars: int, task_chars: int) -> int:
+    return max(spark.sparkContext.defaultParallelism, math.ceil(chars / task_chars))
 
 
 def by_key(messages: DataFrame, keys: Sequence[str], text: str, task_chars: int = TASK_CHARS) -> DataFrame:
@@ -75,7 +85,7 @@ def by_key(messages: DataFrame, keys: Sequence[str], text: str, task_chars: int
     The messages are written once: their length is measured on what is read again.
     """
     rows = _written(messages.select(*keys, text), "messages")
-    return rows.repartition(_tasks(rows, text, task_chars), *keys)
+    return rows.repartition(_tasks(rows.sparkSession, _chars(rows, text), task_chars), *keys)
 
 
 def word_hits(
@@ -112,22 +122,39 @@ def word_hits(
 
 def tag_messages_by_words(
     messages: DataFrame, key: str, phrases: DataFrame, text: str = "text", pattern: str = WORDS,
-    task_chars: int = TASK_CHARS,
+    broadcast_rows: int = BROADCAST_PHRASES, task_chars: int = TASK_CHARS, round_chars: int = ROUND_CHARS,
 ) -> DataFrame:
     """Adds detected_aspects, n_aspects_detected and inferred_themes, as ``lexicon.tag_messages`` does.
 
     The hits of a message, at most one per phrase, are turned into aspects and themes where they
     are found. Messages are dealt by their key in the same way, so that neither hits nor tags
     are shuffled to meet them. Null keys meet each other. Messages that are nothing but key and text are not made twice.
+    Beyond ``broadcast_rows`` phrases n-grams and hits have to be shuffled: then messages are tagged in rounds
+    of some ``round_chars`` characters, each of which leaves only its tags on disk.
     """
+    spark = messages.sparkSession
+    phrases = _written(phrases.select("phrase", "first", "length", "ord", "theme", "sentiment", "aspect"), "phrases")
     kept = _written(messages.select(F.col(key).alias("_id"), F.col(text).alias("_text")), "messages")
-    tasks = _tasks(kept, "_text", task_chars)
+    chars = _chars(kept, "_text")
+    tasks = _tasks(spark, chars, task_chars)
     # a struct equals itself whether or not its field is null, so that a plain equality joins it
-    dealt = kept.select(F.struct("_id").alias("_key"), "_text").repartition(tasks, "_key")
-    hits = word_hits(dealt, ["_key"], "_text", phrases, pattern, task_chars=None)
-    entry = F.struct("ord", "phrase", "theme", "sentiment", "aspect")
-    listed = hits.groupBy("_key").agg(F.array_sort(F.collect_list(entry)).alias("_hits"))
-    tags = listed.select("_key", aspects_of(F.col("_hits")).alias("_aspects"), themes_of(F.col("_hits")).alias("_themes"))
+    keyed = kept.select(F.struct("_id").alias("_key"), "_text")
+    order = ["ord", "phrase"]
+    if phrases.count() <= broadcast_rows:
+        hits = word_hits(keyed.repartition(tasks, "_key"), ["_key"], "_text", phrases, pattern, broadcast_rows, None)
+        tags = _tags(hits, order)
+    else:
+        if phrases.groupBy("ord").count().where("count > 1").isEmpty():
+            order = ["ord"]  # phrases are long, and these hits are shuffled
+        rounds = max(1, math.ceil(chars / round_chars))
+        some = _tasks(spark, math.ceil(chars / rounds), task_chars)
+        path = scratch_dir(spark, "tags")
+        for i in range(rounds):
+            dealt = keyed.where(F.pmod(F.xxhash64("_key"), F.lit(rounds)) == i).repartition(some, "_key")
+            hits = word_hits(dealt, ["_key"], "_text", phrases, pattern, broadcast_rows, None)
+            tags = _tags(hits.repartition(some, "_key"), order)
+            _write(tags, f"{path}/{i}")
+        tags = spark.read.schema(tags.schema).parquet(*[f"{path}/{i}" for i in range(rounds)]).repartition(tasks, "_key")
     whole = messages
     if sorted(messages.columns) == sorted((key, text)):
         whole = kept.select(F.col("_id").alias(key), F.col("_text").alias(text)).select(*messages.columns)
@@ -140,3 +167,10 @@ def tag_messages_by_words(
         .withColumn("inferred_themes", F.coalesce("_themes", F.array(F.lit(UNCLASSIFIED))))
         .drop("_aspects", "_themes")
     )
+
+
+def _tags(hits: DataFrame, order: Sequence[str]) -> DataFrame:
+    """(_key, _aspects, _themes) of each key's hits, taken by ``order``."""
+    entry = F.struct(*order, "theme", "sentiment", "aspect")
+    listed = hits.groupBy("_key").agg(F.array_sort(F.collect_list(entry)).alias("_hits"))
+    return listed.select("_key", aspects_of(F.col("_hits")).alias("_aspects"), themes_of(F.col("_hits")).alias("_themes"))

@@ -128,3 +128,28 @@ def test_messages_of_key_and_text_are_made_once(spark):
     rows = {r.id: r for r in tagged.collect()}
     assert rows.keys() == {None, *range(1, 10)} and rows[None].text == "late 30" and rows[7].text == "late 37"
     assert {(r.n_aspects_detected, *r.inferred_themes) for r in rows.values()} == {(1, "ship")}
+
+
+def test_long_lexicons_are_looked_up_in_rounds(spark):
+    # two phrases of one place, and two without a place, are ordered by their words
+    twice = [(2, "app app", "b", "positive"), (2, "the app", "a", "negative"), (None, "late", "c", "neutral"), (None, "app", "a", "neutral")]
+    lexicons = [lexicon_frame(spark, LEXICON), spark.createDataFrame(twice, "ord int, phrase string, theme string, sentiment string")]
+    messages = spark.createDataFrame([(*r, "own") for r in MESSAGES], "id long, text string, phrase string")
+    for lexicon in lexicons:
+        phrases = phrase_table(lexicon, ASPECTS | {"a": "A", "b": "B", "c": "C"})
+        few = tag_messages_by_words(messages, "id", phrases).collect()
+        many = tag_messages_by_words(messages, "id", phrases, broadcast_rows=0, round_chars=20)
+        plan = many._jdf.queryExecution().executedPlan().toString()
+        assert "_text" not in plan and "_gram" not in plan  # the rounds have run, only tags are left
+        assert sorted(map(repr, many.collect())) == sorted(map(repr, few)) and len(few) == len(MESSAGES)
+
+
+def test_rounds_hold_every_message_once(spark):
+    phrases = phrase_table(lexicon_frame(spark, LEXICON), ASPECTS)
+    messages = spark.range(2000).selectExpr("id % 700 AS id", "IF(id % 3 = 0, 'the late delivery', IF(id % 3 = 1, 'app', 'none')) AS text")
+    tags = tag_messages_by_words(messages, "id", phrases, broadcast_rows=0, round_chars=5000)
+    assert len(tags.inputFiles()) > 8 and tags.count() == 2000
+    plain = tag_messages_by_words(messages, "id", phrases)
+    assert tags.exceptAll(plain).isEmpty() and plain.exceptAll(tags).isEmpty()
+    empty = tag_messages_by_words(messages.limit(0), "id", phrases, broadcast_rows=0)
+    assert empty.count() == 0 and empty.schema == tags.schema
