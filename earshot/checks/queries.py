@@ -530,7 +530,9 @@ def order_texts(spark, sf_dir):
     short = F.concat_ws(" ", "p_type", "p_name", F.lit("-"), size)
     text = F.when(F.col("l_linenumber") % 2 == 0, short).otherwise(F.concat_ws(" ", "p_brand", "p_type", "p_name", size))
     listed = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", F.col("text"))))
-    said = lines.join(parts, "l_partkey").withColumn("text", text).groupBy(F.col("l_orderkey").alias("doc_id")).agg(listed.alias("lines"))
+    said = lines.join(parts, "l_partkey").select("l_orderkey", "l_linenumber", "l_partkey", text.alias("text"))
+    # dealt as rows: the join scatters an order's lines, and lists of one line each would be sorted, spilled and shuffled
+    said = said.repartition("l_orderkey").groupBy(F.col("l_orderkey").alias("doc_id")).agg(listed.alias("lines"))
     return said.select("doc_id", F.array_join(F.transform("lines", lambda x: x["text"]), "; ").alias("text"))
 
 

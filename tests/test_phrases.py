@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from earshot.catalogue import Phrase
+from earshot.checks.queries import order_texts
 from earshot.operators.phrases import by_key, phrase_table, tag_messages_by_words, word_hits
 from earshot.plans import chain
 from earshot.sources.tables import lexicon_frame
@@ -153,3 +154,9 @@ def test_rounds_hold_every_message_once(spark):
     assert tags.exceptAll(plain).isEmpty() and plain.exceptAll(tags).isEmpty()
     empty = tag_messages_by_words(messages.limit(0), "id", phrases, broadcast_rows=0)
     assert empty.count() == 0 and empty.schema == tags.schema
+
+
+def test_lines_are_listed_after_their_shuffle(spark, sf_dir):
+    plan = order_texts(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()  # the last step stands first
+    assert plan.count("Exchange hashpartitioning(l_orderkey") == 1
+    assert 0 < plan.index("partial_collect_list") < plan.index("Exchange hashpartitioning(l_orderkey")
